@@ -6,11 +6,14 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of text that one chunk holds, and the fewest chunks.
 CHUNK_BYTES, LEAST_CHUNKS = 4 << 20, 64
@@ -76,18 +79,27 @@ def chunk_count(total: int) -> int:
 
 
 def chunked(docs: DataFrame, id_col: str, text_col: str, chunks: int) -> DataFrame:
-    """(_chunk, _id, _text), null texts empty. A chunk depends on a row's id and text alone, so each recomputation deals alike."""
+    """(_chunk, _id, _text), the texts' UTF-8 compressed by zstandard, null texts empty.
+
+    A chunk depends on a row's id and text alone, so each recomputation deals alike.
+    """
     ident, text = col(id_col), F.coalesce(col(text_col), F.lit(""))
-    return docs.select(F.pmod(F.xxhash64(ident, text), F.lit(chunks)).alias("_chunk"), ident.alias("_id"), text.alias("_text"))
-
-
-def buffer_of(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of all texts end to end, and len + 1 offsets; nulls are empty."""
-    array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    array = array.cast(pa.large_string()).fill_null("")
-    if not len(array):
-        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
-    _, offsets, data = array.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[array.offset : array.offset + len(array) + 1]
-    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
-    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+    rows = docs.select(F.pmod(F.xxhash64(ident, text), F.lit(chunks)).alias("_chunk"), ident.alias("_id"), text.alias("_text"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([squeeze(x.encode()) for x in batch.column(2).to_pylist()], pa.binary())], ["_chunk", "_id", "_text"])
+
+    return rows.mapInArrow(pack, T.StructType([T.StructField("_chunk", T.LongType()), T.StructField("_id", docs.schema[id_col].dataType), T.StructField("_text", T.BinaryType())]))
+
+
+def texts_of(column: pa.ChunkedArray) -> list[bytes]:
+    """The texts of a chunk's rows."""
+    expand = zstandard.ZstdDecompressor().decompress
+    return [expand(x) for x in column.to_pylist()]
+
+
+def end_to_end(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, one after the other, and len + 1 offsets."""
+    return np.frombuffer(b"".join(texts), np.uint8), np.concatenate([np.zeros(1, np.int64), np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
+from .simhash import op8_simhash
 from .substrings import op3_substring_dedup
 
-QUERIES = {"op3_substring_dedup": op3_substring_dedup}
+QUERIES = {"op3_substring_dedup": op3_substring_dedup, "op8_simhash": op8_simhash}
 ORACLE: dict[str, str] = {}

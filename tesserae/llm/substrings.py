@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
-from .common import buffer_of, chunk_count, chunked, table, text_bytes
-from .tally import ASKS, Keys, among, among_wide, read_heard, sizes, tally
+from .common import chunk_count, chunked, end_to_end, table, text_bytes, texts_of
+from .tally import ASKS, Keys, among, read_heard, sizes, tally
 
 
 def lengths(window: int, first: int) -> list[int]:
@@ -33,8 +33,8 @@ def window_hashes(h: np.ndarray, length: int) -> np.ndarray:
     return h
 
 
-def _text_words(column: pa.ChunkedArray, window: int, seeds: tuple[int, ...]) -> tuple:
-    data, offsets = buffer_of(column)
+def _text_words(texts: list[bytes], window: int, seeds: tuple[int, ...]) -> tuple:
+    data, offsets = end_to_end(texts)
     starts, ends, doc = W.spans(data, offsets)
     long = np.bincount(doc, minlength=len(offsets) - 1) >= window
     return [W.hashes(data, starts, ends, s) for s in seeds], doc, long
@@ -68,7 +68,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Windows of about `first` words are counted over the corpus; those that are repeated are extended to twice that length and
     counted again, up to `window`. Only windows whose two halves are repeated are counted at the next length. The last count is
-    on 128 bits of hash. Words are unchanged; all windows are judged on the input.
+    on 96 bits of hash. Words are unchanged; all windows are judged on the input.
 
     Returns id_col, n_words, n_removed and text (the kept words joined by one space), a row for each row of docs. A null or
     empty text has no words and gives an empty text; a text shorter than a window keeps all; equal texts remove each other's
@@ -79,13 +79,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     parts = chunked(docs, id_col, text_col, chunk_count(total))
     steps = lengths(window, first)
     bits, width = sizes(total)
-    kinds = [Keys(bits, width) if i == 0 and len(steps) > 1 else Keys(bits, 8, wide=i == len(steps) - 1) for i in range(len(steps))]
+    kinds = [Keys(bits, 8, wide=True) if i == len(steps) - 1 else Keys(bits, width) for i in range(len(steps))]
     seeds = (1, 2)
 
-    def windows(column: pa.ChunkedArray, level: int, heard: pa.Table | None) -> tuple:
+    def windows(texts: list[bytes], level: int, heard: np.ndarray | None) -> tuple:
         """Hashes at a level, both kinds if they are needed, and which windows' halves are repeated."""
         n, keys = steps[level], kinds[level]
-        (h, *more), doc, long = _text_words(column, window, seeds if keys.wide else seeds[:1])
+        (h, *more), doc, long = _text_words(texts, window, seeds if keys.wide else seeds[:1])
         ok = _valid(doc, long, n)
         if level:
             back = steps[level - 1]
@@ -97,34 +97,30 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def asked(level: int):
         def ask(key: tuple, group: pa.Table, told: pa.Table | None = None) -> pa.Table:
             heard = read_heard(told, kinds[level - 1])[0] if level else None
-            ok, one, two, _ = windows(group["_text"], level, heard)
-            return _sent(key[0].as_py(), kinds[level], one[ok], two[ok] if two is not None else None)
+            ok, one, two, _ = windows(texts_of(group["_text"]), level, heard)
+            return _sent(key[0].as_py(), kinds[level], one[ok], (two[ok] >> np.uint64(32)).astype(np.uint32) if two is not None else None)
 
         return ask if level else lambda key, group: ask(key, group)
 
     def kept(key: tuple, group: pa.Table, told: pa.Table) -> pa.Table:
-        keys = kinds[-1]
-        n = steps[-1]
-        (h, g), doc, _ = _text_words(group["_text"], window, seeds)
-        hi, lo, _ = read_heard(told, keys)
-        one, two = window_hashes(h, n), window_hashes(g, n)
-        hit = np.flatnonzero(among_wide(keys.cut(one), two, hi, lo)) if len(doc) >= n else np.zeros(0, np.int64)
+        n, texts = steps[-1], texts_of(group["_text"])
+        (h,), doc, _ = _text_words(texts, window, seeds[:1])
+        hit = np.flatnonzero(among(kinds[-1].cut(window_hashes(h, n)), read_heard(told, kinds[-1])[0])) if len(doc) >= n else np.zeros(0, np.int64)
         at = hit[doc[hit] == doc[hit + n - 1]]
         steps_up = np.zeros(len(doc) + 1, np.int64)
         np.add.at(steps_up, at, 1)
         np.add.at(steps_up, at + n, -1)
         gone = np.cumsum(steps_up[:-1]) > 0
-        n_docs = len(group)
-        n_words, n_gone = np.bincount(doc, minlength=n_docs), np.bincount(doc[gone], minlength=n_docs)
+        n_words, n_gone = np.bincount(doc, minlength=len(texts)), np.bincount(doc[gone], minlength=len(texts))
         ends = np.cumsum(n_words)
-        texts = []
-        for i, text in enumerate(group["_text"].to_pylist()):
-            own = text.encode().split()
+        left = []
+        for i, text in enumerate(texts):
+            own = text.split()
             if n_gone[i]:
                 mask = gone[ends[i] - n_words[i] : ends[i]]
                 own = [w for w, out in zip(own, mask.tolist(), strict=True) if not out]
-            texts.append(b" ".join(own).decode())
-        return pa.table({id_col: group["_id"], "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_gone, pa.int64()), "text": pa.array(texts, pa.string())})
+            left.append(b" ".join(own).decode())
+        return pa.table({id_col: group["_id"], "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_gone, pa.int64()), "text": pa.array(left, pa.string())})
 
     told = tally(parts.groupBy("_chunk").applyInArrow(asked(0), ASKS), kinds[0])
     for level in range(1, len(steps)):

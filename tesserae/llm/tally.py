@@ -6,7 +6,7 @@ each key and no key, however frequent, arrives more often than twice from a chun
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ HEARD = "_of long, _keys binary, _counts binary"
 
 @dataclass(frozen=True)
 class Keys:
-    """How keys travel: 2**bits buckets, and below them width bytes of a key's 64 bits; wide: and 64 bits of a second hash."""
+    """How keys travel: 2**bits buckets, and below them width bytes of a key's 64 bits; wide: and 32 bits of a second hash."""
 
     bits: int
     width: int
@@ -39,7 +39,7 @@ class Keys:
         ends = [*at[1:].tolist(), len(cut)] if len(cut) else []
         raw = np.ascontiguousarray(np.ascontiguousarray(cut, "<u8").view(np.uint8).reshape(-1, 8)[:, : self.width]) if len(cut) else np.zeros((0, self.width), np.uint8)
         if self.wide:
-            raw = np.hstack([raw, np.ascontiguousarray(second, "<u8").view(np.uint8).reshape(-1, 8)]) if len(cut) else raw
+            raw = np.hstack([raw, np.ascontiguousarray(second, "<u4").view(np.uint8).reshape(-1, 4)]) if len(cut) else raw
         spans = list(zip(at.tolist(), ends, strict=True))
         return pa.table(
             {
@@ -51,13 +51,13 @@ class Keys:
         )
 
     def unpack(self, bucket: int, raw: bytes) -> tuple[np.ndarray, np.ndarray | None]:
-        rows = np.frombuffer(raw, np.uint8).reshape(-1, self.width + 8 * self.wide)
+        rows = np.frombuffer(raw, np.uint8).reshape(-1, self.width + 4 * self.wide)
         low = np.zeros((len(rows), 8), np.uint8)
         low[:, : self.width] = rows[:, : self.width]
         key = low.view("<u8").ravel()
         if self.low < 8 * self.width:
             key = key & np.uint64((1 << self.low) - 1)
-        second = np.ascontiguousarray(rows[:, self.width :]).view("<u8").ravel() if self.wide else None
+        second = np.ascontiguousarray(rows[:, self.width :]).view("<u4").ravel() if self.wide else None
         return key | np.uint64(bucket << self.low), second
 
 
@@ -71,8 +71,9 @@ def sizes(total_bytes: int, spare: int = 10) -> tuple[int, int]:
 def tally(asks: DataFrame, keys: Keys, least: int = 2) -> DataFrame:
     """For each chunk that asked: its keys that all chunks together have least times or more, and that number where counts were given.
 
-    Without counts a key counts once for each time that it is sent.
+    Without counts a key counts once for each time that it is sent. Second hashes are counted by, but not sent back.
     """
+    back = replace(keys, wide=False)
 
     def heard(key: tuple, group: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
@@ -98,7 +99,7 @@ def tally(asks: DataFrame, keys: Keys, least: int = 2) -> DataFrame:
             keep = mine >= least
             at += len(mine)
             if keep.any():
-                kept = keys.rows(chunk, part[0][keep], part[1][keep] if keys.wide else None)
+                kept = back.rows(chunk, part[0][keep])
                 out["_of"].append(chunk)
                 out["_keys"].append(bucket.to_bytes(8, "little") + kept["_keys"][0].as_py())
                 out["_counts"].append(np.minimum(mine[keep], 2**32 - 1).astype("<u4").tobytes() if counts else b"")
@@ -107,15 +108,15 @@ def tally(asks: DataFrame, keys: Keys, least: int = 2) -> DataFrame:
     return asks.groupBy("_bucket").applyInArrow(heard, HEARD)
 
 
-def read_heard(group: pa.Table, keys: Keys) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
-    """The keys that a chunk hears of in ascending order, the second hashes and the numbers."""
-    parts = [(*keys.unpack(int.from_bytes(x[:8], "little"), x[8:]), np.frombuffer(c, "<u4")) for x, c in zip(group["_keys"].to_pylist(), group["_counts"].to_pylist(), strict=True)]
+def read_heard(group: pa.Table, keys: Keys) -> tuple[np.ndarray, np.ndarray]:
+    """The keys that a chunk hears of in ascending order, and the numbers where counts were given."""
+    back = replace(keys, wide=False)
+    parts = [(back.unpack(int.from_bytes(x[:8], "little"), x[8:])[0], np.frombuffer(c, "<u4")) for x, c in zip(group["_keys"].to_pylist(), group["_counts"].to_pylist(), strict=True)]
     if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64) if keys.wide else None, np.zeros(0, np.uint32)
-    one, count = np.concatenate([x[0] for x in parts]), np.concatenate([x[2] for x in parts])
-    two = np.concatenate([x[1] for x in parts]) if keys.wide else None
-    order = np.lexsort((two, one)) if keys.wide else np.argsort(one, kind="stable")
-    return one[order], two[order] if keys.wide else None, count[order] if len(count) else count
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+    one, count = np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
+    order = np.argsort(one, kind="stable")
+    return one[order], count[order] if len(count) else count
 
 
 def among(key: np.ndarray, heard: np.ndarray) -> np.ndarray:
@@ -123,18 +124,3 @@ def among(key: np.ndarray, heard: np.ndarray) -> np.ndarray:
     if not len(heard):
         return np.zeros(len(key), bool)
     return heard[np.minimum(np.searchsorted(heard, key), len(heard) - 1)] == key
-
-
-def among_wide(key: np.ndarray, second: np.ndarray, heard: np.ndarray, heard_second: np.ndarray) -> np.ndarray:
-    """Whether each pair of hashes is one of those heard, which ascend and may repeat."""
-    hit = np.zeros(len(key), bool)
-    if not len(heard):
-        return hit
-    fresh = np.ones(len(heard), bool)
-    fresh[1:] = (heard[1:] != heard[:-1]) | (heard_second[1:] != heard_second[:-1])
-    heard, heard_second = heard[fresh], heard_second[fresh]
-    at = np.searchsorted(heard, key)
-    for step in range(int(np.unique(heard, return_counts=True)[1].max())):
-        to = np.minimum(at + step, len(heard) - 1)
-        hit |= (heard[to] == key) & (heard_second[to] == second)
-    return hit

@@ -2,8 +2,19 @@
 
 from __future__ import annotations
 
+from .idfiles import op4_token_ids
+from .neighbours import op10_neighbours
+from .packing import op2_packing
 from .simhash import op8_simhash
 from .substrings import op3_substring_dedup
+from .syncmers import op9_fingerprints
 
-QUERIES = {"op3_substring_dedup": op3_substring_dedup, "op8_simhash": op8_simhash}
+QUERIES = {
+    "op2_packing": op2_packing,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_token_ids": op4_token_ids,
+    "op8_simhash": op8_simhash,
+    "op9_fingerprints": op9_fingerprints,
+    "op10_neighbours": op10_neighbours,
+}
 ORACLE: dict[str, str] = {}

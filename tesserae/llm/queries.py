@@ -8,11 +8,13 @@ from .packing import op2_packing
 from .simhash import op8_simhash
 from .substrings import op3_substring_dedup
 from .syncmers import op9_fingerprints
+from .toxicity import op6_toxicity
 
 QUERIES = {
     "op2_packing": op2_packing,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_token_ids": op4_token_ids,
+    "op6_toxicity": op6_toxicity,
     "op8_simhash": op8_simhash,
     "op9_fingerprints": op9_fingerprints,
     "op10_neighbours": op10_neighbours,

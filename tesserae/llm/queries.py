@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .idfiles import op4_token_ids
+from .lines import op1_line_dedup
 from .neighbours import op10_neighbours
 from .packing import op2_packing
 from .simhash import op8_simhash
@@ -11,6 +12,7 @@ from .syncmers import op9_fingerprints
 from .toxicity import op6_toxicity
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_token_ids": op4_token_ids,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, table, text_bytes, written
+from .common import col, squeezed, table, text_bytes, texts_of, written
 from .words import joined, mix
 
 #: Bytes of a k-mer and of the substrings within it, and anchors that a fingerprint keeps.
@@ -119,7 +119,7 @@ def fingerprints_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: s
     """
     parts = max(1, -(-text_bytes(docs, text_col) // TASK_BYTES))
     text = F.coalesce(col(text_col), F.lit(""))
-    rows = docs.select(col(id_col).alias("_id"), F.xxhash64(text).alias("_tie"), text.alias("_text")).repartitionByRange(parts, "_id", "_tie").sortWithinPartitions("_id", "_tie")
+    rows = squeezed(docs.select(col(id_col).alias("_id"), F.xxhash64(text).alias("_tie"), text.alias("_text"))).repartitionByRange(parts, "_id", "_tie").sortWithinPartitions("_id", "_tie")
     kinds = {"n_chars": pa.int64(), "near_edited": pa.float64(), "near_next": pa.float64()}
 
     def table_of(ids: list, id_type: pa.DataType, found: list[tuple], extra: dict) -> pa.RecordBatch:
@@ -132,8 +132,8 @@ def fingerprints_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: s
         first = last = None  # of a task's range: (id, text, fingerprint)
         for batch in batches:
             ids, found, kind = [], [], batch.schema.field(0).type
-            for ident, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                mark = fingerprint(text.encode())
+            for ident, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(2)), strict=True):
+                mark, text = fingerprint(text), text.decode()
                 if last:
                     ids.append(last[0])
                     found.append(_row(last[1], last[2], text, mark))

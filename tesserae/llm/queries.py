@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .idfiles import op4_token_ids
+from .licenses import op5_licenses, op5_sql
 from .lines import op1_line_dedup
 from .neighbours import op10_neighbours
 from .packing import op2_packing
@@ -16,9 +17,10 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_token_ids": op4_token_ids,
+    "op5_licenses": op5_licenses,
     "op6_toxicity": op6_toxicity,
     "op8_simhash": op8_simhash,
     "op9_fingerprints": op9_fingerprints,
     "op10_neighbours": op10_neighbours,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_licenses": op5_sql()}

@@ -78,13 +78,13 @@ def chunk_count(total: int) -> int:
     return max(LEAST_CHUNKS, -(-total // CHUNK_BYTES))
 
 
-def chunked(docs: DataFrame, id_col: str, text_col: str, chunks: int) -> DataFrame:
-    """(_chunk, _id, _text), the texts' UTF-8 compressed by zstandard, null texts empty.
+def chunked(docs: DataFrame, id_col: str, text_col: str, chunks: int, carried: list[str] | None = None) -> DataFrame:
+    """(_chunk, _id, _text), the texts' UTF-8 compressed by zstandard, null texts empty; and if columns are carried, their struct _rest.
 
     A chunk depends on a row's id and text alone, so each recomputation deals alike.
     """
     ident, text = col(id_col), F.coalesce(col(text_col), F.lit(""))
-    rows = docs.select(F.pmod(F.xxhash64(ident, text), F.lit(chunks)).alias("_chunk"), ident.alias("_id"), text.alias("_text"))
+    rows = docs.select(F.pmod(F.xxhash64(ident, text), F.lit(chunks)).alias("_chunk"), ident.alias("_id"), text.alias("_text"), *([F.struct(*[col(c) for c in carried]).alias("_rest")] if carried else []))
 
     return squeezed(rows)
 

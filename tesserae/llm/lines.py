@@ -29,6 +29,7 @@ class Lines:
     def __init__(self, ids: list, texts: list[bytes]):
         ties = [xxh64_intdigest(t) - 2**63 for t in texts]
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] if ids[i] is not None else 0, ties[i]))
+        self.order = order
         self.ids, self.ties, self.texts = [ids[i] for i in order], [ties[i] for i in order], [texts[i] for i in order]
         data, offsets = end_to_end(self.texts)
         starts, ends, _ = W.spans(data, offsets)
@@ -37,8 +38,8 @@ class Lines:
         self.number = np.arange(len(self.doc)) - first[self.doc]
         line = np.searchsorted(self.starts, starts, "right") - 1
         h = W.hashes(data, starts, ends)
-        order = np.argsort((line.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24)), kind="stable")
-        line, h = line[order], h[order]
+        by_line = np.argsort((line.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24)), kind="stable")
+        line, h = line[by_line], h[by_line]
         fresh = np.ones(len(h), bool)
         fresh[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
         self.line, self.token = line[fresh], h[fresh]
@@ -143,7 +144,7 @@ def _join(postings: DataFrame, buckets: int, kept: int | None) -> DataFrame:
     return met.groupBy("y1", "y2", "x1", "x2").agg(F.min("apart").alias("apart"), F.max("more").alias("more"))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carried: list[str] | None = None) -> DataFrame:
     """Removes each line that an earlier line of the corpus resembles: Jaccard similarity of their word sets of 4/5 or more.
 
     Lines are cut at newlines and ordered by id_col (an integer; null first), by a hash of the text where ids are equal, and by
@@ -151,14 +152,15 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     are removed or not. Tokens are ordered by how many lines hold them; lines meet on the tokens of their prefixes, pass the
     length and the positional filter and a bound from parities of their tokens' hashes, and are verified exactly.
 
-    Returns id_col, n_lines, n_removed and text (the lines left, joined by newlines), a row for each row of docs. A null or empty
+    Returns id_col, n_lines, n_removed, n_words, n_left (of these) and text (the lines left, joined by newlines), and the columns of
+    docs that are carried, as the struct _rest; a row for each row of docs. A null or empty
     text is one line without words; of a repeated row only the first keeps its lines; an empty table gives an empty one; other
     columns are ignored. Equal sets are merged within a chunk and then over the corpus before they are compared; a token's rows
     beyond RUN are dealt over groups of two blocks each; a line that found KEPT candidates of a token waits for their verification
     before it meets the rest, and meets all of them if none is confirmed.
     """
     total = text_bytes(docs, text_col)
-    parts = chunked(docs.withColumn(id_col, col(id_col).cast("long")), id_col, text_col, chunk_count(total))
+    parts = chunked(docs.withColumn(id_col, col(id_col).cast("long")), id_col, text_col, chunk_count(total), carried)
     bits, _ = sizes(total)
     keys = Keys(bits, 8)
     buckets = max(8, total >> 22)
@@ -263,15 +265,34 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     bad[first[i]] = True
             out[own.line[at]] = bad
         ends = np.searchsorted(own.doc, np.arange(len(own.texts) + 1))
-        texts, counts = [], []
+        texts, counts, words, words_left = [], [], [], []
         for i, text in enumerate(own.texts):
             mask = out[ends[i] : ends[i + 1]]
             counts.append(int(mask.sum()))
-            texts.append((b"\n".join(x for x, o in zip(text.split(b"\n"), mask.tolist(), strict=True) if not o) if counts[-1] else text).decode())
-        return pa.table({id_col: pa.array(own.ids, pa.int64()), "n_lines": pa.array(np.diff(ends), pa.int64()), "n_removed": pa.array(counts, pa.int64()), "text": pa.array(texts, pa.string()), "_tie": pa.array(own.ties, pa.int64())})
+            words.append(len(text.split()))
+            kept = b"\n".join(x for x, o in zip(text.split(b"\n"), mask.tolist(), strict=True) if not o) if counts[-1] else text
+            words_left.append(len(kept.split()) if counts[-1] else words[-1])
+            texts.append(kept.decode())
+        columns = {id_col: pa.array(own.ids, pa.int64()), "n_lines": pa.array(np.diff(ends), pa.int64()), "n_removed": pa.array(counts, pa.int64()), "n_words": pa.array(words, pa.int64()), "n_left": pa.array(words_left, pa.int64()), "text": pa.array(texts, pa.string())}
+        if carried:
+            columns["_rest"] = group["_rest"].combine_chunks().take(pa.array(own.order, pa.int64()))
+        return pa.table(columns)
 
-    out = T.StructType([T.StructField(id_col, T.LongType()), T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("text", T.StringType()), T.StructField("_tie", T.LongType())])
-    return parts.groupBy("_chunk").cogroup(kept_by.groupBy("_at")).applyInArrow(left, out).drop("_tie")
+    longs = [T.StructField(n, T.LongType()) for n in (id_col, "n_lines", "n_removed", "n_words", "n_left")]
+    out = T.StructType([*longs, T.StructField("text", T.StringType()), *([T.StructField("_rest", parts.schema["_rest"].dataType)] if carried else [])])
+    return parts.groupBy("_chunk").cogroup(kept_by.groupBy("_at")).applyInArrow(left, out)
+
+
+def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", least: float = 0.2) -> DataFrame:
+    """The columns of docs, texts without the lines that resemble earlier ones and length_col their length.
+
+    A document of which less than this share of its words is left repeats earlier ones as a whole and goes; one from which nothing
+    was removed always stays. Its id is an integer.
+    """
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    got = line_dedup(docs, id_col, text_col, others).where((F.col("n_removed") == 0) | ((F.col("n_left") > 0) & (F.col("n_left") >= least * F.col("n_words"))))
+    rest = {c: F.col("_rest").getField(c) for c in others} | ({length_col: F.length("text").cast(docs.schema[length_col].dataType)} if length_col in others else {})
+    return got.select(*[col(id_col).cast(docs.schema[id_col].dataType).alias(c) if c == id_col else F.col("text").alias(c) if c == text_col else rest[c].alias(c) for c in docs.columns])
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

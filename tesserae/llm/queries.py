@@ -5,6 +5,7 @@ from __future__ import annotations
 from .idfiles import op4_token_ids
 from .licenses import op5_licenses, op5_sql
 from .lines import op1_line_dedup
+from .mixing import op7_mixing
 from .neighbours import op10_neighbours
 from .packing import op2_packing
 from .simhash import op8_simhash
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_token_ids": op4_token_ids,
     "op5_licenses": op5_licenses,
     "op6_toxicity": op6_toxicity,
+    "op7_mixing": op7_mixing,
     "op8_simhash": op8_simhash,
     "op9_fingerprints": op9_fingerprints,
     "op10_neighbours": op10_neighbours,

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from .common import col, table, written
+from .common import col, squeezed, table, texts_of, written
 from .components import connected_components
+from .words import mix
 
 _LANES = np.uint64(0x0101010101010101)
 
@@ -93,3 +94,86 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
+
+
+#: Bits of a table's fingerprint and tables of similar_groups; and how many of all bits may differ before a pair is verified.
+TABLE_BITS, TABLES, NEAR = 32, 10, 0.19
+
+
+def long_fingerprint(text: str, size: int) -> list[int]:
+    """TABLES fingerprints of TABLE_BITS bits each, from mixed hashes of the shingles, as non-negative numbers."""
+    got = shingles(text, size)
+    if not got:
+        return [0] * TABLES
+    h = np.fromiter((xxh64_intdigest(s, 42) for s in got), np.uint64, len(got))
+    at = np.arange(0, len(h), 255)
+    out: list[int] = []
+    for i in range(TABLES // 2):
+        x = mix(h + np.uint64(0x9E3779B97F4A7C15 * (i + 1) % 2**64))
+        ones = np.empty((8, 8), np.int64)
+        for bit in range(8):
+            ones[:, bit] = np.add.reduceat((x >> np.uint64(bit)) & _LANES, at).view(np.uint8).reshape(-1, 8).sum(0, dtype=np.int64)
+        out += np.packbits(ones.ravel() * 2 > len(h), bitorder="little").view("<u4").tolist()
+    return out
+
+
+def similar_groups(docs: DataFrame, text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """(_text_hash, _group): the groups of texts connected by a Jaccard similarity of word shingles of `least` or more.
+
+    Such texts differ at about a seventh of a fingerprint's bits, too many for one ball; so each text has TABLES shorter
+    fingerprints, each of which emits its variants at one bit or none, and texts meet where any of these fingerprints differ at two
+    bits or fewer: nine in ten at a similarity of exactly 0.8, nearly all beyond. Those that meet on a variant are paired with the
+    one before and with the first, pairs whose fingerprints altogether are too far apart go, and the rest are verified on
+    their shingles. Only groups of more than one text are returned; equal texts share a hash and count once; nulls count as empty.
+    """
+    text = F.coalesce(col(text_col), F.lit(""))
+    keyed = docs.select(F.xxhash64(text).alias("_u"), text.alias("_text"))
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = [long_fingerprint(x, shingle) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.list_(pa.int64()))], ["_u", "_marks"])
+
+    nodes = written(keyed.mapInArrow(make, "_u long, _marks array<long>").dropDuplicates(["_u"]), "long-marks")
+    masks = F.array(*[F.lit(m) for m in [0, *(1 << b for b in range(TABLE_BITS))]])
+    tables = nodes.select("_u", F.posexplode("_marks").alias("_t", "_m"))
+    variants = tables.select("_u", F.explode(F.transform(masks, lambda m: F.col("_m").bitwiseXOR(m) + F.shiftleft(F.col("_t").cast("long"), TABLE_BITS))).alias("_v"))
+    order = Window.partitionBy("_v").orderBy("_u")
+    met = variants.select("_u", F.explode(F.array(F.lag("_u").over(order), F.first("_u").over(order))).alias("_w"))
+    pairs = met.where("_w is not null and _w <> _u").select(F.greatest("_u", "_w").alias("a"), F.least("_u", "_w").alias("b")).distinct()
+    one, two = nodes.select(F.col("_u").alias("a"), F.col("_marks").alias("_x")), nodes.select(F.col("_u").alias("b"), F.col("_marks").alias("_y"))
+    apart = F.aggregate(F.zip_with("_x", "_y", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, n: s + n)
+    near = written(pairs.join(one, "a").join(two, "b").where(apart <= int(NEAR * TABLES * TABLE_BITS)).select("a", "b"), "near-pairs")
+    ends = near.select(F.col("a").alias("_u")).unionByName(near.select(F.col("b").alias("_u"))).distinct()
+    texts = squeezed(keyed).join(ends, "_u", "left_semi").dropDuplicates(["_u"])
+    texts = written(texts, "near-texts")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            same = []
+            for x, y in zip(texts_of(batch.column(2)), texts_of(batch.column(3)), strict=True):
+                p, q = set(shingles(x.decode(), shingle)), set(shingles(y.decode(), shingle))
+                same.append(len(p & q) >= least * len(p | q))
+            yield batch.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
+
+    x, y = (texts.select(F.col("_u").alias(n), F.col("_text").alias(f"_{n}")) for n in ("a", "b"))
+    links_ = near.join(x, "a").join(y, "b").select("a", "b", "_a", "_b").mapInArrow(verify, "a long, b long")
+    return connected_components(links_).select(F.col("node").alias("_text_hash"), F.col("component").alias("_group"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """Of each group of equal or similar texts the row with the smallest id (null counts as largest), and all other rows.
+
+    The columns of docs. Of rows that are equal in id and text one stays.
+    """
+    groups = written(similar_groups(docs, text_col, shingle, least), "groups")
+    text = F.coalesce(col(text_col), F.lit(""))
+    rank = F.coalesce(col(id_col).cast("long"), F.lit(2**63 - 1))
+    rows = docs.select(F.xxhash64(text).alias("_u"), rank.alias("_rank")).groupBy("_u", "_rank").count()
+    rows = written(rows.join(groups, F.col("_u") == F.col("_text_hash"), "left").select("_u", "_rank", "count", F.coalesce("_group", "_u").alias("_group")), "ranks")
+    best = rows.groupBy("_group").agg(F.min(F.struct("_rank", "_u")).alias("_best")).select(F.col("_best._u").alias("_stay"), F.col("_best._rank").alias("_as"))
+    keyed = docs.withColumns({"_u_": F.xxhash64(text), "_rank_": rank})
+    kept = keyed.join(best, (F.col("_u_") == F.col("_stay")) & (F.col("_rank_") == F.col("_as")), "left_semi")
+    if not rows.where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["_u_", "_rank_"])
+    return kept.select(*[col(c) for c in docs.columns])

@@ -139,7 +139,7 @@ def similar_groups(docs: DataFrame, text_col: str = "text", shingle: int = 5, le
     tables = nodes.select("_u", F.posexplode("_marks").alias("_t", "_m"))
     variants = tables.select("_u", F.explode(F.transform(masks, lambda m: F.col("_m").bitwiseXOR(m) + F.shiftleft(F.col("_t").cast("long"), TABLE_BITS))).alias("_v"))
     order = Window.partitionBy("_v").orderBy("_u")
-    met = variants.select("_u", F.explode(F.array(F.lag("_u").over(order), F.first("_u").over(order))).alias("_w"))
+    met = variants.select("_u", F.lag("_u").over(order).alias("_before"), F.first("_u").over(order).alias("_first")).where("_before is not null").select("_u", F.explode(F.array("_before", "_first")).alias("_w"))
     pairs = met.where("_w is not null and _w <> _u").select(F.greatest("_u", "_w").alias("a"), F.least("_u", "_w").alias("b")).distinct()
     one, two = nodes.select(F.col("_u").alias("a"), F.col("_marks").alias("_x")), nodes.select(F.col("_u").alias("b"), F.col("_marks").alias("_y"))
     apart = F.aggregate(F.zip_with("_x", "_y", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, n: s + n)

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from .plans import changes, graph, measures, texts  # noqa: F401
+from .plans.registry import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]

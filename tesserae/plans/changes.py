@@ -1,0 +1,157 @@
+"""Queries on snapshots, watermarks, documents, jobs and streams."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import diff as D
+from ..operators import documents as P
+from ..operators import passes
+from ..operators import settle as S
+from ..streaming import jobs as J
+from . import adapters as A
+from .measures import _credited
+from .registry import query
+
+_NEW = "(SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS status FROM orders WHERE o_orderkey % 11 <> 3 UNION ALL SELECT -o_orderkey - 1, o_orderstatus FROM orders WHERE o_orderkey % 50 = 1)"
+
+
+def _snapshots(spark, d):
+    o = A.table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    new = o.where("o_orderkey % 11 <> 3").select("o_orderkey", F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(F.col("status")).alias("status"))
+    return o, new.unionByName(o.where("o_orderkey % 50 = 1").select((-F.col("o_orderkey") - 1).alias("o_orderkey"), "status"))
+
+
+@query(f"""SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN a.o_orderkey IS NULL THEN 'created' WHEN b.o_orderkey IS NULL THEN 'removed' WHEN a.o_orderstatus = b.status THEN 'unchanged' ELSE 'changed' END AS state
+FROM orders a FULL JOIN {_NEW} b ON a.o_orderkey = b.o_orderkey""")
+def snapshot_diff(spark, d):
+    return D.snapshot_diff(*_snapshots(spark, d), ["o_orderkey"], unchanged=True)
+
+
+@query(f"SELECT o_orderkey, o_orderstatus AS status FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {_NEW}) UNION ALL SELECT * FROM {_NEW}")
+def upsert_snapshot(spark, d):
+    return D.upsert(*_snapshots(spark, d), ["o_orderkey"])
+
+
+@query(f"SELECT n.* FROM {_NEW} n LEFT JOIN orders o ON o.o_orderkey = n.o_orderkey AND o.o_orderstatus = n.status WHERE o.o_orderkey IS NULL")
+def delta_rows(spark, d):
+    return D.delta(*_snapshots(spark, d), ["o_orderkey"])
+
+
+@query("SELECT user_id, ts, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1")
+def upsert_latest(spark, d):
+    e = A.table(spark, d, "events").select("user_id", "ts", "event_type", "event_id")
+    return D.latest(e, "user_id", "ts", "event_id").select("user_id", "ts", "event_type", "event_id")
+
+
+@query("""SELECT event_id FROM events WHERE event_id NOT IN (SELECT event_id FROM events WHERE event_id % 3 = 0)""")
+def watermark_pending(spark, d):
+    """Events not done under version 2, where every third was, and others under version 1 only."""
+    e = A.table(spark, d, "events").select("event_id")
+    done = e.select("event_id", F.when(F.col("event_id") % 3 == 0, "2").otherwise("1").alias("version")).where("event_id % 3 <> 1")
+    return D.pending(e, done, ["event_id"], "2")
+
+
+@query("""SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'put' ELSE 'remove' END AS act FROM (SELECT c_custkey AS k FROM customer WHERE c_custkey % 5 <> 0) a FULL JOIN (SELECT c_custkey AS k FROM customer WHERE c_custkey % 3 <> 0) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL""")
+def mirror_sync_sets(spark, d):
+    c = A.table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
+    diff = D.snapshot_diff(c.where("k % 5 <> 0").withColumn("x", F.lit(1)), c.where("k % 3 <> 0").withColumn("x", F.lit(1)), ["k"])
+    return diff.select("k", F.when(F.col("state") == "removed", "remove").otherwise("put").alias("act"))
+
+
+def _pages(spark, d):
+    s = A.statements(spark, d)
+    names = A.table(spark, d, "supplier").select(F.col("s_suppkey").alias("credited"), "s_name")
+    day = A.sources(spark, d).select(F.col("id").alias("source"), "day", "public")
+    told = s.join(day, "source")
+    taught = P.nest(told.where("kind = 'taught'"), "entity", [F.col("position"), F.col("key")], {"key": F.col("key"), "source": F.col("source"), "day": F.col("day"), "public": F.col("public")}, "statements")
+    wrong = P.nest(told.where("kind = 'mistake'"), "entity", [F.col("day"), F.col("key")], {"key": F.col("key"), "day": F.col("day")}, "mistakes")
+    who = P.nest(_credited(spark, d).select("entity", "credited").distinct().join(names, "credited"), "entity", [F.col("s_name")], {"name": F.col("s_name")}, "teachers")
+    edges = S.overlay(A.events(spark, d))
+    mentions = P.nest(edges.select(F.col("subj").alias("entity"), "tgt", "n"), "entity", [-F.col("n"), F.col("tgt")], {"target": F.col("tgt"), "count": F.col("n")}, "mentions")
+    refs = P.nest(edges.select(F.col("tgt").alias("entity"), "subj", "n"), "entity", [-F.col("n"), F.col("subj")], {"target": F.col("subj"), "count": F.col("n")}, "referenced_by", P.REFERENCED_LIMIT)
+    pages = A.entities(spark, d).select(F.col("id").alias("entity"), "slug", "name", "kind")
+    return P.assemble(pages, "entity", [taught, wrong, who, mentions, refs])
+
+
+@query(f"""WITH s AS (SELECT entity, count(*) FILTER (kind = 'taught') AS t, count(*) FILTER (kind = 'mistake') AS m FROM {A.STATEMENTS} GROUP BY entity), o AS {A.OVERLAY},
+a AS (SELECT subj, count(*) AS n FROM o GROUP BY subj), b AS (SELECT tgt, count(*) AS n FROM o GROUP BY tgt)
+SELECT id AS entity, slug, coalesce(t, 0) AS statements_count, coalesce(m, 0) AS mistakes_count, coalesce(a.n, 0) AS mentions_count, coalesce(b.n, 0) AS referenced_by_count, coalesce(b.n, 0) BETWEEN 1 AND 25 AS listed
+FROM {A.ENTITIES} x LEFT JOIN s ON s.entity = id LEFT JOIN a ON a.subj = id LEFT JOIN b ON b.tgt = id""")
+def page_document_counts(spark, d):
+    got = _pages(spark, d)
+    return got.select("entity", "slug", "statements_count", "mistakes_count", "mentions_count", "referenced_by_count", F.coalesce(F.size("referenced_by") > 0, F.lit(False)).alias("listed"))
+
+
+@query()
+def page_documents(spark, d):
+    return _pages(spark, d)
+
+
+@query()
+def markdown_pages(spark, d):
+    p = _pages(spark, d)
+    line = lambda c, name: F.transform(c, lambda s: F.concat(F.lit("- "), s[name].cast("string")))
+    counted = lambda c: F.transform(F.coalesce(c, F.array().cast("array<struct<target:bigint,count:bigint>>")), lambda s: F.concat(F.lit("- [["), s["target"].cast("string"), F.lit("]] ("), s["count"].cast("string"), F.lit(")")))
+    text = P.markdown(F.col("name"), {"kind": F.col("kind"), "slug": F.col("slug")}, {"Statements": line(F.col("statements"), "key"), "Mistakes": line(F.col("mistakes"), "key"), "Taught by": line(F.col("teachers"), "name"), "Mentions": counted(F.col("mentions")), "Referenced by": counted(F.col("referenced_by"))})
+    return p.select(F.concat_ws("/", F.col("kind"), F.concat("slug", F.lit(".md"))).alias("path"), text.alias("text"))
+
+
+@query("""SELECT section, array_to_string(list(name ORDER BY lower(name), name), '; ') AS entries, count(*) AS n FROM (SELECT DISTINCT 'part' AS section, p_name AS name FROM part UNION SELECT 'supplier', s_name FROM supplier) GROUP BY section""")
+def index_listing(spark, d):
+    rows = A.table(spark, d, "part").select(F.lit("part").alias("section"), F.col("p_name").alias("name")).unionByName(A.table(spark, d, "supplier").select(F.lit("supplier").alias("section"), F.col("s_name").alias("name"))).distinct()
+    got = rows.groupBy("section").agg(F.array_sort(F.collect_list(F.struct(F.lower("name").alias("l"), "name"))).alias("_a"))
+    return got.select("section", F.array_join(F.transform("_a", lambda s: s["name"]), "; ").alias("entries"), F.size("_a").cast("long").alias("n"))
+
+
+@query("""WITH t AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS e FROM lineitem WHERE l_orderkey % 20 = 0),
+j AS (SELECT 'generate' AS job, o, e FROM t UNION ALL SELECT 'consolidate', o, e FROM t WHERE e % 4 = 0),
+b AS (SELECT *, (row_number() OVER (PARTITION BY job, o ORDER BY e) - 1) // 3 AS batch FROM j)
+SELECT job, CAST(o AS VARCHAR) AS origin_source_id, batch, list(e ORDER BY e) AS entities FROM b GROUP BY job, o, batch""")
+def job_followons(spark, d):
+    o = A.table(spark, d, "lineitem").select("l_orderkey").where("l_orderkey % 20 = 0").distinct()
+    jobs = J.parse(o.select(F.to_json(F.struct(F.lit("link").alias("job"), F.col("l_orderkey").cast("string").alias("source_id"))).alias("body"))).where("problem is null")
+    touched = A.table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("source_id"), F.col("l_partkey").alias("entity")).distinct()
+    return J.follow_ons(jobs, touched, A.table(spark, d, "part").where("p_partkey % 4 = 0").select(F.col("p_partkey").alias("entity")), 3)
+
+
+@query("""SELECT body, CASE WHEN event_id % 4 = 0 THEN 'unreadable' WHEN event_id % 4 = 1 THEN 'unknown job' WHEN event_id % 4 = 2 THEN 'no source' END AS problem FROM
+(SELECT event_id, CASE event_id % 4 WHEN 0 THEN '{' || event_id WHEN 1 THEN '{"job":"x' || event_id || '"}' WHEN 2 THEN '{"job":"link"}' ELSE '{"job":"link","source_id":"' || event_id || '"}' END AS body FROM events)""")
+def job_validation(spark, d):
+    k = F.col("event_id").cast("string")
+    body = F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("{"), k)).when(F.col("event_id") % 4 == 1, F.concat(F.lit('{"job":"x'), k, F.lit('"}'))).when(F.col("event_id") % 4 == 2, F.lit('{"job":"link"}')).otherwise(F.concat(F.lit('{"job":"link","source_id":"'), k, F.lit('"}')))
+    return J.parse(A.table(spark, d, "events").select(body.alias("body"))).select("body", "problem")
+
+
+@query("""SELECT p_partkey AS id, p_name AS definition, CASE WHEN p_partkey % 2 = 0 THEN 2 ELSE 1 END AS revisions FROM part""")
+def revisions(spark, d):
+    p = A.table(spark, d, "part")
+    state = D.record_revision(spark.createDataFrame([], "slug string, definition string, revisions array<struct<by:string,at:string,definition:string>>"), p.select(F.col("p_partkey").cast("string").alias("slug"), F.col("p_name").alias("definition")), "page", "2026-01-01")
+    state = D.record_revision(state, p.where("p_partkey % 2 = 0").select(F.col("p_partkey").cast("string").alias("slug"), F.col("p_brand").alias("definition")), "llm", "2026-01-02")
+    back = D.revert(state, "2026-01-03")
+    return back.select(F.col("slug").cast("long").alias("id"), "definition", F.least(F.size("revisions"), F.lit(2)).alias("revisions"))
+
+
+@query("""SELECT p_partkey AS child, p_partkey - p_partkey % 10 AS parent, p_size % 2 = 0 AS same FROM part WHERE p_partkey % 10 <> 0 AND p_partkey % 10 > 4 AND (p_partkey // 100 % 2 = 0 OR p_size % 2 = 0)""")
+def model_folds(spark, d):
+    """Folds that a replayed model answers: onto the next lower ten, whose weight is 5, from a part that weighs its last digit less 10's complement; by hundreds the group is pattern or not."""
+    p = A.table(spark, d, "part").select(F.col("p_partkey").alias("k"), "p_size")
+    ids = p.select(F.col("k").cast("string").alias("id"))
+    grp = F.when(F.floor(F.col("id").cast("long") / 100) % 2 == 0, "idea").otherwise("pattern")
+    weights = ids.select("id", F.when(F.col("id").cast("long") % 10 == 0, 5).otherwise(10 - F.col("id").cast("long") % 10).alias("weight"))
+    rows = p.where("k % 10 <> 0").select(F.floor(F.col("k") / 50).alias("batch"), F.struct(F.col("k").cast("string").alias("id"), F.lit(True).alias("fold"), (F.col("k") - F.col("k") % 10).cast("string").alias("parent"), (F.col("p_size") % 2 == 0).alias("same")).alias("e"))
+    answers = rows.groupBy("batch").agg(F.to_json(F.struct(F.collect_list("e").alias("entries"))).alias("answer"))
+    got = passes.fold_answers(answers, ids.select("id", grp.alias("grp")), weights)
+    return got.select(F.col("child").cast("long").alias("child"), F.col("parent").cast("long").alias("parent"), "same")
+
+
+@query("SELECT CAST(floor(epoch(ts) / 3600) * 3600 AS BIGINT) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def event_windows(spark, d):
+    got = J.windows(A.table(spark, d, "events"), "ts", "1 hour", None, None, "event_type")
+    return got.select(F.unix_timestamp("start").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query("""SELECT user_id, CAST(min(floor(epoch(ts))) AS BIGINT) AS start, count(*) AS n FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM
+ (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > ts - INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM events)) GROUP BY user_id, s""")
+def event_sessions(spark, d):
+    return J.sessions(A.table(spark, d, "events"), "ts", "6 hours", "user_id").select("user_id", F.unix_timestamp("start").alias("start"), "n")

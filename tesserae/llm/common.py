@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -49,10 +50,15 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows of df from a Parquet table in the shared folder: cuts the lineage, so that a lost executor costs no recomputation."""
+    """The rows of df from a Parquet table in the shared folder: cuts the lineage, so that a lost executor costs no recomputation.
+
+    What the job that wrote them has shuffled is garbage then; collecting it lets Spark delete those files before the next job.
+    """
     spark = df.sparkSession
     path = new_folder(spark, label)
     df.write.parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -13,10 +13,12 @@ from xxhash import xxh64_intdigest
 
 from . import words as W
 from .common import chunk_count, chunked, col, end_to_end, table, text_bytes, texts_of, written
-from .tally import ASKS, Keys, read_heard, sizes, tally
+from .tally import ASKS, Keys, read_heard, sizes, tally, unscaled
 
 #: Rows of a token that meet in one group before its rows are dealt over several, and candidates that a line keeps of a token.
 RUN, KEPT = 20_000, 3
+#: A token's place in its line up to this, and above it the blocks over which its rows are dealt, make one number.
+PLACES = 1 << 20
 
 
 class Lines:
@@ -44,12 +46,13 @@ class Lines:
         fresh[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
         self.line, self.token = line[fresh], h[fresh]
 
-    def by_rarity(self, heard: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Sorts each line's tokens by how many lines hold them and by hash, and returns those numbers."""
-        df = np.ones(len(self.token), np.int64)
+    def by_rarity(self, keys: Keys, heard: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Sorts each line's tokens by how many lines hold them (as scaled, 0 for one line) and by hash, and returns those numbers."""
+        df = np.zeros(len(self.token), np.int64)
         if len(heard):
-            at = np.minimum(np.searchsorted(heard, self.token), len(heard) - 1)
-            df = np.where(heard[at] == self.token, counts[at], 1).astype(np.int64)
+            cut = keys.cut(self.token)
+            at = np.minimum(np.searchsorted(heard, cut), len(heard) - 1)
+            df = np.where(heard[at] == cut, counts[at], 0).astype(np.int64)
         order = np.lexsort((self.token, df, self.line))
         self.line, self.token = self.line[order], self.token[order]
         return df[order]
@@ -137,8 +140,10 @@ def _join(postings: DataFrame, buckets: int, kept: int | None) -> DataFrame:
         new[1:] = (p["token"][1:] != p["token"][:-1]) | (p["pair"][1:] != p["pair"][:-1])
         y, x, apart, more = candidates(p, np.cumsum(new), kept)
         both = np.stack([p["k1"][y], p["k2"][y], p["k1"][x], p["k2"][x]], 1)
-        both, at = np.unique(both, axis=0, return_index=True) if len(both) else (both, y)
-        return pa.table({**{n: both[:, i] for i, n in enumerate(("y1", "y2", "x1", "x2"))}, "apart": pa.array(apart[at], pa.int32()), "more": more[y][at]})
+        both, at, which = np.unique(both, axis=0, return_index=True, return_inverse=True)
+        left = np.zeros(len(both), bool)
+        np.logical_or.at(left, which.ravel(), more[y])  # of any token
+        return pa.table({**{n: both[:, i] for i, n in enumerate(("y1", "y2", "x1", "x2"))}, "apart": pa.array(apart[at], pa.int32()), "more": left})
 
     met = postings.groupBy(F.pmod(F.xxhash64("token", "pair"), F.lit(buckets)).alias("_bucket")).applyInArrow(run, _PAIRS)
     return met.groupBy("y1", "y2", "x1", "x2").agg(F.min("apart").alias("apart"), F.max("more").alias("more"))
@@ -162,23 +167,23 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     total = text_bytes(docs, text_col)
     parts = chunked(docs.withColumn(id_col, col(id_col).cast("long")), id_col, text_col, chunk_count(total), carried)
     bits, _ = sizes(total)
-    keys = Keys(bits, 8)
+    keys = Keys(bits, 5)  # tokens that are taken for one another are only thought more frequent, by all chunks alike
     buckets = max(8, total >> 22)
 
     def ask(key: tuple, group: pa.Table) -> pa.Table:
-        token, count = np.unique(Lines(group["_id"].to_pylist(), texts_of(group["_text"])).token, return_counts=True)
+        token, count = np.unique(keys.cut(Lines(group["_id"].to_pylist(), texts_of(group["_text"])).token), return_counts=True)
         return keys.rows(key[0].as_py(), token, counts=count)
 
     def sets(key: tuple, group: pa.Table, told: pa.Table) -> pa.Table:
         own = Lines(group["_id"].to_pylist(), texts_of(group["_text"]))
-        df = own.by_rarity(*read_heard(told, keys))
+        df = own.by_rarity(keys, *read_heard(told, keys))
         at = np.flatnonzero(np.diff(own.line, prepend=-1))
         n = np.diff(np.append(at, len(own.line)))
         k1, k2, s1, s2 = _signatures(own.token, at) if len(at) else [np.zeros(0, np.uint64)] * 4
         _, first = np.unique(np.stack([k1, k2], 1), axis=0, return_index=True)  # of a set's lines, which ascend, the first
         first.sort()
         place = np.arange(len(own.line)) - np.repeat(at, n)
-        shared = (df >= 2) & (place < np.repeat(prefix(n), n))
+        shared = (df > 0) & (place < np.repeat(prefix(n), n))
         which = np.repeat(np.arange(len(at)), n)[shared]
         ends = np.searchsorted(which, np.arange(len(at) + 1))
         each = np.diff(ends)[first]
@@ -191,18 +196,18 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             {
                 "_chunk": pa.array([key[0].as_py()] * len(first), pa.int64()), "k1": _signed(k1[first]), "k2": _signed(k2[first]), "s1": _signed(s1[first]), "s2": _signed(s2[first]),
                 "id": pa.array([own.ids[d] for d in doc.tolist()], pa.int64()), "tie": pa.array([own.ties[d] for d in doc.tolist()], pa.int64()), "line": pa.array(own.number[own.line[at][first]], pa.int32()), "n": pa.array(n[first], pa.int32()),
-                "tokens": listed(own.token.view(np.int64), pa.int64()), "places": listed(place, pa.int32()), "dfs": listed(df, pa.int64()),
+                "tokens": listed(keys.cut(own.token).view(np.int64), pa.int64()), "places": listed(np.minimum(place, PLACES - 1) + PLACES * np.minimum(np.ceil(unscaled(df) / RUN), 2047).astype(np.int64), pa.int32()),
             }
         )
 
-    made = "_chunk long, k1 long, k2 long, s1 long, s2 long, id long, tie long, line int, n int, tokens array<long>, places array<int>, dfs array<long>"
+    made = "_chunk long, k1 long, k2 long, s1 long, s2 long, id long, tie long, line int, n int, tokens array<long>, places array<int>"
     told = tally(parts.groupBy("_chunk").applyInArrow(ask, ASKS), keys)
     found = parts.groupBy("_chunk").cogroup(told.groupBy("_of")).applyInArrow(sets, made)
     earliest = Window.partitionBy("k1", "k2").orderBy("id", "tie", "line")  # a row for each chunk at most
     known = written(found.withColumn("_first", F.row_number().over(earliest) == 1), "line-sets")
     firsts = known.where("_first")
-    rows = firsts.select("k1", "k2", "s1", "s2", F.coalesce("id", F.lit(-(2**63))).alias("id"), "line", "n", F.explode(F.arrays_zip("tokens", "places", "dfs")).alias("_z"))
-    rows = rows.select("k1", "k2", "s1", "s2", "id", "line", "n", F.col("_z.tokens").alias("token"), F.col("_z.places").alias("pos"), F.ceil(F.col("_z.dfs") / RUN).alias("_blocks"))
+    rows = firsts.select("k1", "k2", "s1", "s2", F.coalesce("id", F.lit(-(2**63))).alias("id"), "line", "n", F.explode(F.arrays_zip("tokens", "places")).alias("_z"))
+    rows = rows.select("k1", "k2", "s1", "s2", "id", "line", "n", F.col("_z.tokens").alias("token"), (F.col("_z.places") % PLACES).alias("pos"), F.floor(F.col("_z.places") / PLACES).alias("_blocks"))
     block = F.pmod("k1", "_blocks")
     meets = F.when(F.col("_blocks") <= 1, F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda j: F.least(j, block) * F.col("_blocks") + F.greatest(j, block)))
     postings = rows.select("k1", "k2", "s1", "s2", "id", "line", "n", "token", "pos", F.explode(meets).alias("pair"))

@@ -46,7 +46,7 @@ class Keys:
                 "_chunk": pa.array([chunk] * len(spans), pa.int64()),
                 "_bucket": pa.array((cut[at] >> np.uint64(self.low)).astype(np.int64).tolist() if len(cut) else [], pa.int64()),
                 "_keys": pa.array([raw[a:b].tobytes() for a, b in spans], pa.binary()),
-                "_counts": pa.array([b"" if counts is None else counts[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary()),
+                "_counts": pa.array([b"" if counts is None else np.minimum(counts[a:b], 65535).astype("<u2").tobytes() for a, b in spans], pa.binary()),
             }
         )
 
@@ -68,8 +68,17 @@ def sizes(total_bytes: int, spare: int = 10) -> tuple[int, int]:
     return bits, min(8, max(2, -(-need // 8)))
 
 
+def scaled(n: np.ndarray) -> np.ndarray:
+    """Numbers from 1 on by their logarithm, in order, within 16 bits; 0 for 1 alone."""
+    return np.minimum(1600 * np.log2(n), 65535).astype(np.int64)
+
+
+def unscaled(n: np.ndarray) -> np.ndarray:
+    return np.exp2(n / 1600)
+
+
 def tally(asks: DataFrame, keys: Keys, least: int = 2) -> DataFrame:
-    """For each chunk that asked: its keys that all chunks together have least times or more, and that number where counts were given.
+    """For each chunk that asked: its keys that all chunks together have least times or more, and where counts were given (up to 65535 of a chunk) that number, scaled().
 
     Without counts a key counts once for each time that it is sent. Second hashes are counted by, but not sent back.
     """
@@ -80,7 +89,7 @@ def tally(asks: DataFrame, keys: Keys, least: int = 2) -> DataFrame:
         parts = [keys.unpack(bucket, x) for x in group["_keys"].to_pylist()]
         sent = group["_counts"].to_pylist()
         one = np.concatenate([x[0] for x in parts])
-        weight = np.concatenate([np.frombuffer(c, "<u4") if c else np.ones(len(p[0]), np.uint32) for c, p in zip(sent, parts, strict=True)]).astype(np.int64)
+        weight = np.concatenate([np.frombuffer(c, "<u2") if c else np.ones(len(p[0]), np.uint16) for c, p in zip(sent, parts, strict=True)]).astype(np.int64)
         if keys.wide:
             two = np.concatenate([x[1] for x in parts])
             order = np.lexsort((two, one))
@@ -102,18 +111,18 @@ def tally(asks: DataFrame, keys: Keys, least: int = 2) -> DataFrame:
                 kept = back.rows(chunk, part[0][keep])
                 out["_of"].append(chunk)
                 out["_keys"].append(bucket.to_bytes(8, "little") + kept["_keys"][0].as_py())
-                out["_counts"].append(np.minimum(mine[keep], 2**32 - 1).astype("<u4").tobytes() if counts else b"")
+                out["_counts"].append(scaled(mine[keep]).astype("<u2").tobytes() if counts else b"")
         return pa.table(out, pa.schema([("_of", pa.int64()), ("_keys", pa.binary()), ("_counts", pa.binary())]))
 
     return asks.groupBy("_bucket").applyInArrow(heard, HEARD)
 
 
 def read_heard(group: pa.Table, keys: Keys) -> tuple[np.ndarray, np.ndarray]:
-    """The keys that a chunk hears of in ascending order, and the numbers where counts were given."""
+    """The keys that a chunk hears of in ascending order, and the scaled numbers where counts were given."""
     back = replace(keys, wide=False)
-    parts = [(back.unpack(int.from_bytes(x[:8], "little"), x[8:])[0], np.frombuffer(c, "<u4")) for x, c in zip(group["_keys"].to_pylist(), group["_counts"].to_pylist(), strict=True)]
+    parts = [(back.unpack(int.from_bytes(x[:8], "little"), x[8:])[0], np.frombuffer(c, "<u2")) for x, c in zip(group["_keys"].to_pylist(), group["_counts"].to_pylist(), strict=True)]
     if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint16)
     one, count = np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
     order = np.argsort(one, kind="stable")
     return one[order], count[order] if len(count) else count

@@ -165,10 +165,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     before it meets the rest, and meets all of them if none is confirmed.
     """
     total = text_bytes(docs, text_col)
-    parts = chunked(docs.withColumn(id_col, col(id_col).cast("long")), id_col, text_col, chunk_count(total), carried)
+    parts = chunked(docs.withColumn(id_col, col(id_col).cast("long")), id_col, text_col, 2 * chunk_count(total), carried)  # a chunk's arrays are several times its text
     bits, _ = sizes(total)
     keys = Keys(bits, 5)  # tokens that are taken for one another are only thought more frequent, by all chunks alike
-    buckets = max(8, total >> 22)
+    buckets = max(8, total >> 21)
 
     def ask(key: tuple, group: pa.Table) -> pa.Table:
         token, count = np.unique(keys.cut(Lines(group["_id"].to_pylist(), texts_of(group["_text"])).token), return_counts=True)

@@ -52,7 +52,7 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows of df from a Parquet table in the shared folder: cuts the lineage, so that a lost executor costs no recomputation.
 
-    What the job that wrote them has shuffled is garbage then; collecting it lets Spark delete those files before the next job.
+    What the job that wrote them has shuffled is garbage then; collecting it asks Spark to delete those files, which it does in its own time.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from .common import col, squeezed, table, texts_of, written
+from .common import col, squeezed, table, text_bytes, texts_of, written
 from .components import connected_components
 from .words import mix
 
@@ -96,57 +96,161 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
-#: Bits of a table's fingerprint and tables of similar_groups; and how many of all bits may differ before a pair is verified.
-TABLE_BITS, TABLES, NEAR = 32, 10, 0.19
+#: Longs of a text's parities; rows of a shingle that meet in one group; rows up to which a run is compared whole at once, and candidates that a row of a longer run looks for before they are verified.
+PARITIES, RUN, SHORT, KEPT = 16, 20_000, 32, 3
+#: Texts of which frequent shingles are learnt, and how many of these are told to all tasks: this changes the work, not the result.
+SAMPLE, FREQUENT = 4_000, 200_000
+_POST = np.dtype([("token", "<u8"), ("pair", "<i8"), ("u", "<i8"), ("n", "<i4"), ("pos", "<i4")])
+_EPS = 1e-9
 
 
-def long_fingerprint(text: str, size: int) -> list[int]:
-    """TABLES fingerprints of TABLE_BITS bits each, from mixed hashes of the shingles, as non-negative numbers."""
-    got = shingles(text, size)
-    if not got:
-        return [0] * TABLES
-    h = np.fromiter((xxh64_intdigest(s, 42) for s in got), np.uint64, len(got))
-    at = np.arange(0, len(h), 255)
-    out: list[int] = []
-    for i in range(TABLES // 2):
-        x = mix(h + np.uint64(0x9E3779B97F4A7C15 * (i + 1) % 2**64))
-        ones = np.empty((8, 8), np.int64)
-        for bit in range(8):
-            ones[:, bit] = np.add.reduceat((x >> np.uint64(bit)) & _LANES, at).view(np.uint8).reshape(-1, 8).sum(0, dtype=np.int64)
-        out += np.packbits(ones.ravel() * 2 > len(h), bitorder="little").view("<u4").tolist()
-    return out
+def distinct_hashes(text: str, size: int) -> np.ndarray:
+    """XXH64 (seed 42) of the distinct shingles, ascending."""
+    got = set(shingles(text, size))
+    return np.unique(np.fromiter((xxh64_intdigest(s, 42) for s in got), np.uint64, len(got)))
+
+
+def parities(h: np.ndarray) -> list[int]:
+    """Of how many shingles, odd or even, fall on each of so many bits: two sets differ in at least as many as their parities do in bits."""
+    odd = np.bincount((mix(h) & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
+
+
+def meet(n: np.ndarray, pos: np.ndarray, run: np.ndarray, least: float, kept: int | None, group: np.ndarray | None = None, asks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (y, x) of rows of one run, x before y, that pass the length and the positional filter; and which rows had more than `kept`.
+
+    run ascends. In a run of over SHORT rows a row stops once it has found more than `kept`. Given groups, only rows that ask are y, and
+    pairs within a group are left out.
+    """
+    found, more = [(np.zeros(0, np.int64),) * 2], np.zeros(len(n), bool)
+
+    def fit(y: np.ndarray, x: np.ndarray) -> np.ndarray:
+        ny, nx = n[y].astype(np.int64), n[x].astype(np.int64)
+        shared = np.minimum(pos[y], pos[x]) + np.minimum(ny - pos[y], nx - pos[x])  # at most so many in common
+        ok = (np.minimum(ny, nx) + _EPS >= least * np.maximum(ny, nx)) & ((1 + least) * shared + _EPS >= least * (ny + nx))
+        return ok if group is None else ok & (group[y] != group[x])
+
+    _, first, size = np.unique(run, return_index=True, return_counts=True)
+    length = np.repeat(size, size)
+    for d in range(1, SHORT):
+        y = np.flatnonzero((run[d:] == run[:-d]) & (length[d:] <= SHORT)) + d if len(run) > d else found[0][0]
+        if not len(y):
+            break
+        y = y if asks is None else y[asks[y]]
+        y = y[fit(y, y - d)]
+        found.append((y, y - d))
+    for a, m in zip(first[size > SHORT].tolist(), size[size > SHORT].tolist(), strict=True):
+        had, waiting = np.zeros(m, np.int64), np.arange(m)
+        waiting = waiting if asks is None else waiting[asks[a : a + m]]
+        for s in range(0, m, 64):
+            waiting = waiting[waiting > s]
+            for t in range(0, len(waiting), 4096):
+                rows = waiting[t : t + 4096]
+                y, x = np.repeat(rows, min(64, m - s)), np.tile(np.arange(s, min(m, s + 64)), len(rows))
+                y, x = y[x < y], x[x < y]
+                ok = fit(a + y, a + x)
+                y, x = y[ok], x[ok]
+                if kept is not None and len(y):
+                    nth = np.arange(len(y)) - np.searchsorted(y, y) + had[y]
+                    more[a + y[nth >= kept]] = True
+                    np.add.at(had, y, 1)
+                    y, x = y[nth < kept], x[nth < kept]
+                found.append((a + y, a + x))
+            waiting = waiting[had[waiting] <= kept] if kept is not None else waiting
+    return (*(np.concatenate(c) for c in zip(*found, strict=True)), more)
+
+
+def frequent_shingles(keyed: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, ascending, of shingles that several of about SAMPLE texts hold, and in how many texts of all each may be."""
+    total = keyed.count()
+    deal = max(1, total // SAMPLE)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every = [distinct_hashes(x, shingle) for x in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *every]).view(np.int64))], ["h"])
+
+    some = keyed.where(F.pmod(F.xxhash64("_u", F.lit("sample")), F.lit(deal)) == 0).select("_text").mapInArrow(hashed, "h long")
+    rows = some.groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(FREQUENT).toArrow()
+    h, count = rows["h"].to_numpy().view(np.uint64), rows["count"].to_numpy() * deal
+    order = np.argsort(h)
+    return h[order], count[order]
 
 
 def similar_groups(docs: DataFrame, text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
-    """(_text_hash, _group): the groups of texts connected by a Jaccard similarity of word shingles of `least` or more.
+    """(_text_hash, _group): the groups of texts connected by a Jaccard similarity of the sets of word shingles of `least` or more.
 
-    Such texts differ at about a seventh of a fingerprint's bits, too many for one ball; so each text has TABLES shorter
-    fingerprints, each of which emits its variants at one bit or none, and texts meet where any of these fingerprints differ at two
-    bits or fewer: nine in ten at a similarity of exactly 0.8, nearly all beyond. Those that meet on a variant are paired with the
-    one before and with the first, pairs whose fingerprints altogether are too far apart go, and the rest are verified on
-    their shingles. Only groups of more than one text are returned; equal texts share a hash and count once; nulls count as empty.
+    Exact: of a set's shingles in one order for all, frequent ones last, the first few must hold one of any similar set, so texts meet on
+    these. A shingle's rows beyond RUN are dealt over pairs of blocks. Pairs that pass the length and the positional filter and the
+    bound from their parities are verified on their shingles. Where a text has many candidates of a shingle it takes a few first; once
+    these are verified it meets all others there that are not yet connected with it, so that every pair is connected or rejected.
+    Only groups of more than one text are returned; equal texts share a hash and count once; nulls count as empty.
     """
     text = F.coalesce(col(text_col), F.lit(""))
     keyed = docs.select(F.xxhash64(text).alias("_u"), text.alias("_text"))
+    often, spread = frequent_shingles(keyed, shingle)
+    buckets = max(8, text_bytes(docs, text_col) >> 21)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = [long_fingerprint(x, shingle) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.list_(pa.int64()))], ["_u", "_marks"])
-
-    nodes = written(keyed.mapInArrow(make, "_u long, _marks array<long>").dropDuplicates(["_u"]), "long-marks")
-    masks = F.array(*[F.lit(m) for m in [0, *(1 << b for b in range(TABLE_BITS))]])
-    tables = nodes.select("_u", F.posexplode("_marks").alias("_t", "_m"))
-    variants = tables.select("_u", F.explode(F.transform(masks, lambda m: F.col("_m").bitwiseXOR(m) + F.shiftleft(F.col("_t").cast("long"), TABLE_BITS))).alias("_v"))
-    order = Window.partitionBy("_v").orderBy("_u")
-    met = variants.select("_u", F.lag("_u").over(order).alias("_before"), F.first("_u").over(order).alias("_first")).where("_before is not null").select("_u", F.explode(F.array("_before", "_first")).alias("_w"))
-    pairs = met.where("_w is not null and _w <> _u").select(F.greatest("_u", "_w").alias("a"), F.least("_u", "_w").alias("b")).distinct()
-    one, two = nodes.select(F.col("_u").alias("a"), F.col("_marks").alias("_x")), nodes.select(F.col("_u").alias("b"), F.col("_marks").alias("_y"))
-    apart = F.aggregate(F.zip_with("_x", "_y", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, n: s + n)
-    near = written(pairs.join(one, "a").join(two, "b").where(apart <= int(NEAR * TABLES * TABLE_BITS)).select("a", "b"), "near-pairs")
-    ends = near.select(F.col("a").alias("_u")).unionByName(near.select(F.col("b").alias("_u"))).distinct()
-    texts = squeezed(keyed).join(ends, "_u", "left_semi").dropDuplicates(["_u"])
-    texts = written(texts, "near-texts")
+            size, first, marks = [], [], []
+            for x in batch.column(1).to_pylist():
+                h = distinct_hashes(x, shingle)
+                at = np.minimum(np.searchsorted(often, h), max(0, len(often) - 1))
+                weight = np.where(often[at] == h, spread[at], 0) if len(often) else np.zeros(len(h), np.int64)
+                need = len(h) - int(np.ceil(least * len(h) - _EPS)) + 1 if len(h) else 0
+                size.append(len(h))
+                first.append(h[np.lexsort((h, weight))[:need]].tobytes())
+                marks.append(parities(h))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int32()), pa.array(first, pa.binary()), pa.array(marks, pa.list_(pa.int64()))], ["_u", "_n", "_first", "_marks"])
+
+    nodes = written(keyed.mapInArrow(make, "_u long, _n int, _first binary, _marks array<long>").dropDuplicates(["_u"]), "shingle-sets")
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            firsts = batch.column(2).to_pylist()
+            each = np.array([len(x) // 8 for x in firsts], np.int64)
+            p = np.zeros(int(each.sum()), _POST)
+            p["token"] = np.frombuffer(b"".join(firsts), "<u8")
+            p["u"], p["n"] = np.repeat(batch.column(0).to_numpy(), each), np.repeat(batch.column(1).to_numpy(), each)
+            p["pos"] = np.arange(len(p)) - np.repeat(np.cumsum(each) - each, each)
+            if len(often):  # a crowded shingle's row goes to each pair of blocks that holds its own
+                at = np.minimum(np.searchsorted(often, p["token"]), len(often) - 1)
+                blocks = np.where(often[at] == p["token"], -(-spread[at] // RUN), 1)
+                own, which = p["u"] % blocks, np.repeat(np.arange(len(p)), blocks)
+                j = np.arange(len(which)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+                p = p[which]
+                p["pair"] = np.minimum(j, own[which]) * blocks[which] + np.maximum(j, own[which])
+            to = (mix(p["token"] ^ mix(p["pair"].view(np.uint64) + np.uint64(1))) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            p, to = p[order], to[order]
+            at = np.flatnonzero(np.diff(to, prepend=-1))
+            ends = [*at[1:].tolist(), len(p)]
+            yield pa.RecordBatch.from_arrays([pa.array(to[at], pa.int64()), pa.array([p[a:b].tobytes() for a, b in zip(at.tolist(), ends[: len(at)], strict=True)], pa.binary())], ["_bucket", "_posts"])
+
+    def first_pairs(key: tuple, group: pa.Table) -> pa.Table:
+        p = np.frombuffer(b"".join(group["_posts"].to_pylist()), _POST)
+        p = p[np.lexsort((p["u"], p["n"], p["pair"], p["token"]))]
+        new = np.zeros(len(p), np.int64)
+        new[1:] = (p["token"][1:] != p["token"][:-1]) | (p["pair"][1:] != p["pair"][:-1])
+        run = np.cumsum(new)
+        y, x, more = meet(p["n"], p["pos"], run, least, KEPT)
+        both = np.unique(np.stack([np.maximum(p["u"][y], p["u"][x]), np.minimum(p["u"][y], p["u"][x])], 1), axis=0)
+        crowd = np.flatnonzero(np.isin(run, run[more]))  # members of the runs in which some had more
+        rest = np.zeros(len(both), np.int64)
+        return pa.table(
+            {
+                "a": np.concatenate([both[:, 0], p["u"][crowd]]), "b": np.concatenate([both[:, 1], p["u"][crowd]]), "_bucket": np.concatenate([rest, np.full(len(crowd), key[0].as_py())]), "_run": np.concatenate([rest - 1, run[crowd]]),
+                "_n": np.concatenate([rest, p["n"][crowd]]), "_pos": np.concatenate([rest, p["pos"][crowd]]), "_asks": np.concatenate([rest > 0, more[crowd]]),
+            }
+        )
+
+    def other_pairs(key: tuple, group: pa.Table) -> pa.Table:
+        u, n, pos, label, asks = (group[c].to_numpy() for c in ("u", "_n", "_pos", "_label", "_asks"))
+        order = np.lexsort((u, n))
+        y, x, _ = meet(n[order], pos[order], np.zeros(len(u), np.int64), least, None, label[order], asks[order].astype(bool))
+        y, x = u[order][y], u[order][x]
+        return pa.table({"a": np.maximum(y, x), "b": np.minimum(y, x)})
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,9 +260,27 @@ def similar_groups(docs: DataFrame, text_col: str = "text", shingle: int = 5, le
                 same.append(len(p & q) >= least * len(p | q))
             yield batch.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
 
-    x, y = (texts.select(F.col("_u").alias(n), F.col("_text").alias(f"_{n}")) for n in ("a", "b"))
-    links_ = near.join(x, "a").join(y, "b").select("a", "b", "_a", "_b").mapInArrow(verify, "a long, b long")
-    return connected_components(links_).select(F.col("node").alias("_text_hash"), F.col("component").alias("_group"))
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        one = nodes.select(F.col("_u").alias("a"), F.col("_n").alias("_na"), F.col("_marks").alias("_x"))
+        two = nodes.select(F.col("_u").alias("b"), F.col("_n").alias("_nb"), F.col("_marks").alias("_y"))
+        apart = F.aggregate(F.zip_with("_x", "_y", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, n: s + n)
+        within = (1 + least) * apart <= (1 - least) * (F.col("_na") + F.col("_nb")) + _EPS
+        near = written(pairs.distinct().join(one, "a").join(two, "b").where(within).select("a", "b"), "near-pairs")
+        ends = near.select(F.col("a").alias("_u")).unionByName(near.select(F.col("b").alias("_u"))).distinct()
+        texts = written(squeezed(keyed.join(ends, "_u", "left_semi")).dropDuplicates(["_u"]), "near-texts")
+        x, y = (texts.select(F.col("_u").alias(n), F.col("_text").alias(f"_{n}")) for n in ("a", "b"))
+        return written(near.join(x, "a").join(y, "b").select("a", "b", "_a", "_b").mapInArrow(verify, "a long, b long"), "links")
+
+    posts = nodes.select("_u", "_n", "_first").mapInArrow(deal, "_bucket long, _posts binary")
+    met = written(posts.groupBy("_bucket").applyInArrow(first_pairs, "a long, b long, _bucket long, _run long, _n long, _pos long, _asks boolean"), "met")
+    links_ = confirmed(met.where("_run < 0").select("a", "b"))
+    groups = connected_components(links_)
+    crowds = met.where("_run >= 0").select(F.col("a").alias("u"), "_bucket", "_run", "_n", "_pos", "_asks")
+    if not crowds.isEmpty():
+        labelled = crowds.join(groups, F.col("u") == F.col("node"), "left").select("u", "_bucket", "_run", "_n", "_pos", "_asks", F.coalesce("component", "u").alias("_label"))
+        others = labelled.groupBy("_bucket", "_run").applyInArrow(other_pairs, "a long, b long")
+        groups = connected_components(links_.unionByName(confirmed(others)))
+    return groups.select(F.col("node").alias("_text_hash"), F.col("component").alias("_group"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:

@@ -161,6 +161,44 @@ def test_one_of_each(docs, all_rows, none):
     assert simhash.one_of_each(none).collect() == []
 
 
+def brute_groups(texts, size=5, least=0.8):
+    """Pairs of texts that are alike, and each text's group by comparing all with all."""
+    sets = [set(simhash.shingles(t, size)) for t in texts]
+    alike = [(a, b) for a in range(len(texts)) for b in range(a) if len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]) > 0]
+    group = list(range(len(texts)))
+    for a, b in alike:
+        if group[a] != group[b]:
+            group = [group[b] if g == group[a] else g for g in group]
+    return alike, group
+
+
+def groups_of(spark, texts):
+    got = {}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    named = df.select("doc_id", F.xxhash64("text").alias("_text_hash")).join(simhash.similar_groups(df), "_text_hash").collect()
+    for r in named:
+        got.setdefault(r["_group"], set()).add(r["doc_id"])
+    return {frozenset(g) for g in got.values()}
+
+
+def sets_of(group):
+    return {frozenset(s) for s in ([i for i, g in enumerate(group) if g == k] for k in set(group)) if len(s) > 1}
+
+
+def test_similar_groups_find_every_pair_at_the_limit(spark):
+    rng = np.random.default_rng(11)
+    texts = []
+    for n in rng.integers(60, 600, 150).tolist():  # pairs at 0.80 to 0.83: the first so many shingles are shared
+        j = float(rng.uniform(0.80, 0.83))
+        words = [f"w{x}" for x in rng.integers(0, 10**9, n + 4)]
+        shared = int(np.ceil(2 * n * j / (1 + j)))
+        texts += [" ".join(words), " ".join([*words[: shared + 4], *[f"v{x}" for x in rng.integers(0, 10**9, n - shared)]])]
+    texts += ["a b", "A  b", "one two three four five six", "", " "]
+    alike, group = brute_groups(texts)
+    assert len(alike) > 150
+    assert groups_of(spark, texts) == sets_of(group)
+
+
 def test_packing(docs, all_rows, none):
     path = vocabulary_path(NAMES[0])
     tk = Tokenizer.from_file(path)

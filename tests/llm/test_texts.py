@@ -199,6 +199,26 @@ def test_similar_groups_find_every_pair_at_the_limit(spark):
     assert groups_of(spark, texts) == sets_of(group)
 
 
+@pytest.mark.parametrize("run", [20_000, 40])
+def test_similar_groups_of_a_large_family(spark, monkeypatch, run):
+    monkeypatch.setattr(simhash, "RUN", run)  # 40: a crowded shingle is dealt over pairs of blocks
+    rng = np.random.default_rng(12)
+    base = [f"w{x}" for x in range(300)]
+
+    def edited(words, edits):
+        words = list(words)
+        for at in rng.choice(len(words), edits, replace=False).tolist():
+            words[at] = f"x{rng.integers(0, 10**9)}"
+        return words
+
+    members = [edited(base, 8) for _ in range(160)]  # alike to about 0.6, a few more
+    texts = [" ".join(w) for w in members] + [" ".join(edited(w, 5)) for w in members[::2]] + [" ".join(edited(base, 1)) for _ in range(40)]
+    texts = [texts[i] for i in rng.permutation(len(texts))]
+    alike, group = brute_groups(texts)
+    assert len(alike) > 80 and 20 < len(sets_of(group)) < len(texts)
+    assert groups_of(spark, texts) == sets_of(group)
+
+
 def test_packing(docs, all_rows, none):
     path = vocabulary_path(NAMES[0])
     tk = Tokenizer.from_file(path)

@@ -288,14 +288,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return parts.groupBy("_chunk").cogroup(kept_by.groupBy("_at")).applyInArrow(left, out)
 
 
-def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", least: float = 0.2) -> DataFrame:
+def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """The columns of docs, texts without the lines that resemble earlier ones and length_col their length.
 
-    A document of which less than this share of its words is left repeats earlier ones as a whole and goes; one from which nothing
-    was removed always stays. Its id is an integer.
+    A document of which no word is left repeats earlier ones as a whole and goes; any other stays, since later lines were removed
+    because of its own, and so does one from which nothing was removed. Its id is an integer.
     """
     others = [c for c in docs.columns if c not in (id_col, text_col)]
-    got = line_dedup(docs, id_col, text_col, others).where((F.col("n_removed") == 0) | ((F.col("n_left") > 0) & (F.col("n_left") >= least * F.col("n_words"))))
+    got = line_dedup(docs, id_col, text_col, others).where((F.col("n_removed") == 0) | (F.col("n_left") > 0))
     rest = {c: F.col("_rest").getField(c) for c in others} | ({length_col: F.length("text").cast(docs.schema[length_col].dataType)} if length_col in others else {})
     return got.select(*[col(id_col).cast(docs.schema[id_col].dataType).alias(c) if c == id_col else F.col("text").alias(c) if c == text_col else rest[c].alias(c) for c in docs.columns])
 

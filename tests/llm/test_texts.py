@@ -83,6 +83,14 @@ def test_line_dedup(docs, all_rows, none):
     assert kept.columns == docs.columns and kept.where("doc_id is null").count() == 1
 
 
+def test_dedup_documents_keeps_a_copy_of_every_line(spark):
+    old = [f"old{i} a{i} b{i} c{i} d{i}" for i in range(30)]
+    new = "a new passage that later documents share"
+    rows = [(1, "\n".join(old)), (2, "\n".join([*old, new])), (3, f"{new}\nits own line here"), (4, "\n".join(old[:9]))]
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: new, 3: "its own line here"}
+
+
 def test_line_dedup_of_many_near_lines(spark, monkeypatch):
     monkeypatch.setattr(lines, "RUN", 40)  # crowded tokens are dealt over pairs of blocks
     base = [f"w{i}" for i in range(10)]

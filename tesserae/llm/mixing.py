@@ -74,18 +74,18 @@ def classify(seen: DataFrame, labels: DataFrame, label_id: str = "doc_id") -> Cl
     return Classifier([r["_domain"] for r in found], np.log(n / n.sum()) - 0.5 * (weights * mean).sum(1), weights)
 
 
-def rate_of(p: Column, v: np.ndarray) -> Column:
-    """A document's rate: a step against the residuals of its domains from 1 on, projected onto what is not negative."""
-    return F.greatest(F.lit(0.0), 1 - F.aggregate(F.zip_with(p, F.array(*[F.lit(float(x)) for x in v]), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x))
+def rate_of(p: Column, v: np.ndarray, least: float = 0.0) -> Column:
+    """A document's rate: a step against the residuals of its domains from 1 on, projected onto what is not under `least`."""
+    return F.greatest(F.lit(float(least)), 1 - F.aggregate(F.zip_with(p, F.array(*[F.lit(float(x)) for x in v]), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x))
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", least: float = 0.0) -> DataFrame:
     """Rates at which documents are to be taken so that each domain's expected tokens are its target's share of all tokens.
 
-    A classifier of the labelled documents gives each document its domain posteriors p. The rates r, none negative, minimise
+    A classifier of the labelled documents gives each document its domain posteriors p. The rates r, none under `least`, minimise
     the squares of sum(r * tokens * p) - target, as shares of all tokens, and PULL times the tokens' mean of (r - 1) ** 2. Each
     round of the projected gradient is one aggregation over the written posteriors: the residual of each domain, scaled by the Gram
-    matrix of the documents whose rate is positive; the driver sees the sums for the domains alone. A target's weight goes by the name of its domain; names without labels are left out, domains without a weight
+    matrix of the documents whose rate is above `least`; the driver sees the sums for the domains alone. A target's weight goes by the name of its domain; names without labels are left out, domains without a weight
     get 0, and the weights are scaled to 1.
 
     Returns id_col, tokens, domains and posteriors (arrays, in the same order) and rate, a row for each row of docs. A null or blank
@@ -101,9 +101,9 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: s
     p = F.col("_p")
 
     def sums(v: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """All tokens, each domain's expected tokens at the rates of v, and the Gram matrix of the documents with a positive rate."""
-        r = rows.select("_tokens", "_p", rate_of(p, v).alias("_r"))
-        gram = [F.sum(F.when(F.col("_r") > 0, F.col("_tokens") * p[i] * p[j]).otherwise(0.0)) for i in range(d) for j in range(i, d)]
+        """All tokens, each domain's expected tokens at the rates of v, and the Gram matrix of the documents with a rate above the least."""
+        r = rows.select("_tokens", "_p", rate_of(p, v, least).alias("_r"))
+        gram = [F.sum(F.when(F.col("_r") > least, F.col("_tokens") * p[i] * p[j]).otherwise(0.0)) for i in range(d) for j in range(i, d)]
         got = [float(x or 0) for x in r.agg(F.sum("_tokens"), *[F.sum(F.col("_tokens") * F.col("_r") * p[i]) for i in range(d)], *gram).first()]
         g = np.zeros((d, d))
         g[np.triu_indices(d)] = got[1 + d :]
@@ -126,7 +126,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: s
                     break
                 move = move / 2
             v, off = v + move, then
-    rate = rate_of(p, v)
+    rate = rate_of(p, v, least)
     return rows.select(F.col("_id").alias(id_col), F.col("_tokens").alias("tokens"), F.array(*map(F.lit, model.names)).alias("domains"), p.alias("posteriors"), rate.alias("rate"))
 
 

@@ -84,6 +84,17 @@ def test_mixing(spark, none):
     assert mixing.mix(none, labels, {"high": 1.0}).collect() == []
 
 
+def test_pipeline_mixing_meets_the_targets_by_repeats(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(mixing, "TARGETS", {"high": 0.88, "low": 0.12})
+    rng = random.Random(7)
+    rows = [(i, ("good words here " if i % 4 else "b!! a!! d!! *** ") * rng.randint(3, 30)) for i in range(600)]
+    spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(0, 600, 3)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = collections.Counter(r["doc_id"] for r in corpus_pipeline.mixed(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect())
+    size = {i: len(t.split()) * got[i] for i, t in rows}
+    assert set(got) == {i for i, _ in rows}
+    assert abs(sum(n for i, n in size.items() if i % 4 == 0) / sum(size.values()) - 0.12) < 0.02
+
+
 def test_neighbours(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", 300)
     rng = np.random.default_rng(8)

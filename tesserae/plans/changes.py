@@ -104,15 +104,28 @@ def index_listing(spark, d):
     return got.select("section", F.array_join(F.transform("_a", lambda s: s["name"]), "; ").alias("entries"), F.size("_a").cast("long").alias("n"))
 
 
+def _followons(spark, d, items):
+    o = items.select("l_orderkey").distinct()
+    jobs = J.parse(o.select(F.to_json(F.struct(F.lit("link").alias("job"), F.col("l_orderkey").cast("string").alias("source_id"))).alias("body"))).where("problem is null")
+    touched = A.table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("source_id"), F.col("l_partkey").alias("entity")).distinct()
+    return J.follow_ons(jobs, touched, A.table(spark, d, "part").where("p_partkey % 4 = 0").select(F.col("p_partkey").alias("entity")), 3)
+
+
 @query("""WITH t AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS e FROM lineitem WHERE l_orderkey % 20 = 0),
 j AS (SELECT 'generate' AS job, o, e FROM t UNION ALL SELECT 'consolidate', o, e FROM t WHERE e % 4 = 0),
 b AS (SELECT *, (row_number() OVER (PARTITION BY job, o ORDER BY e) - 1) // 3 AS batch FROM j)
 SELECT job, CAST(o AS VARCHAR) AS origin_source_id, batch, list(e ORDER BY e) AS entities FROM b GROUP BY job, o, batch""")
 def job_followons(spark, d):
-    o = A.table(spark, d, "lineitem").select("l_orderkey").where("l_orderkey % 20 = 0").distinct()
-    jobs = J.parse(o.select(F.to_json(F.struct(F.lit("link").alias("job"), F.col("l_orderkey").cast("string").alias("source_id"))).alias("body"))).where("problem is null")
-    touched = A.table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("source_id"), F.col("l_partkey").alias("entity")).distinct()
-    return J.follow_ons(jobs, touched, A.table(spark, d, "part").where("p_partkey % 4 = 0").select(F.col("p_partkey").alias("entity")), 3)
+    return _followons(spark, d, A.table(spark, d, "lineitem").where("l_orderkey % 20 = 0"))
+
+
+@query("""WITH t AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS e FROM lineitem),
+j AS (SELECT 'generate' AS job, o, e FROM t UNION ALL SELECT 'consolidate', o, e FROM t WHERE e % 4 = 0),
+b AS (SELECT *, (row_number() OVER (PARTITION BY job, o ORDER BY e) - 1) // 3 AS batch FROM j)
+SELECT job, CAST(o AS VARCHAR) AS origin_source_id, batch, list(e ORDER BY e) AS entities FROM b GROUP BY job, o, batch""")
+def job_followons_all(spark, d):
+    """The follow-on jobs of every order."""
+    return _followons(spark, d, A.table(spark, d, "lineitem"))
 
 
 @query("""SELECT body, CASE WHEN event_id % 4 = 0 THEN 'unreadable' WHEN event_id % 4 = 1 THEN 'unknown job' WHEN event_id % 4 = 2 THEN 'no source' END AS problem FROM

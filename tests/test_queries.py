@@ -46,3 +46,6 @@ def test_entry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_followons_of_every_order(spark, db):
+    got = {r[0] for r in QUERIES["job_followons_all"](spark, SF).select("origin_source_id").distinct().collect()}
+    assert got == {str(r[0]) for r in db.sql("SELECT DISTINCT l_orderkey FROM lineitem").fetchall()}

@@ -67,6 +67,14 @@ def citation_normalise(spark, d):
     return rows.select("doc_id", F.regexp_replace(X.tidy_citations(dirty), r"\.? (\(\[\[sources/a-\d\]\]\))\.?$", " $1.").alias("context"))
 
 
+@query()
+def citation_normalise_whole(spark, d):
+    """Citations of several malformed kinds, injected into each whole text after 40 characters and at its end, come out in one form, once."""
+    t, n = F.col("text"), (F.col("doc_id") % 7).cast("string")
+    dirty = F.concat(F.substring(t, 1, 40), F.lit(" [sources/a-"), n, F.lit("] [citation needed]"), F.substr(t, F.lit(41)), F.lit(" ([[ sources/a-"), n, F.lit(" ]])"))
+    return A.table(spark, d, "documents").select("doc_id", X.tidy_citations(dirty).alias("context"))
+
+
 @query()
 def uuid5_ids(spark, d):
     return A.entities(spark, d).select("slug", X.uuid5("6ba7b811-9dad-11d1-80b4-00c04fd430c8", F.col("slug")).alias("id"))

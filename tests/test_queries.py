@@ -1,6 +1,7 @@
 import decimal
 import glob
 import os
+import re
 
 import duckdb
 import pytest
@@ -49,3 +50,18 @@ def test_entry(spark):
 def test_followons_of_every_order(spark, db):
     got = {r[0] for r in QUERIES["job_followons_all"](spark, SF).select("origin_source_id").distinct().collect()}
     assert got == {str(r[0]) for r in db.sql("SELECT DISTINCT l_orderkey FROM lineitem").fetchall()}
+
+
+def test_citations_in_whole_texts(spark, db):
+    """Against a plain version: the text as it was but for blanks before the markers, and one citation before its last full stop."""
+    rows = db.sql("SELECT doc_id, text FROM documents").fetchall()
+    want = []
+    for i, t in rows:
+        if t is None:
+            want.append((i, None))
+            continue
+        s = re.sub(r"(?i)\s*\[\(?(?:source|citation(?: needed)?)\)?\]", "", re.sub(r"\s*\(\s*\)", "", t[:40].rstrip() + t[40:]))
+        cite = f"([[sources/a-{i % 7}]])"
+        want.append((i, (f"{s[:-1]} {cite}{s[-1]}" if s[-1:] in tuple(".!?") else f"{s.rstrip()} {cite}").strip()))
+    got = [tuple(r) for r in QUERIES["citation_normalise_whole"](spark, SF).collect()]
+    assert len(got) == len(rows) and sorted(got) == sorted(want)

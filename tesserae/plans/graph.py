@@ -53,6 +53,14 @@ def fold_edges_with_model(spark, d):
     return S.with_model_folds(S.fold_edges(settled), settled, model)
 
 
+@query(f"""WITH c AS {A.CLAIMS}, e AS {FOLD_EDGES}, m AS (SELECT frm, dst, bool_and(listed) AS listed FROM {A.FOLDS} WHERE frm <> dst GROUP BY 1, 2)
+SELECT * FROM e UNION ALL SELECT frm, dst, listed FROM m WHERE frm NOT IN (SELECT frm FROM e)
+  AND NOT EXISTS (SELECT 1 FROM c WHERE c.lo = least(m.frm, m.dst) AND c.hi = greatest(m.frm, m.dst))""")
+def fold_edges_with_all_model_folds(spark, d):
+    settled = S.claims(A.relations(spark, d))
+    return S.with_model_folds(S.fold_edges(settled), settled, A.folds(spark, d))
+
+
 @query(f"WITH RECURSIVE {A.CLOSURE} SELECT frm, root FROM closed")
 def fold_closure(spark, d):
     return C.fold_closure(A.folds(spark, d))

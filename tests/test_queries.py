@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tesserae.operators import settle as S
+from tesserae.plans import adapters as A
 from tesserae.queries import ORACLE, QUERIES
 
 from .conftest import SF
@@ -52,6 +54,15 @@ def test_followons_of_every_order(spark, db):
     assert got == {str(r[0]) for r in db.sql("SELECT DISTINCT l_orderkey FROM lineitem").fetchall()}
 
 
+def test_all_model_folds_reach_the_operator(spark, db):
+    got = {r["frm"] for r in QUERIES["fold_edges_with_all_model_folds"](spark, SF).collect()}
+    beyond = {r[0] for r in db.sql(f"SELECT frm FROM {A.FOLDS} WHERE frm >= 200").fetchall()}  # relations are between ids below 200
+    assert beyond <= got and (beyond or SF.endswith("sf0.001"))
+    more = spark.createDataFrame([(900, 450, True), (901, 3, False)], "frm long, dst long, listed boolean")
+    settled = S.claims(A.relations(spark, SF))
+    assert {900, 901} <= {r["frm"] for r in S.with_model_folds(S.fold_edges(settled), settled, more).collect()}
+
+
 def test_citations_in_whole_texts(spark, db):
     """Against a plain version: the text as it was but for blanks before the markers, and one citation before its last full stop."""
     rows = db.sql("SELECT doc_id, text FROM documents").fetchall()

@@ -58,38 +58,49 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 )
 #: Every known sentence holds one of these; what holds none is not looked at further.
 ANCHORS = "licen|copyright|permission|warrant|redistribut|software|cc0"
+#: Of the SQL, which still breaks after "v." and chooses one reading for a whole text; _OTHER is of both.
 _BREAK, _BLANKS, _OTHER = r"([.!?;:])[ \t\r\n]+", r"[ \t\r\n]+", "[^a-z0-9]+"
+#: Where a text ends a sentence, but not within "v. 2"; and where what is not known as a whole is cut further, in turn.
+_STOP, _PARAGRAPH, _CLAUSE, _LINE = r"(?:\.(?!(?<=\bv\.)[ \t\r\n]+[0-9])|[!?])[ \t\r\n]+", r"\n[ \t\r]*\n", r"[;:][ \t\r\n]+", r"\n"
 
 
 def _patterns(sequence: tuple[str, ...]) -> str:
     return "".join(f"<{x}>" for x in sequence)
 
 
-def _identifiers(pieces: Column) -> Column:
-    """The identifiers of the known sentences among pieces, in their order, as one string."""
+def _identifiers(text: Column) -> Column:
+    """The identifiers of the known sentences of a text, in their order, as one string."""
     known = F.create_map(*[F.lit(x) for name, texts in SENTENCES.items() for t in texts for x in (t, f"<{name}>")])
-    near = F.filter(pieces, lambda s: s.rlike(ANCHORS))
-    return F.array_join(F.transform(near, lambda s: F.coalesce(F.try_element_at(known, F.trim(F.regexp_replace(s, _OTHER, " "))), F.lit(""))), "")
+
+    def within(s: Column, cuts: tuple[str, ...]) -> Column:
+        near = F.filter(F.split(s, cuts[0]), lambda x: x.rlike(ANCHORS))
+        return F.array_join(F.transform(near, lambda x: found(x, cuts[1:])), "")
+
+    def found(s: Column, cuts: tuple[str, ...]) -> Column:
+        whole = F.try_element_at(known, F.trim(F.regexp_replace(s, _OTHER, " ")))
+        return F.coalesce(whole, within(s, cuts) if cuts else F.lit(""))
+
+    def sentence(s: Column) -> Column:
+        whole = F.try_element_at(known, F.trim(F.regexp_replace(s, _OTHER, " ")))
+        return F.coalesce(whole, F.nullif(within(s, (_PARAGRAPH, _CLAUSE, _LINE)), F.lit("")), within(s, (_CLAUSE, _LINE)))
+
+    return F.array_join(F.transform(F.filter(F.split(text, _STOP), lambda x: x.rlike(ANCHORS)), sentence), "")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Recognises licences in each text.
 
-    A text, lower-cased, is cut into sentences after . ! ? ; or : and at newlines, and once more with its newlines as blanks, for
-    sentences that run over lines; the reading with more known sentences counts. Sentences, reduced to letters a-z, digits and
-    single blanks, are mapped to identifiers, and the rules are tried on the sequence in their order.
+    A text, lower-cased, is cut into sentences after . ! or ?, which may run over lines; what is not known as a whole is cut
+    at blank lines, then after ; or : and then at newlines, until it is known. So each place of a text is read in the way that fits
+    it. Sentences, reduced to letters a-z, digits and single blanks, are mapped to identifiers, and the rules are tried on the
+    sequence in their order.
 
     Returns id_col, licenses (names in the order of the rules, each once, joined by commas), sentences (the sequence) and rest
     (what no rule took), a row for each row of docs. A null or empty text, or one without a known sentence, has empty strings;
     null and repeated ids are kept as they are; an empty table gives an empty one; other columns are ignored. No row is shuffled.
     """
     text = F.lower(F.coalesce(col(text_col), F.lit("")))
-    lines = F.split(F.regexp_replace(text, _BREAK, "$1\n"), "\n")
-    flowing = F.split(F.regexp_replace(F.regexp_replace(text, _BLANKS, " "), r"([.!?;:]) ", "$1\n"), "\n")
-    near = text.rlike(ANCHORS)
-    rows = docs.select(col(id_col).alias(id_col), F.when(near, _identifiers(lines)).otherwise("").alias("_lines"), F.when(near, _identifiers(flowing)).otherwise("").alias("_flowing"))
-    count = lambda c: F.length(c) - F.length(F.replace(F.col(c), F.lit("<"), F.lit("")))
-    rows = rows.select(id_col, F.when(count("_flowing") > count("_lines"), F.col("_flowing")).otherwise(F.col("_lines")).alias("sentences"))
+    rows = docs.select(col(id_col).alias(id_col), F.when(text.rlike(ANCHORS), _identifiers(text)).otherwise("").alias("sentences"))
     rules = F.array(*[F.struct(F.lit(_patterns(s)).alias("take"), F.lit(name).alias("name")) for name, s in RULES])
     start = F.struct(F.col("sentences").alias("rest"), F.array().cast("array<string>").alias("found"))
     tried = F.aggregate(rules, start, lambda a, r: F.struct(F.replace(a["rest"], r["take"], F.lit("")).alias("rest"), F.when(F.contains(a["rest"], r["take"]), F.array_append(a["found"], r["name"])).otherwise(a["found"]).alias("found")))

@@ -15,6 +15,7 @@ from tesserae.llm import idfiles, licenses, lines, packing, simhash, substrings,
 from tesserae.llm.common import new_folder
 from tesserae.llm.encoding import Encoder, vocabulary_path
 
+SENTENCES_OF = licenses.SENTENCES
 NAMES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 
 
@@ -306,6 +307,38 @@ def test_licenses(spark, none):
     assert licenses.scan(none).collect() == []
 
 
+MPL = "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"
+GPL = "This program is free software{} you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version {} of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the\nGNU General Public License for more details."
+MIT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+
+
+def test_licenses_of_canonical_texts(spark):
+    texts = [(MPL, "MPL-2.0"), (GPL.format(":", 3), "GPL-3.0-or-later"), (GPL.format(";", 2), "GPL-2.0-or-later"), (MIT, "MIT"), (f"Licences\nReleased under the CC0 1.0\n{GPL.format(':', 3)}\n\n{MIT}\n\n# Part\nLicensed under the Apache License, Version 2.0\nend", None)]
+    texts += [("\n".join(SENTENCES_OF[x][0] + "." for x in sequence), name) for name, sequence in licenses.RULES]
+    texts += [("\n".join(SENTENCES_OF[x][0].replace(" ", "\n", 1) + "." for x in sequence), name) for name, sequence in licenses.RULES]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan(df).collect()}
+    assert [got[i] for i, (_, name) in enumerate(texts) if name] == [name for _, name in texts if name]
+    assert {"MIT", "Apache-2.0"} <= set(got[4].split(","))  # one notice over lines, one on a line of its own
+    assert licenses.scan(spark.createDataFrame([(1, "Smith v. Jones. See option v. Released under the MIT License.")], "doc_id long, text string")).first()["licenses"] == "MIT"
+
+
 def test_syncmers_are_free_of_context():
     rng = np.random.default_rng(0)
     a, b, c = (rng.integers(97, 123, n).astype(np.uint8).tobytes() for n in (100, 300, 50))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import contextlib
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,8 +30,10 @@ def col(name: str) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """The folder that the driver and all executors see: spark.checkpoint.dir, or on one machine a temporary one where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not found:
         found = f"file://{tempfile.mkdtemp(prefix='tesserae-')}"
         spark.sparkContext.setCheckpointDir(found)
@@ -50,21 +52,16 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows of df from a Parquet table in the shared folder: cuts the lineage, so that a lost executor costs no recomputation.
-
-    What the job that wrote them has shuffled is garbage then; collecting it asks Spark to delete those files, which it does in its own time.
-    """
+    """The rows of df from a Parquet table in the shared folder: cuts the lineage, so that a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = new_folder(spark, label)
     df.write.parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release() -> None:
-    """Removes what written() and new_folder() have left in the shared folder; DataFrames over it end then."""
-    while _written:
+def release(kept: int = 0) -> None:
+    """Removes what written() and new_folder() have left in the shared folder, but for the first so many; DataFrames over it end then."""
+    while len(_written) > kept:
         spark, path = _written.pop()
         with contextlib.suppress(Exception):
             jvm = spark.sparkContext._jvm
@@ -75,6 +72,40 @@ def release() -> None:
 atexit.register(release)
 
 
+@contextlib.contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what was written meanwhile: for work whose result is kept elsewhere by then."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        release(before)
+
+
+def file_in(folder: str, name: str) -> tuple[fs.FileSystem, str]:
+    """A file system and the path in it of a file under a folder's URI."""
+    system, at = fs.FileSystem.from_uri("file://" + folder[5:] if folder.startswith("file:/") and "://" not in folder else folder)
+    return system, f"{at}/{name}"
+
+
+def put_rows(folder: str, name: str, rows: pa.Table) -> None:
+    """Writes rows as an Arrow file compressed by zstandard. Its name must belong to this attempt of a task alone, so that no other replaces it."""
+    system, at = file_in(folder, name)
+    with system.open_output_stream(at) as out, pa.ipc.new_file(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=1))) as file:
+        file.write_table(rows)
+
+
+def get_rows(folder: str, name: str) -> pa.Table:
+    system, at = file_in(folder, name)
+    with system.open_input_file(at) as raw, pa.ipc.open_file(raw) as file:
+        return file.read_all()
+
+
+def make_folder(folder: str) -> None:
+    system, at = file_in(folder, "")
+    system.create_dir(at, recursive=True)
+
+
 def text_bytes(docs: DataFrame, text_col: str) -> int:
     """Bytes of all texts: one scan of that column, from which the numbers of chunks and buckets follow."""
     return int(docs.select(F.sum(F.octet_length(col(text_col)).cast("long")).alias("n")).first()[0] or 0)

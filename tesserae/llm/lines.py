@@ -3,59 +3,62 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from xxhash import xxh64_intdigest
 
+from . import prefixes as P
 from . import words as W
-from .common import chunk_count, chunked, col, end_to_end, table, text_bytes, texts_of, written
-from .tally import ASKS, Keys, read_heard, sizes, tally, unscaled
-
-#: Rows of a token that meet in one group before its rows are dealt over several, and candidates that a line keeps of a token.
-RUN, KEPT = 20_000, 3
-#: A token's place in its line up to this, and above it the blocks over which its rows are dealt, make one number.
-PLACES = 1 << 20
-
-
-class Lines:
-    """The lines of a chunk's texts and their tokens, each once in a line.
-
-    A text is cut at newlines; a token is a word, unchanged. Rows are in the order of their ids (null first) and of a hash of
-    their text, equal rows side by side, so that `doc` ascends in the order in which lines count as earlier or later.
-    """
-
-    def __init__(self, ids: list, texts: list[bytes]):
-        ties = [xxh64_intdigest(t) - 2**63 for t in texts]
-        order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] if ids[i] is not None else 0, ties[i]))
-        self.order = order
-        self.ids, self.ties, self.texts = [ids[i] for i in order], [ties[i] for i in order], [texts[i] for i in order]
-        data, offsets = end_to_end(self.texts)
-        starts, ends, _ = W.spans(data, offsets)
-        self.starts, self.doc = W.newline_starts(data, offsets)
-        first = np.searchsorted(self.doc, np.arange(len(texts)))
-        self.number = np.arange(len(self.doc)) - first[self.doc]
-        line = np.searchsorted(self.starts, starts, "right") - 1
-        h = W.hashes(data, starts, ends)
-        by_line = np.argsort((line.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24)), kind="stable")
-        line, h = line[by_line], h[by_line]
-        fresh = np.ones(len(h), bool)
-        fresh[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
-        self.line, self.token = line[fresh], h[fresh]
-
-    def by_rarity(self, keys: Keys, heard: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Sorts each line's tokens by how many lines hold them (as scaled, 0 for one line) and by hash, and returns those numbers."""
-        df = np.zeros(len(self.token), np.int64)
-        if len(heard):
-            cut = keys.cut(self.token)
-            at = np.minimum(np.searchsorted(heard, cut), len(heard) - 1)
-            df = np.where(heard[at] == cut, counts[at], 0).astype(np.int64)
-        order = np.lexsort((self.token, df, self.line))
-        self.line, self.token = self.line[order], self.token[order]
-        return df[order]
+from .common import CHUNK_BYTES, col, get_rows, make_folder, new_folder, put_rows, table, written
+
+#: Similarity from which two lines are alike, and rows of a token that meet in one group before they are dealt over several.
+LEAST, RUN = 0.8, 20_000
+#: Rows that a task gathers before it sends them, and pairs that one task compares.
+SENT, COMPARED = 1 << 20, 20_000
+#: Lines of a buffer that are numbered at once.
+_LINES = 1 << 24
+_LOW, _TOKEN = np.uint64(2**32 - 1), np.uint64(2**40 - 1)
+
+
+class Buffer:
+    """The texts of a chunk, each followed by a newline, so that every line ends with one."""
+
+    def __init__(self, texts: pa.ChunkedArray):
+        whole = pc.binary_join_element_wise(texts.combine_chunks(), "", "\n")
+        ends = np.frombuffer(whole.buffers()[1], np.int32, len(whole) + 1).astype(np.int64)
+        self.data = np.frombuffer(whole.buffers()[2], np.uint8, ends[-1])
+        self.newline = np.flatnonzero(self.data == 10)
+        #: The number of each document's first line; and the end.
+        self.first = np.searchsorted(self.newline, ends)
+
+    def line(self, i: int) -> bytes:
+        return self.data[int(self.newline[i - 1]) + 1 if i else 0 : int(self.newline[i])].tobytes()
+
+    def tokens(self) -> tuple[np.ndarray, np.ndarray]:
+        """(line, token): the words of each line, each once in a line, by 40 bits of their hash; ascending."""
+        starts, ends = W.buffer_spans(self.data)
+        each = np.diff(np.searchsorted(starts, self.newline), prepend=0)
+        line, token = _in_order(np.repeat(np.arange(len(each)), each), W.quick_hashes(self.data, starts, ends) >> np.uint64(24))
+        fresh = np.ones(len(line), bool)
+        fresh[1:] = (line[1:] != line[:-1]) | (token[1:] != token[:-1])
+        return line[fresh], token[fresh]
+
+
+def _in_order(line: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorts the codes of 40 bits within each line; lines ascend."""
+    out = [(line[:0], code[:0])]
+    for base in range(0, int(line[-1]) + 1 if len(line) else 0, _LINES):
+        a, b = np.searchsorted(line, (base, base + _LINES))
+        key = ((line[a:b] - base).astype(np.uint64) << np.uint64(40)) | code[a:b]
+        key.sort()
+        out.append(((key >> np.uint64(40)).astype(np.int64) + base, key & _TOKEN))
+    return np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
 
 
 def prefix(n: np.ndarray) -> np.ndarray:
@@ -63,229 +66,269 @@ def prefix(n: np.ndarray) -> np.ndarray:
     return np.where(n >= 4, n - (4 * n + 4) // 5 + 1, 0)
 
 
-def _signatures(token: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    """For each set (from at on) two sums that name it and the parities of its tokens by 128 bits of hash."""
-    bit = np.uint64(1) << (token & np.uint64(63))
-    high = (token >> np.uint64(6)) & np.uint64(1) == 1
-    zero = np.zeros(len(token), np.uint64)
-    sums = [np.add.reduceat(W.mix(token ^ np.uint64(s)), at) for s in (0x51ED27, 0xA5A5A5A5)]
-    return [*sums, np.bitwise_xor.reduceat(np.where(high, bit, zero), at), np.bitwise_xor.reduceat(np.where(high, zero, bit), at)]
+def _runs(line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each line's tokens begin, and how many there are."""
+    at = np.flatnonzero(np.diff(line, prepend=-1))
+    return at, np.diff(at, append=len(line))
 
 
-def _signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.astype(np.uint64).view(np.int64))
+_STORED = pa.schema([("chunk", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("id", pa.int64()), ("tie", pa.int32()), ("place", pa.int32()), ("gone", pa.binary()), ("size", pa.int64()), ("piece", pa.int32()), ("slots", pa.binary()), ("counts", pa.binary())])
+_STORED_SQL = "chunk long, k1 long, k2 long, id long, tie int, place int, gone binary, size long, piece int, slots binary, counts binary"
 
 
-def _pass(p: np.ndarray, y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which pairs of rows pass the length and the positional filter and the parities, and by how many bits these differ."""
-    a, b = p[y], p[x]
-    ny, nx = a["n"].astype(np.int64), b["n"].astype(np.int64)
-    ok = 5 * np.minimum(nx, ny) >= 4 * np.maximum(nx, ny)
-    shared = np.minimum(b["pos"], a["pos"]) + np.minimum(nx - b["pos"], ny - a["pos"])  # at most so many tokens in common
-    ok &= 9 * shared >= 4 * (nx + ny)
-    apart = np.bitwise_count(a["s1"] ^ b["s1"]).astype(np.int64) + np.bitwise_count(a["s2"] ^ b["s2"])
-    return ok & (9 * apart <= nx + ny), apart
+def _rows(n: int, **columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _STORED], schema=_STORED)
 
 
-def candidates(p: np.ndarray, run: np.ndarray, kept: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (y, x, bits) of rows of one run, x before y, that may be similar; and whether a row had more than were kept.
+def _stored(docs: DataFrame, folder: str) -> DataFrame:
+    """Writes the rows (_id, _tie, _text, ...) of docs into chunk files, each in order; and returns a row for each chunk, with its lines
 
-    run ascends; within a run rows are in their order. Two sets differ in at least as many tokens as their parities differ in bits.
-    In a long run a row leaves once it has found more than `kept`.
+    that repeat an earlier set of it; rows of its different sets; and the counts of a task's tokens.
+    """
+    at_text = docs.columns.index("_text")
+
+    def put(held: list[pa.RecordBatch], chunk: int, counter: P.Counter) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[("_id", "ascending"), ("_tie", "ascending")], null_placement="at_start"))
+        put_rows(folder, f"{chunk}.arrow", rows)
+        buffer = Buffer(rows["_text"])
+        line, token = buffer.tokens()
+        counter.add(token >> np.uint64(40 - P.SLOT_BITS))
+        at, _ = _runs(line)
+        place = line[at]
+        k1, k2 = (np.add.reduceat(W.mix(token ^ np.uint64(s << 40)), at).view(np.int64) if len(at) else np.zeros(0, np.int64) for s in (0x51ED27, 0xA5A5A5))
+        order = np.lexsort((place, k2, k1))
+        again = np.zeros(len(at), bool)
+        again[order[1:]] = (k1[order[1:]] == k1[order[:-1]]) & (k2[order[1:]] == k2[order[:-1]])
+        yield _rows(1, chunk=[chunk], gone=[place[again].astype("<u4").tobytes()], size=[len(buffer.data)])
+        doc = pa.array(np.searchsorted(buffer.first, place[~again], "right") - 1)
+        ident, tie = (rows[c].combine_chunks().take(doc) for c in ("_id", "_tie"))
+        yield _rows(len(doc), chunk=np.full(len(doc), chunk), k1=k1[~again], k2=k2[~again], id=ident, tie=tie, place=place[~again])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter, held, size = P.Counter(), [], 0
+        task = chunk = TaskContext.get().taskAttemptId() << 20
+        for batch in batches:
+            ends, a = np.cumsum(pc.binary_length(batch.column(at_text)).to_numpy(zero_copy_only=False).astype(np.int64)), 0
+            while a < batch.num_rows:
+                base = int(ends[a - 1]) if a else 0
+                b = int(np.searchsorted(ends, base + CHUNK_BYTES - size, "right"))
+                if b <= a and held:
+                    yield from put(held, chunk, counter)
+                    chunk, held, size = chunk + 1, [], 0
+                    continue
+                b = max(b, a + 1)
+                held.append(batch.slice(a, b - a))
+                size, a = size + int(ends[b - 1]) - base, b
+        if held:
+            yield from put(held, chunk, counter)
+            counts = counter.rows(task)
+            yield _rows(counts.num_rows, chunk=counts["part"], piece=counts["piece"], slots=counts["slots"], counts=counts["counts"])
+
+    return docs.mapInArrow(run, _STORED_SQL)
+
+
+_POST = np.dtype([("code", "<u8"), ("pair", "<u4"), ("id", "<i8"), ("tie", "<i4"), ("chunk", "<i8"), ("place", "<i4"), ("n", "<i4"), ("pos", "<i4"), ("s1", "<u8"), ("s2", "<u8")])
+_MET = ["yc", "yp", "xc", "xp", "apart", "bucket", "run", "id", "tie", "n", "pos", "s1", "s2", "asks"]
+_MET_SQL = "yc long, yp int, xc long, xp int, apart int, bucket long, run long, id long, tie int, n int, pos int, s1 long, s2 long, asks boolean"
+
+
+def _postings(buffer: Buffer, drop: np.ndarray, logs: np.ndarray, chunk: int, ids: pa.Array, ties: pa.Array) -> np.ndarray:
+    """The prefixes of the chunk's lines but those to drop, without tokens of one line alone."""
+    line, token = buffer.tokens()
+    line, code = _in_order(line, (logs[(token >> np.uint64(40 - P.SLOT_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(32)) | (token & _LOW))
+    at, n = _runs(line)
+    s1, s2 = (np.bitwise_xor.reduceat(np.where((code >> np.uint64(6)) & np.uint64(1) == b, np.uint64(1) << (code & np.uint64(63)), np.uint64(0)), at) if len(at) else np.zeros(0, np.uint64) for b in (0, 1))
+    place = line[at]
+    kept = ~np.isin(place, drop, assume_unique=True)
+    of = np.repeat(np.arange(len(at)), n)
+    pos = np.arange(len(line)) - at[of]
+    take = np.flatnonzero(kept[of] & (pos < prefix(n)[of]) & (code >> np.uint64(32) > 0))
+    of = of[take]
+    p = np.zeros(len(take), _POST)
+    doc = np.searchsorted(buffer.first, place, "right") - 1
+    p["code"], p["pos"], p["chunk"], p["place"], p["n"], p["s1"], p["s2"] = code[take], pos[take], chunk, place[of], n[of], s1[of], s2[of]
+    p["id"], p["tie"] = ids.to_numpy(zero_copy_only=False)[doc[of]], ties.to_numpy(zero_copy_only=False)[doc[of]]
+    dealt = P.blocks(code[take] >> np.uint64(32), RUN)
+    which, pair = P.meetings((W.mix(p["chunk"].astype(np.uint64) ^ (p["place"].astype(np.uint64) << np.uint64(32))) % dealt.astype(np.uint64)).astype(np.int64), dealt)
+    p = p[which]
+    p["pair"] = pair
+    return p
+
+
+def _sent(found: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    p = np.concatenate(found)
+    to = (W.mix(p["code"] ^ W.mix(p["pair"].astype(np.uint64) + np.uint64(1))) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    p, to = p[order], to[order]
+    at = np.flatnonzero(np.diff(to, prepend=-1))
+    return pa.RecordBatch.from_arrays([pa.array(to[at]), pa.array([P.planes(p[a:b]) for a, b in zip(at.tolist(), np.append(at[1:], len(p)).tolist(), strict=True)], pa.binary())], ["_bucket", "_posts"])
+
+
+def _met(key: tuple, group: pa.Table) -> pa.Table:
+    """The candidate pairs of a bucket; and all rows of the runs in which a row had more of them than were kept."""
+    p = np.concatenate([P.records(x, _POST) for x in group["_posts"].to_pylist()])
+    p = p[np.lexsort((p["place"], p["chunk"], p["tie"], p["id"], p["pair"], p["code"]))]
+    new = np.zeros(len(p), np.int64)
+    new[1:] = (p["code"][1:] != p["code"][:-1]) | (p["pair"][1:] != p["pair"][:-1])
+    run = np.cumsum(new)
+    y, x, more = P.meet(p["n"], p["pos"], run, LEAST, P.KEPT, (p["s1"], p["s2"]))
+    both = np.stack([p["chunk"][y], p["place"][y], p["chunk"][x], p["place"][x]], 1)
+    both, at = np.unique(both, axis=0, return_index=True) if len(y) else (both, np.zeros(0, np.int64))
+    apart = np.bitwise_count(p["s1"][y[at]] ^ p["s1"][x[at]]).astype(np.int32) + np.bitwise_count(p["s2"][y[at]] ^ p["s2"][x[at]])
+    crowd = np.flatnonzero(np.isin(run, run[more]))
+    n, m, c = len(both), len(crowd), p[crowd]
+    none = np.zeros(n, np.int64)
+    values = [
+        np.concatenate([both[:, 0], c["chunk"]]), np.concatenate([both[:, 1], c["place"]]), np.concatenate([both[:, 2], c["chunk"]]), np.concatenate([both[:, 3], c["place"]]), np.concatenate([apart, np.zeros(m, np.int32)]),
+        np.concatenate([none, np.full(m, key[0].as_py())]), np.concatenate([none - 1, run[crowd]]), *(np.concatenate([none, c[k].view(f"i{c[k].itemsize}")]) for k in ("id", "tie", "n", "pos", "s1", "s2")), np.concatenate([none > 0, more[crowd]]),
+    ]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+    return pa.table({name: pa.array(v).cast(k) for name, v, k in zip(_MET, values, kinds, strict=True)})
+
+
+def _more(key: tuple, group: pa.Table) -> pa.Table:
+    """All candidate pairs of a run for the rows that still ask."""
+    c = {name: group[name].to_numpy() for name in group.column_names}
+    order = np.lexsort((c["yp"], c["yc"], c["tie"], c["id"]))
+    s1, s2 = (c[k][order].view(np.uint64) for k in ("s1", "s2"))
+    y, x, _ = P.meet(c["n"][order], c["pos"][order], np.zeros(len(order), np.int64), LEAST, None, (s1, s2), asks=c["asks"][order].astype(bool))
+    y, x = order[y], order[x]
+    return pa.table({"yc": c["yc"][y], "yp": c["yp"][y], "xc": c["yc"][x], "xp": c["yp"][x]})
+
+
+class _Lines:
+    """Lines of chunk files by their number; the last chunk stays."""
+
+    def __init__(self, folder: str):
+        self.folder, self.chunk = folder, None
+
+    def of(self, chunk: int) -> Buffer:
+        if self.chunk != chunk:
+            self.chunk, self.buffer = chunk, Buffer(get_rows(self.folder, f"{chunk}.arrow")["_text"])
+        return self.buffer
+
+
+def _confirmed(pairs: DataFrame, folder: str) -> DataFrame:
+    """(yc, yp) of the pairs whose lines, fetched from their chunks, are alike: the one line is sent to the other's chunk.
+
+    About COMPARED pairs of a chunk meet in a task; those of a chunk with more are dealt over several.
     """
-    found = [(np.zeros(0, np.int64),) * 3]
-    more = np.zeros(len(p), bool)
-    _, first, size = np.unique(run, return_index=True, return_counts=True)
-    for d in range(1, 33):  # runs of up to 32 rows, all at once
-        y = np.flatnonzero(run[d:] == run[:-d]) + d if len(run) > d else found[0][0]
-        y = y[size[run[y]] <= 32] if len(y) else y
-        if not len(y):
-            break
-        ok, apart = _pass(p, y, y - d)
-        found.append((y[ok], y[ok] - d, apart[ok]))
-    for a, n in zip(first[size > 32].tolist(), size[size > 32].tolist(), strict=True):
-        had = np.zeros(n, np.int64)
-        waiting = np.arange(n)
-        for s in range(0, n, 64):
-            waiting = waiting[waiting > s]
-            for t in range(0, len(waiting), 4096):
-                rows = waiting[t : t + 4096]
-                y, x = np.repeat(rows, min(64, n - s)), np.tile(np.arange(s, min(n, s + 64)), len(rows))
-                y, x = y[x < y], x[x < y]
-                ok, apart = _pass(p, a + y, a + x)
-                y, x, apart = y[ok], x[ok], apart[ok]
-                if kept is not None and len(y):
-                    nth = np.arange(len(y)) - np.searchsorted(y, y) + had[y]
-                    more[a + y[nth >= kept]] = True
-                    np.add.at(had, y, 1)
-                    y, x, apart = y[nth < kept], x[nth < kept], apart[nth < kept]
-                found.append((a + y, a + x, apart))
-            waiting = waiting[had[waiting] <= kept] if kept is not None else waiting
-    return (*(np.concatenate(c) for c in zip(*found, strict=True)), more)
-
-
-_KINDS = [("token", "<u8"), ("k1", "<i8"), ("k2", "<i8"), ("s1", "<u8"), ("s2", "<u8"), ("id", "<i8"), ("line", "<i4"), ("n", "<i4"), ("pos", "<i4"), ("pair", "<i8")]
-_PAIRS = "y1 long, y2 long, x1 long, x2 long, apart int, more boolean"
-
-
-def _join(postings: DataFrame, buckets: int, kept: int | None) -> DataFrame:
-    """Candidate pairs of sets (y1, y2) and (x1, x2), x the earlier, and whether some were left out."""
-
-    def run(group: pa.Table) -> pa.Table:
-        p = np.zeros(len(group), np.dtype(_KINDS))
-        for n, kind in _KINDS:
-            p[n] = group[n].to_numpy().astype(kind.replace("u8", "i8")).view(kind)
-        p = p[np.lexsort((p["k2"], p["k1"], p["line"], p["id"], p["pair"], p["token"]))]
-        new = np.zeros(len(p), np.int64)
-        new[1:] = (p["token"][1:] != p["token"][:-1]) | (p["pair"][1:] != p["pair"][:-1])
-        y, x, apart, more = candidates(p, np.cumsum(new), kept)
-        both = np.stack([p["k1"][y], p["k2"][y], p["k1"][x], p["k2"][x]], 1)
-        both, at, which = np.unique(both, axis=0, return_index=True, return_inverse=True)
-        left = np.zeros(len(both), bool)
-        np.logical_or.at(left, which.ravel(), more[y])  # of any token
-        return pa.table({**{n: both[:, i] for i, n in enumerate(("y1", "y2", "x1", "x2"))}, "apart": pa.array(apart[at], pa.int32()), "more": left})
-
-    met = postings.groupBy(F.pmod(F.xxhash64("token", "pair"), F.lit(buckets)).alias("_bucket")).applyInArrow(run, _PAIRS)
-    return met.groupBy("y1", "y2", "x1", "x2").agg(F.min("apart").alias("apart"), F.max("more").alias("more"))
+
+    def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = _Lines(folder)
+        for batch in batches:
+            text = [lines.of(c).line(i) for c, i in zip(batch["yc"].to_pylist(), batch["yp"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("yc", "yp", "xc", "xp", "xpart")), pa.array(text, pa.binary())], ["yc", "yp", "xc", "xp", "xpart", "text"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = _Lines(folder)
+        for batch in batches:
+            same: list[bool] = []
+            for (chunk, place), rows in groupby(zip(batch["xc"].to_pylist(), batch["xp"].to_pylist(), batch["text"].to_pylist(), strict=True), key=lambda r: r[:2]):
+                x = set(lines.of(chunk).line(place).split())
+                for r in rows:
+                    y = set(r[2].split())
+                    same.append(9 * len(x & y) >= 4 * (len(x) + len(y)))
+            yield batch.select(["yc", "yp"]).filter(pa.array(same, pa.bool_()))
+
+    tasks = max(2 * pairs.sparkSession.sparkContext.defaultParallelism, pairs.count() // COMPARED)
+    for chunk, part in (("xc", "xpart"), ("yc", "ypart")):
+        parts = pairs.groupBy(F.col(chunk).alias("_of")).agg(F.ceil(F.count(F.lit(1)) / COMPARED).alias("_parts"))
+        pairs = pairs.join(parts, F.col(chunk) == F.col("_of")).withColumn(part, F.pmod(F.xxhash64("yc", "yp", "xc", "xp"), F.col("_parts"))).drop("_of", "_parts")
+    fetched = pairs.repartition(tasks, "yc", "ypart").sortWithinPartitions("yc").mapInArrow(ship, "yc long, yp int, xc long, xp int, xpart long, text binary")
+    same = fetched.repartition(tasks, "xc", "xpart").sortWithinPartitions("xc", "xp").mapInArrow(compare, "yc long, yp int")
+    return written(same.distinct(), "similar-lines")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carried: list[str] | None = None) -> DataFrame:
     """Removes each line that an earlier line of the corpus resembles: Jaccard similarity of their word sets of 4/5 or more.
 
-    Lines are cut at newlines and ordered by id_col (an integer; null first), by a hash of the text where ids are equal, and by
-    their number; a line without words is never removed. A line is judged against all earlier lines of the input, whether these
-    are removed or not. Tokens are ordered by how many lines hold them; lines meet on the tokens of their prefixes, pass the
-    length and the positional filter and a bound from parities of their tokens' hashes, and are verified exactly.
-
-    Returns id_col, n_lines, n_removed, n_words, n_left (of these) and text (the lines left, joined by newlines), and the columns of
-    docs that are carried, as the struct _rest; a row for each row of docs. A null or empty
-    text is one line without words; of a repeated row only the first keeps its lines; an empty table gives an empty one; other
-    columns are ignored. Equal sets are merged within a chunk and then over the corpus before they are compared; a token's rows
-    beyond RUN are dealt over groups of two blocks each; a line that found KEPT candidates of a token waits for their verification
-    before it meets the rest, and meets all of them if none is confirmed.
+    Lines are cut at newlines and ordered by id_col (an integer; null first), by 32 bits of a hash of the text where ids are equal,
+    and by their number; a line without words is never removed. A line is judged against all earlier lines of the input, whether
+    these are removed or not. Tokens are ordered by how many lines hold them; lines meet on the tokens of their prefixes, pass the
+    length and the positional filter and a bound from parities of their tokens' hashes, and are verified on their words.
+
+    Returns id_col, n_lines, n_removed, blank (whether no word is left) and text (the lines left, joined by newlines), and the columns
+    of docs that are carried, as the struct _rest; a row for each row of docs. A null or empty text is one line without words; of a
+    repeated row only the first keeps its lines; an empty table gives an empty one; other columns are ignored.
+
+    The texts are written once into chunk files of the shared folder, and only sets, prefixes and lines to compare are shuffled.
+    Equal sets are merged before they are compared. A token's rows beyond RUN are dealt over groups of two blocks each. Of its
+    candidates a line is first compared with the nearest, then, if that is not alike, with all others; a row that left a long run
+    early, and found none alike, meets the whole run.
     """
-    total = text_bytes(docs, text_col)
-    parts = chunked(docs.withColumn(id_col, col(id_col).cast("long")), id_col, text_col, 2 * chunk_count(total), carried)  # a chunk's arrays are several times its text
-    bits, _ = sizes(total)
-    keys = Keys(bits, 5)  # tokens that are taken for one another are only thought more frequent, by all chunks alike
+    spark = docs.sparkSession
+    folder = new_folder(spark, "line-chunks")
+    make_folder(folder)
+    text = F.coalesce(col(text_col), F.lit(""))
+    rows = docs.select(col(id_col).cast("long").alias("_id"), F.shiftright(F.xxhash64(text), 32).cast("int").alias("_tie"), text.alias("_text"), *([F.struct(*[col(c) for c in carried]).alias("_rest")] if carried else []))
+    stored = written(_stored(rows, folder), "line-sets")
+    chunks = stored.where("size is not null").select("chunk", "gone", "size")
+    count, total = (x or 0 for x in chunks.agg(F.count("chunk"), F.sum("size")).first())
+    logs = spark.sparkContext.broadcast(P.frequencies(stored.where("piece is not null").select("piece", F.col("chunk").alias("part"), "slots", "counts")))
     buckets = max(8, total >> 21)
+    tasks = max(1, count // 4, min(count, 2 * spark.sparkContext.defaultParallelism))
 
-    def ask(key: tuple, group: pa.Table) -> pa.Table:
-        token, count = np.unique(keys.cut(Lines(group["_id"].to_pylist(), texts_of(group["_text"])).token), return_counts=True)
-        return keys.rows(key[0].as_py(), token, counts=count)
-
-    def sets(key: tuple, group: pa.Table, told: pa.Table) -> pa.Table:
-        own = Lines(group["_id"].to_pylist(), texts_of(group["_text"]))
-        df = own.by_rarity(keys, *read_heard(told, keys))
-        at = np.flatnonzero(np.diff(own.line, prepend=-1))
-        n = np.diff(np.append(at, len(own.line)))
-        k1, k2, s1, s2 = _signatures(own.token, at) if len(at) else [np.zeros(0, np.uint64)] * 4
-        _, first = np.unique(np.stack([k1, k2], 1), axis=0, return_index=True)  # of a set's lines, which ascend, the first
-        first.sort()
-        place = np.arange(len(own.line)) - np.repeat(at, n)
-        shared = (df > 0) & (place < np.repeat(prefix(n), n))
-        which = np.repeat(np.arange(len(at)), n)[shared]
-        ends = np.searchsorted(which, np.arange(len(at) + 1))
-        each = np.diff(ends)[first]
-        cut = np.concatenate([[0], np.cumsum(each)])
-        take = np.repeat(ends[first] - cut[:-1], each) + np.arange(cut[-1])
-        offsets = pa.array(cut, pa.int32())
-        listed = lambda x, kind: pa.ListArray.from_arrays(offsets, pa.array(x[shared][take], kind))
-        doc = own.doc[own.line[at][first]]
-        return pa.table(
-            {
-                "_chunk": pa.array([key[0].as_py()] * len(first), pa.int64()), "k1": _signed(k1[first]), "k2": _signed(k2[first]), "s1": _signed(s1[first]), "s2": _signed(s2[first]),
-                "id": pa.array([own.ids[d] for d in doc.tolist()], pa.int64()), "tie": pa.array([own.ties[d] for d in doc.tolist()], pa.int64()), "line": pa.array(own.number[own.line[at][first]], pa.int32()), "n": pa.array(n[first], pa.int32()),
-                "tokens": listed(keys.cut(own.token).view(np.int64), pa.int64()), "places": listed(np.minimum(place, PLACES - 1) + PLACES * np.minimum(np.ceil(unscaled(df) / RUN), 2047).astype(np.int64), pa.int32()),
-            }
-        )
-
-    made = "_chunk long, k1 long, k2 long, s1 long, s2 long, id long, tie long, line int, n int, tokens array<long>, places array<int>"
-    told = tally(parts.groupBy("_chunk").applyInArrow(ask, ASKS), keys)
-    found = parts.groupBy("_chunk").cogroup(told.groupBy("_of")).applyInArrow(sets, made)
-    earliest = Window.partitionBy("k1", "k2").orderBy("id", "tie", "line")  # a row for each chunk at most
-    known = written(found.withColumn("_first", F.row_number().over(earliest) == 1), "line-sets")
-    firsts = known.where("_first")
-    rows = firsts.select("k1", "k2", "s1", "s2", F.coalesce("id", F.lit(-(2**63))).alias("id"), "line", "n", F.explode(F.arrays_zip("tokens", "places")).alias("_z"))
-    rows = rows.select("k1", "k2", "s1", "s2", "id", "line", "n", F.col("_z.tokens").alias("token"), (F.col("_z.places") % PLACES).alias("pos"), F.floor(F.col("_z.places") / PLACES).alias("_blocks"))
-    block = F.pmod("k1", "_blocks")
-    meets = F.when(F.col("_blocks") <= 1, F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda j: F.least(j, block) * F.col("_blocks") + F.greatest(j, block)))
-    postings = rows.select("k1", "k2", "s1", "s2", "id", "line", "n", "token", "pos", F.explode(meets).alias("pair"))
-
-    def fetch(key: tuple, group: pa.Table, wanted: pa.Table) -> pa.Table:
-        own = Lines(group["_id"].to_pylist(), texts_of(group["_text"])) if len(wanted) else None
-        got: dict[tuple, bytes] = {}
-        if own is not None and len(own.line):
-            at = np.flatnonzero(np.diff(own.line, prepend=-1))
-            ends = np.append(at[1:], len(own.line))
-            k1, k2, *_ = _signatures(own.token, at)
-            want = set(zip(wanted["k1"].to_pylist(), wanted["k2"].to_pylist(), strict=True))
-            near = np.isin(k1.view(np.int64), np.array([k for k, _ in want], np.int64))
-            for i in np.flatnonzero(near).tolist():
-                name = (int(k1[i].view(np.int64)), int(k2[i].view(np.int64)))
-                if name in want and name not in got:
-                    got[name] = own.token[at[i] : ends[i]].tobytes()
-        return pa.table({"k1": pa.array([k for k, _ in got], pa.int64()), "k2": pa.array([k for _, k in got], pa.int64()), "_set": pa.array(got.values(), pa.binary())})
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sets = stored.where("k1 is not null").select("k1", "k2", "chunk", "place", "id", "tie")
+    first = F.min(F.struct(F.col("id").isNotNull().alias("known"), "id", "tie", "chunk", "place")).alias("first")
+    repeated = sets.groupBy(F.col("k1").alias("_1"), F.col("k2").alias("_2")).agg(first, F.count(F.lit(1)).alias("n")).where("n > 1")
+    others = sets.join(repeated, (F.col("k1") == F.col("_1")) & (F.col("k2") == F.col("_2"))).where((F.col("chunk") != F.col("first.chunk")) | (F.col("place") != F.col("first.place")))
+    others = written(others.groupBy("chunk").agg(F.collect_list("place").alias("others")), "line-repeats")
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for chunk, gone, places in zip(batch["chunk"].to_pylist(), batch["gone"].to_pylist(), batch["others"].to_pylist(), strict=True):
+                rows = get_rows(folder, f"{chunk}.arrow")
+                drop = np.concatenate([np.frombuffer(gone, "<u4").astype(np.int64), np.array(places or [], np.int64)])
+                held.append(_postings(Buffer(rows["_text"]), drop, logs.value, chunk, rows["_id"].fill_null(-(2**63)), rows["_tie"]))
+                size += len(held[-1])
+                if size >= SENT:
+                    yield _sent(held, buckets)
+                    held, size = [], 0
+        if size:
+            yield _sent(held, buckets)
+
+    posts = chunks.join(others, "chunk", "left").repartition(tasks).mapInArrow(post, "_bucket long, _posts binary")
+    met = written(posts.groupBy("_bucket").applyInArrow(_met, _MET_SQL), "line-met")
+    pairs = met.where("run < 0").select("yc", "yp", "xc", "xp", "apart")
+    nearest = pairs.groupBy("yc", "yp").agg(F.min(F.struct("apart", "xc", "xp")).alias("_x"))
+    nearest = written(nearest.select("yc", "yp", F.col("_x.xc").alias("xc"), F.col("_x.xp").alias("xp")), "line-nearest")
+    similar = _confirmed(nearest, folder)
+    waiting = written(nearest.join(similar, ["yc", "yp"], "left_anti"), "line-waiting")
+    if not waiting.isEmpty():
+        had = waiting.withColumnsRenamed({"xc": "_xc", "xp": "_xp"})
+        rest = pairs.join(had, ["yc", "yp"]).where((F.col("xc") != F.col("_xc")) | (F.col("xp") != F.col("_xp"))).select("yc", "yp", "xc", "xp")
+        crowds = met.where("run >= 0").join(had, ["yc", "yp"], "left").withColumn("asks", F.col("asks") & F.col("_xc").isNotNull()).select("bucket", "run", "yc", "yp", "id", "tie", "n", "pos", "s1", "s2", "asks")
+        crowds = crowds.join(crowds.where("asks").select("bucket", "run").distinct(), ["bucket", "run"], "left_semi")
+        rest = rest.unionByName(crowds.groupBy("bucket", "run").applyInArrow(_more, "yc long, yp int, xc long, xp int")).distinct()
+        similar = similar.unionByName(_confirmed(written(rest, "line-rest"), folder))
+    alike = similar.groupBy(F.col("yc").alias("chunk")).agg(F.collect_list("yp").alias("alike"))
+
+    def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-                same.append(9 * len(np.intersect1d(x, y, assume_unique=True)) >= 4 * (len(x) + len(y)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_()), batch.column(4)], ["y1", "y2", "_same", "more"])
-
-    def judged(pairs: DataFrame) -> DataFrame:
-        """For each y whether a pair of it is confirmed, and whether it had more."""
-        ends = pairs.select(F.col("y1").alias("_1"), F.col("y2").alias("_2")).unionByName(pairs.select(F.col("x1").alias("_1"), F.col("x2").alias("_2"))).distinct()
-        wanted = firsts.select("_chunk", "k1", "k2").join(ends, (F.col("k1") == F.col("_1")) & (F.col("k2") == F.col("_2")), "left_semi").withColumnRenamed("_chunk", "_at")
-        held = parts.groupBy("_chunk").cogroup(wanted.groupBy("_at")).applyInArrow(fetch, "k1 long, k2 long, _set binary")
-        held = written(held, "line-tokens")
-        x = held.select(F.col("k1").alias("x1"), F.col("k2").alias("x2"), F.col("_set").alias("_x"))
-        y = held.select(F.col("k1").alias("y1"), F.col("k2").alias("y2"), F.col("_set").alias("_y"))
-        got = pairs.join(x, ["x1", "x2"]).join(y, ["y1", "y2"]).select("y1", "y2", "_x", "_y", "more").mapInArrow(verify, "y1 long, y2 long, _same boolean, more boolean")
-        return written(got.groupBy("y1", "y2").agg(F.max("_same").alias("_same"), F.max("more").alias("more")), "judged")
-
-    verdict = judged(written(_join(postings, buckets, KEPT), "pairs"))
-    similar = verdict.where("_same").select("y1", "y2")
-    rest = verdict.where("not _same and more").select("y1", "y2")
-    if not rest.isEmpty():
-        every = _join(postings, buckets, None).join(rest, ["y1", "y2"], "left_semi")
-        similar = similar.unionByName(judged(written(every, "pairs")).where("_same").select("y1", "y2"))
-    kept_by = known.join(similar, (F.col("k1") == F.col("y1")) & (F.col("k2") == F.col("y2")), "left").select(F.col("_chunk").alias("_at"), "k1", "k2", (~F.col("_first") | F.col("y1").isNotNull()).alias("_gone")).where("_gone")
-
-    def left(key: tuple, group: pa.Table, gone: pa.Table) -> pa.Table:
-        own = Lines(group["_id"].to_pylist(), texts_of(group["_text"]))
-        out = np.zeros(len(own.doc), bool)
-        if len(own.line):
-            at = np.flatnonzero(np.diff(own.line, prepend=-1))
-            k1, k2, *_ = _signatures(own.token, at)
-            _, first, which = np.unique(np.stack([k1, k2], 1), axis=0, return_index=True, return_inverse=True)
-            bad = np.ones(len(at), bool)
-            bad[first] = False  # the first of the chunk may stay
-            names = set(zip(gone["k1"].to_pylist(), gone["k2"].to_pylist(), strict=True))
-            near = np.flatnonzero(np.isin(k1[first].view(np.int64), np.array([k for k, _ in names], np.int64)))
-            for i in near.tolist():
-                if (int(k1[first[i]].view(np.int64)), int(k2[first[i]].view(np.int64))) in names:
-                    bad[first[i]] = True
-            out[own.line[at]] = bad
-        ends = np.searchsorted(own.doc, np.arange(len(own.texts) + 1))
-        texts, counts, words, words_left = [], [], [], []
-        for i, text in enumerate(own.texts):
-            mask = out[ends[i] : ends[i + 1]]
-            counts.append(int(mask.sum()))
-            words.append(len(text.split()))
-            kept = b"\n".join(x for x, o in zip(text.split(b"\n"), mask.tolist(), strict=True) if not o) if counts[-1] else text
-            words_left.append(len(kept.split()) if counts[-1] else words[-1])
-            texts.append(kept.decode())
-        columns = {id_col: pa.array(own.ids, pa.int64()), "n_lines": pa.array(np.diff(ends), pa.int64()), "n_removed": pa.array(counts, pa.int64()), "n_words": pa.array(words, pa.int64()), "n_left": pa.array(words_left, pa.int64()), "text": pa.array(texts, pa.string())}
-        if carried:
-            columns["_rest"] = group["_rest"].combine_chunks().take(pa.array(own.order, pa.int64()))
-        return pa.table(columns)
-
-    longs = [T.StructField(n, T.LongType()) for n in (id_col, "n_lines", "n_removed", "n_words", "n_left")]
-    out = T.StructType([*longs, T.StructField("text", T.StringType()), *([T.StructField("_rest", parts.schema["_rest"].dataType)] if carried else [])])
-    return parts.groupBy("_chunk").cogroup(kept_by.groupBy("_at")).applyInArrow(left, out)
+            for chunk, gone, places, alike in zip(*(batch[c].to_pylist() for c in ("chunk", "gone", "others", "alike")), strict=True):
+                rows = get_rows(folder, f"{chunk}.arrow")
+                bad = {*np.frombuffer(gone, "<u4").tolist(), *(places or []), *(alike or [])}
+                texts, counts, removed, at = rows["_text"].to_pylist(), [], [], 0
+                for i, text in enumerate(texts):
+                    counts.append(text.count("\n") + 1)
+                    out = [j - at for j in range(at, at + counts[-1]) if j in bad]
+                    removed.append(len(out))
+                    at += counts[-1]
+                    if out:
+                        lines = text.split("\n")
+                        for j in reversed(out):
+                            del lines[j]
+                        texts[i] = "\n".join(lines)
+                blank = [not t.strip(" \t\n\v\f\r") for t in texts]
+                columns = [rows["_id"].combine_chunks(), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(blank), pa.array(texts, pa.string()), *([rows["_rest"].combine_chunks()] if carried else [])]
+                yield pa.RecordBatch.from_arrays(columns, out_names)
+
+    out = T.StructType([*(T.StructField(n, T.LongType()) for n in (id_col, "n_lines", "n_removed")), T.StructField("blank", T.BooleanType()), T.StructField("text", T.StringType()), *([T.StructField("_rest", rows.schema["_rest"].dataType)] if carried else [])])
+    out_names = out.names
+    return chunks.join(others, "chunk", "left").join(alike, "chunk", "left").repartition(tasks).mapInArrow(left, out)
 
 
 def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
@@ -295,7 +338,7 @@ def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     because of its own, and so does one from which nothing was removed. Its id is an integer.
     """
     others = [c for c in docs.columns if c not in (id_col, text_col)]
-    got = line_dedup(docs, id_col, text_col, others).where((F.col("n_removed") == 0) | (F.col("n_left") > 0))
+    got = line_dedup(docs, id_col, text_col, others).where((F.col("n_removed") == 0) | ~F.col("blank"))
     rest = {c: F.col("_rest").getField(c) for c in others} | ({length_col: F.length("text").cast(docs.schema[length_col].dataType)} if length_col in others else {})
     return got.select(*[col(id_col).cast(docs.schema[id_col].dataType).alias(c) if c == id_col else F.col("text").alias(c) if c == text_col else rest[c].alias(c) for c in docs.columns])
 

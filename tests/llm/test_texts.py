@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tesserae.llm import idfiles, licenses, lines, packing, simhash, substrings, syncmers
+from tesserae.llm import idfiles, licenses, lines, packing, prefixes, simhash, substrings, syncmers
 from tesserae.llm.common import new_folder
 from tesserae.llm.encoding import Encoder, vocabulary_path
 
@@ -101,18 +101,34 @@ def test_line_dedup_of_many_near_lines(spark, monkeypatch):
     assert bag(map(tuple, got.collect())) == bag(line_rule(rows))
 
 
-def test_candidates_lose_nothing():
+def test_line_dedup_of_equal_ids(spark):
+    """Lines of equal ids are in the order of a hash of their texts, whichever row comes first."""
+    texts = ["a b c d e\nu v w x y", "a b c d e f\nq", "a b c d e f g"]
+    for order in (texts, texts[::-1]):
+        df = spark.createDataFrame([(1, t) for t in order], "doc_id long, text string")
+        ties = {r["text"]: r["tie"] for r in df.select("text", F.expr("cast(shiftright(xxhash64(text), 32) as int) as tie")).collect()}
+        got = {r["n_lines"] * 10 + len(r["text"]) for r in lines.line_dedup(df).collect()}
+        want = {r[1] * 10 + len(r[3]) for r in line_rule([(ties[t], t) for t in texts])}
+        assert got == want
+
+
+def test_meet_loses_nothing():
+    """Against all pairs of random sets that meet on the first token that they share."""
     rng = np.random.default_rng(1)
-    p = np.zeros(300, np.dtype(lines._KINDS))
-    p["n"], p["pos"], p["id"] = 10, 0, np.arange(300)
-    p["s1"] = rng.integers(0, 4, 300)
-    run = np.repeat([0, 1], [20, 280])
-    y, x, _, _ = lines.candidates(p, run, None)
-    want = {(b, a) for b in range(300) for a in range(b) if run[a] == run[b] and 9 * int(np.bitwise_count(p["s1"][a] ^ p["s1"][b])) <= 20}
-    assert set(zip(y.tolist(), x.tolist(), strict=True)) == want
-    ky, _, _, more = lines.candidates(p, run, 2)
-    full = collections.Counter(y.tolist())
-    assert all(collections.Counter(ky.tolist())[i] >= min(2, n) for i, n in full.items()) and all(more[i] for i, n in full.items() if run[i] and n > 3)
+    sets = [np.sort(rng.choice(26, rng.integers(4, 14), replace=False)) for _ in range(260)]
+    rows = [(t, i, pos, len(s), sum(1 << int(x) for x in s)) for i, s in enumerate(sets) for pos, t in enumerate(s) if pos < lines.prefix(np.array([len(s)]))[0]]
+    rows.sort()
+    run, i, pos, n, bits = (np.array(c) for c in zip(*rows, strict=True))
+    bits = bits.astype(np.uint64)
+    want = {(a, b) for a in range(len(sets)) for b in range(a) if 9 * len(np.intersect1d(sets[a], sets[b])) >= 4 * (len(sets[a]) + len(sets[b]))}
+    y, x, _ = prefixes.meet(n, pos, run, 0.8, None, (bits,))
+    assert want and set(zip(i[y].tolist(), i[x].tolist(), strict=True)) >= want
+    ky, kx, more = prefixes.meet(n, pos, run, 0.8, 1, (bits,))
+    full, some = collections.Counter(y.tolist()), collections.Counter(ky.tolist())
+    assert all(some[r] >= 1 and (some[r] == c or more[r]) for r, c in full.items())
+    asks = more & (rng.random(len(n)) < 0.5)
+    ay, _, _ = prefixes.meet(n, pos, run, 0.8, None, (bits,), asks=asks)
+    assert collections.Counter(ay.tolist()) == {r: c for r, c in full.items() if asks[r]}
 
 
 def plain_mark(text, size):

@@ -20,7 +20,7 @@ from .common import CHUNK_BYTES, col, get_rows, make_folder, new_folder, put_row
 #: Similarity from which two lines are alike, and rows of a token that meet in one group before they are dealt over several.
 LEAST, RUN = 0.8, 20_000
 #: Rows that a task gathers before it sends them, and pairs that one task compares.
-SENT, COMPARED = 1 << 20, 20_000
+SENT, COMPARED = 1 << 20, 4_000
 #: Lines of a buffer that are numbered at once.
 _LINES = 1 << 24
 _LOW, _TOKEN = np.uint64(2**32 - 1), np.uint64(2**40 - 1)

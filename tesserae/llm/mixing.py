@@ -12,29 +12,60 @@ from .common import col, table, written
 
 #: Rounds of the projected gradient at most, the residual (share of all tokens) at which it ends, and the pull of rates towards 1.
 ROUNDS, ENOUGH, PULL = 30, 1e-7, 1e-3
-#: Features of a text.
-WIDTH = 10
+#: Buckets into which words are hashed, documents of a label that a bucket needs to count, and features of a text.
+BUCKETS, SEEN, WIDTH = 1 << 15, 2, 7
+#: Of five parts of the labelled documents, by a hash of their ids: those that weigh words, those that fit the discriminant. The last is never learnt.
+WORDS, FIT = (0, 1), (2, 3)
 #: What each domain of the labels is called, by quality and toxicity.
 DOMAINS = {(0, 0): "low", (0, 1): "low_toxic", (1, 0): "high", (1, 1): "high_toxic"}
 
 
-def _count(text: Column, *marks: str) -> Column:
-    """How often the marks, a byte each, occur."""
-    left = text
-    for m in marks:
-        left = F.replace(left, F.lit(m), F.lit(""))
-    return (F.octet_length(text) - F.octet_length(left)).cast("double")
+def part(ident: Column) -> Column:
+    """Which of the five parts of the labelled documents an id is of."""
+    return F.crc32(ident.cast("string")) % 5
 
 
-def features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """_id, _tokens (blanks and newlines and one more; 0 for a blank text) and _x, what the classifier sees of a text."""
-    rows = docs.select(col(id_col).alias("_id"), F.trim(F.coalesce(col(text_col), F.lit(""))).alias("_t"))
-    t = F.col("_t")
-    n = F.greatest(F.octet_length(t).cast("double"), F.lit(1.0))
-    blanks, lines = _count(t, " "), _count(t, "\n")
-    share = lambda *marks: F.sqrt(_count(t, *marks) / n)
-    x = [F.log1p(n), blanks / n, lines / n, share("!"), share("*", "%", "#"), share("$", "&"), share("|"), share("E", "N", "A"), share("0", "5"), share(".")]
-    return rows.select("_id", F.when(F.length(t) == 0, 0).otherwise(blanks + lines + 1).cast("long").alias("_tokens"), F.array(*x).alias("_x"))
+def _words(text: Column) -> Column:
+    """The words of a text, A-Z lower-cased, by bucket."""
+    words = F.split(F.translate(F.lower(F.coalesce(text, F.lit(""))), "\t\n\x0b\x0c\r", " " * 5), " ")
+    return F.transform(F.filter(words, lambda w: w != ""), lambda w: (F.pmod(F.xxhash64(w), F.lit(BUCKETS)) + 1).cast("int"))
+
+
+def labelled(labels: DataFrame, label_id: str = "doc_id") -> DataFrame:
+    """(_of, _domain) of the labels with a quality; a null toxicity counts as none, of several labels of an id the first name counts."""
+    name = F.coalesce(*[F.when((col("quality") == q) & (F.coalesce(col("toxic"), F.lit(0)) == t), n) for (q, t), n in DOMAINS.items()])
+    return labels.where(col(label_id).isNotNull()).groupBy(col(label_id).alias("_of")).agg(F.min(name).alias("_domain")).where("_domain is not null")
+
+
+def word_weights(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) -> list[list[float]]:
+    """For quality and for toxicity the log odds of each bucket: how much more often documents of that label hold its words than others do."""
+    rows = docs.select(col(id_col).alias("_id"), col(text_col).alias("_t")).join(known.where(part(F.col("_of")).isin(*WORDS)), F.col("_id") == F.col("_of"))
+    good, bad = F.col("_domain").isin("high", "high_toxic"), F.col("_domain").isin("low_toxic", "high_toxic")
+    sums = [F.sum(x.cast("long")).alias(n) for n, x in (("good", good), ("bad", bad))]
+    all_ = rows.agg(F.count(F.lit(1)).alias("n"), *sums).first()
+    found = rows.select(F.explode(F.array_distinct(_words(F.col("_t")))).alias("b"), "_domain").groupBy("b").agg(F.count(F.lit(1)).alias("n"), *sums).where(F.col("n") >= SEEN).collect()  # a row for each bucket
+    out = []
+    for flag in ("good", "bad"):
+        weights = [0.0] * BUCKETS
+        for r in found:
+            one, two = (r[flag] + 0.5) / ((all_[flag] or 0) + 1), (r["n"] - r[flag] + 0.5) / (all_["n"] - (all_[flag] or 0) + 1)
+            weights[r["b"] - 1] = round(float(np.log(one / two)), 2)
+        out.append(weights)
+    return out
+
+
+def features(docs: DataFrame, weights: list[list[float]], id_col: str, text_col: str) -> DataFrame:
+    """_id, _tokens (words) and _x, what the discriminant sees of a text: how long it is, and the mean and extremes of its words' weights."""
+    listed = [F.split(F.lit(",".join(f"{x:g}" for x in w)), ",").cast("array<double>") for w in weights]
+    looked_up = lambda a: F.transform("_w", lambda i: F.element_at(a, i))
+    rows = docs.select(col(id_col).alias("_id"), _words(col(text_col)).alias("_w"))
+    rows = rows.select("_id", F.size("_w").cast("long").alias("_tokens"), *[looked_up(a).alias(n) for n, a in zip(("_q", "_p"), listed, strict=True)])
+    n = F.greatest(F.col("_tokens"), F.lit(1)).cast("double")
+    mean = lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v) / n
+    none = F.lit(0.0)
+    marked = F.sqrt(F.aggregate("_p", F.lit(0.0), lambda s, v: s + F.when(v > 2, 1.0).otherwise(0.0)) / n)
+    x = [F.log1p(F.col("_tokens").cast("double")), mean("_q"), F.coalesce(F.array_min("_q"), none), F.coalesce(F.array_max("_q"), none), mean("_p"), F.coalesce(F.array_max("_p"), none), marked]
+    return rows.select("_id", "_tokens", F.array(*x).alias("_x"))
 
 
 @dataclass
@@ -53,10 +84,8 @@ class Classifier:
         return F.transform(raised, lambda e: e / F.aggregate(raised, F.lit(0.0), lambda s, v: s + v))
 
 
-def classify(seen: DataFrame, labels: DataFrame, label_id: str = "doc_id") -> Classifier | None:
-    """Fits the discriminant on all labelled rows by one aggregation: counts, means and the common covariance of the domains."""
-    name = F.coalesce(*[F.when((col("quality") == q) & (F.coalesce(col("toxic"), F.lit(0)) == t), n) for (q, t), n in DOMAINS.items()])
-    known = labels.where(col(label_id).isNotNull()).groupBy(col(label_id).alias("_of")).agg(F.min(name).alias("_domain")).where("_domain is not null")
+def classify(seen: DataFrame, known: DataFrame) -> Classifier | None:
+    """Fits the discriminant by one aggregation over the labelled rows: counts, means and the common covariance of the domains."""
     rows = seen.join(known, F.col("_id") == F.col("_of"))
     m = WIDTH
     sums = [F.sum(F.col("_x")[i]).alias(f"s{i}") for i in range(m)] + [F.sum(F.col("_x")[i] * F.col("_x")[j]).alias(f"q{i}_{j}") for i in range(m) for j in range(i, m)]
@@ -82,7 +111,8 @@ def rate_of(p: Column, v: np.ndarray, least: float = 0.0) -> Column:
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", least: float = 0.0) -> DataFrame:
     """Rates at which documents are to be taken so that each domain's expected tokens are its target's share of all tokens.
 
-    A classifier of the labelled documents gives each document its domain posteriors p. The rates r, none under `least`, minimise
+    A classifier of the labelled documents gives each document its domain posteriors p: words are hashed into buckets, each weighed by
+    its log odds in two parts of the labelled documents, and a linear discriminant of a text's weights is fitted on two others. The rates r, none under `least`, minimise
     the squares of sum(r * tokens * p) - target, as shares of all tokens, and PULL times the tokens' mean of (r - 1) ** 2. Each
     round of the projected gradient is one aggregation over the written posteriors: the residual of each domain, scaled by the Gram
     matrix of the documents whose rate is above `least`; the driver sees the sums for the domains alone. A target's weight goes by the name of its domain; names without labels are left out, domains without a weight
@@ -92,8 +122,9 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: s
     text has no tokens, still posteriors and a rate; equal texts have equal rates; null and repeated ids are kept; without labels,
     domains and posteriors are empty and rates 1; an empty table gives an empty one; other columns are ignored.
     """
-    seen = written(features(docs, id_col, text_col), "features")
-    model = classify(seen, labels)
+    known = labelled(labels)
+    seen = written(features(docs, word_weights(docs, known, id_col, text_col), id_col, text_col), "features")
+    model = classify(seen, known.where(part(F.col("_of")).isin(*FIT))) or classify(seen, known)
     if model is None:
         return seen.select(F.col("_id").alias(id_col), F.col("_tokens").alias("tokens"), F.array().cast("array<string>").alias("domains"), F.array().cast("array<double>").alias("posteriors"), F.lit(1.0).alias("rate"))
     d = len(model.names)

@@ -7,14 +7,16 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
+from . import prefixes as P
 from .common import col, squeezed, table, text_bytes, texts_of, written
 from .components import connected_components
-from .words import mix
+from .words import buffer_spans, joined, mix, quick_hashes
 
 _LANES = np.uint64(0x0101010101010101)
 
@@ -96,87 +98,40 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
-#: Longs of a text's parities; rows of a shingle that meet in one group; rows up to which a run is compared whole at once, and candidates that a row of a longer run looks for before they are verified.
-PARITIES, RUN, SHORT, KEPT = 16, 20_000, 32, 3
-#: Texts of which frequent shingles are learnt, and how many of these are told to all tasks: this changes the work, not the result.
-SAMPLE, FREQUENT = 4_000, 200_000
+#: Longs of a text's parities, rows of a shingle that meet in one group before they are dealt over several, and bytes of text that are hashed at once.
+PARITIES, RUN, AT_ONCE = 16, 20_000, 2 << 20
 _POST = np.dtype([("token", "<u8"), ("pair", "<i8"), ("u", "<i8"), ("n", "<i4"), ("pos", "<i4")])
 _EPS = 1e-9
 
 
-def distinct_hashes(text: str, size: int) -> np.ndarray:
-    """XXH64 (seed 42) of the distinct shingles, ascending."""
-    got = set(shingles(text, size))
-    return np.unique(np.fromiter((xxh64_intdigest(s, 42) for s in got), np.uint64, len(got)))
+def shingle_sets(texts: list[str], size: int) -> Iterator[np.ndarray]:
+    """Of each text 64 bits of hash of its distinct shingles, ascending; shingles are those of shingles()."""
+    at = 0
+    while at < len(texts):
+        raw, held = [], 0
+        while at + len(raw) < len(texts) and (not raw or held < AT_ONCE):
+            raw.append(texts[at + len(raw)].encode().lower())
+            held += len(raw[-1])
+        at += len(raw)
+        data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
+        starts, ends = buffer_spans(data)
+        h = quick_hashes(data, starts, ends)
+        cuts = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in raw])).tolist()
+        for a, b in zip([0, *cuts], cuts, strict=False):
+            own = h[a:b]
+            k = min(size, len(own))
+            whole = own[: len(own) - k + 1]
+            for j in range(1, k):
+                whole = joined(whole, own[j : len(own) - k + 1 + j], j)
+            yield np.unique(mix(whole + np.uint64(k))) if k else own
 
 
 def parities(h: np.ndarray) -> list[int]:
     """Of how many shingles, odd or even, fall on each of so many bits: two sets differ in at least as many as their parities do in bits."""
-    odd = np.bincount((mix(h) & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1
+    odd = np.bincount((h & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
 
 
-def meet(n: np.ndarray, pos: np.ndarray, run: np.ndarray, least: float, kept: int | None, group: np.ndarray | None = None, asks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (y, x) of rows of one run, x before y, that pass the length and the positional filter; and which rows had more than `kept`.
-
-    run ascends. In a run of over SHORT rows a row stops once it has found more than `kept`. Given groups, only rows that ask are y, and
-    pairs within a group are left out.
-    """
-    found, more = [(np.zeros(0, np.int64),) * 2], np.zeros(len(n), bool)
-
-    def fit(y: np.ndarray, x: np.ndarray) -> np.ndarray:
-        ny, nx = n[y].astype(np.int64), n[x].astype(np.int64)
-        shared = np.minimum(pos[y], pos[x]) + np.minimum(ny - pos[y], nx - pos[x])  # at most so many in common
-        ok = (np.minimum(ny, nx) + _EPS >= least * np.maximum(ny, nx)) & ((1 + least) * shared + _EPS >= least * (ny + nx))
-        return ok if group is None else ok & (group[y] != group[x])
-
-    _, first, size = np.unique(run, return_index=True, return_counts=True)
-    length = np.repeat(size, size)
-    for d in range(1, SHORT):
-        y = np.flatnonzero((run[d:] == run[:-d]) & (length[d:] <= SHORT)) + d if len(run) > d else found[0][0]
-        if not len(y):
-            break
-        y = y if asks is None else y[asks[y]]
-        y = y[fit(y, y - d)]
-        found.append((y, y - d))
-    for a, m in zip(first[size > SHORT].tolist(), size[size > SHORT].tolist(), strict=True):
-        had, waiting = np.zeros(m, np.int64), np.arange(m)
-        waiting = waiting if asks is None else waiting[asks[a : a + m]]
-        for s in range(0, m, 64):
-            waiting = waiting[waiting > s]
-            for t in range(0, len(waiting), 4096):
-                rows = waiting[t : t + 4096]
-                y, x = np.repeat(rows, min(64, m - s)), np.tile(np.arange(s, min(m, s + 64)), len(rows))
-                y, x = y[x < y], x[x < y]
-                ok = fit(a + y, a + x)
-                y, x = y[ok], x[ok]
-                if kept is not None and len(y):
-                    nth = np.arange(len(y)) - np.searchsorted(y, y) + had[y]
-                    more[a + y[nth >= kept]] = True
-                    np.add.at(had, y, 1)
-                    y, x = y[nth < kept], x[nth < kept]
-                found.append((a + y, a + x))
-            waiting = waiting[had[waiting] <= kept] if kept is not None else waiting
-    return (*(np.concatenate(c) for c in zip(*found, strict=True)), more)
-
-
-def frequent_shingles(keyed: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, ascending, of shingles that several of about SAMPLE texts hold, and in how many texts of all each may be."""
-    total = keyed.count()
-    deal = max(1, total // SAMPLE)
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            every = [distinct_hashes(x, shingle) for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *every]).view(np.int64))], ["h"])
-
-    some = keyed.where(F.pmod(F.xxhash64("_u", F.lit("sample")), F.lit(deal)) == 0).select("_text").mapInArrow(hashed, "h long")
-    rows = some.groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(FREQUENT).toArrow()
-    h, count = rows["h"].to_numpy().view(np.uint64), rows["count"].to_numpy() * deal
-    order = np.argsort(h)
-    return h[order], count[order]
-
-
 def similar_groups(docs: DataFrame, text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
     """(_text_hash, _group): the groups of texts connected by a Jaccard similarity of the sets of word shingles of `least` or more.
 
@@ -184,23 +139,32 @@ def similar_groups(docs: DataFrame, text_col: str = "text", shingle: int = 5, le
     these. A shingle's rows beyond RUN are dealt over pairs of blocks. Pairs that pass the length and the positional filter and the
     bound from their parities are verified on their shingles. Where a text has many candidates of a shingle it takes a few first; once
     these are verified it meets all others there that are not yet connected with it, so that every pair is connected or rejected.
+    How frequent shingles are is counted over all texts.
     Only groups of more than one text are returned; equal texts share a hash and count once; nulls count as empty.
     """
     text = F.coalesce(col(text_col), F.lit(""))
     keyed = docs.select(F.xxhash64(text).alias("_u"), text.alias("_text"))
-    often, spread = frequent_shingles(keyed, shingle)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = P.Counter()
+        for batch in batches:
+            for h in shingle_sets(batch.column(0).to_pylist(), shingle):
+                counter.add(h >> np.uint64(64 - P.SLOT_BITS))
+        yield counter.rows(TaskContext.get().taskAttemptId())
+
+    counts = written(keyed.select("_text").mapInArrow(count, P.COUNTS), "shingle-counts")
+    logs = docs.sparkSession.sparkContext.broadcast(P.frequencies(counts))
     buckets = max(8, text_bytes(docs, text_col) >> 21)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, first, marks = [], [], []
-            for x in batch.column(1).to_pylist():
-                h = distinct_hashes(x, shingle)
-                at = np.minimum(np.searchsorted(often, h), max(0, len(often) - 1))
-                weight = np.where(often[at] == h, spread[at], 0) if len(often) else np.zeros(len(h), np.int64)
+            for h in shingle_sets(batch.column(1).to_pylist(), shingle):
+                log = logs.value[(h >> np.uint64(64 - P.SLOT_BITS)).astype(np.int64)]
                 need = len(h) - int(np.ceil(least * len(h) - _EPS)) + 1 if len(h) else 0
                 size.append(len(h))
-                first.append(h[np.lexsort((h, weight))[:need]].tobytes())
+                rare = np.lexsort((h, log))[:need]
+                first.append(np.where(log[rare] > 0, h[rare], np.uint64(0)).tobytes())  # one that no other text holds keeps its place alone
                 marks.append(parities(h))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int32()), pa.array(first, pa.binary()), pa.array(marks, pa.list_(pa.int64()))], ["_u", "_n", "_first", "_marks"])
 
@@ -214,13 +178,11 @@ def similar_groups(docs: DataFrame, text_col: str = "text", shingle: int = 5, le
             p["token"] = np.frombuffer(b"".join(firsts), "<u8")
             p["u"], p["n"] = np.repeat(batch.column(0).to_numpy(), each), np.repeat(batch.column(1).to_numpy(), each)
             p["pos"] = np.arange(len(p)) - np.repeat(np.cumsum(each) - each, each)
-            if len(often):  # a crowded shingle's row goes to each pair of blocks that holds its own
-                at = np.minimum(np.searchsorted(often, p["token"]), len(often) - 1)
-                blocks = np.where(often[at] == p["token"], -(-spread[at] // RUN), 1)
-                own, which = p["u"] % blocks, np.repeat(np.arange(len(p)), blocks)
-                j = np.arange(len(which)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-                p = p[which]
-                p["pair"] = np.minimum(j, own[which]) * blocks[which] + np.maximum(j, own[which])
+            p = p[p["token"] > 0]
+            dealt = P.blocks(logs.value[(p["token"] >> np.uint64(64 - P.SLOT_BITS)).astype(np.int64)], RUN)
+            which, pair = P.meetings(p["u"] % dealt, dealt)
+            p = p[which]
+            p["pair"] = pair
             to = (mix(p["token"] ^ mix(p["pair"].view(np.uint64) + np.uint64(1))) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(to, kind="stable")
             p, to = p[order], to[order]
@@ -234,7 +196,7 @@ def similar_groups(docs: DataFrame, text_col: str = "text", shingle: int = 5, le
         new = np.zeros(len(p), np.int64)
         new[1:] = (p["token"][1:] != p["token"][:-1]) | (p["pair"][1:] != p["pair"][:-1])
         run = np.cumsum(new)
-        y, x, more = meet(p["n"], p["pos"], run, least, KEPT)
+        y, x, more = P.meet(p["n"], p["pos"], run, least, P.KEPT)
         both = np.unique(np.stack([np.maximum(p["u"][y], p["u"][x]), np.minimum(p["u"][y], p["u"][x])], 1), axis=0)
         crowd = np.flatnonzero(np.isin(run, run[more]))  # members of the runs in which some had more
         rest = np.zeros(len(both), np.int64)
@@ -248,7 +210,7 @@ def similar_groups(docs: DataFrame, text_col: str = "text", shingle: int = 5, le
     def other_pairs(key: tuple, group: pa.Table) -> pa.Table:
         u, n, pos, label, asks = (group[c].to_numpy() for c in ("u", "_n", "_pos", "_label", "_asks"))
         order = np.lexsort((u, n))
-        y, x, _ = meet(n[order], pos[order], np.zeros(len(u), np.int64), least, None, label[order], asks[order].astype(bool))
+        y, x, _ = P.meet(n[order], pos[order], np.zeros(len(u), np.int64), least, None, group=label[order], asks=asks[order].astype(bool))
         y, x = u[order][y], u[order][x]
         return pa.table({"a": np.maximum(y, x), "b": np.minimum(y, x)})
 
@@ -291,11 +253,11 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = written(similar_groups(docs, text_col, shingle, least), "groups")
     text = F.coalesce(col(text_col), F.lit(""))
     rank = F.coalesce(col(id_col).cast("long"), F.lit(2**63 - 1))
-    rows = docs.select(F.xxhash64(text).alias("_u"), rank.alias("_rank")).groupBy("_u", "_rank").count()
+    keyed = docs.select(F.xxhash64(text).alias("_u"), rank.alias("_rank"), F.struct(*[col(c) for c in docs.columns]).alias("_row"))
+    rows = keyed.groupBy("_u", "_rank").count()
     rows = written(rows.join(groups, F.col("_u") == F.col("_text_hash"), "left").select("_u", "_rank", "count", F.coalesce("_group", "_u").alias("_group")), "ranks")
     best = rows.groupBy("_group").agg(F.min(F.struct("_rank", "_u")).alias("_best")).select(F.col("_best._u").alias("_stay"), F.col("_best._rank").alias("_as"))
-    keyed = docs.withColumns({"_u_": F.xxhash64(text), "_rank_": rank})
-    kept = keyed.join(best, (F.col("_u_") == F.col("_stay")) & (F.col("_rank_") == F.col("_as")), "left_semi")
+    kept = keyed.join(best, (F.col("_u") == F.col("_stay")) & (F.col("_rank") == F.col("_as")), "left_semi")
     if not rows.where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["_u_", "_rank_"])
-    return kept.select(*[col(c) for c in docs.columns])
+        kept = kept.dropDuplicates(["_u", "_rank"])
+    return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -2,9 +2,11 @@
 
 import collections
 import random
+import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -65,9 +67,40 @@ def test_toxicity_without_labels(labelled, none):
     assert toxicity.toxicity(none, labels).collect() == []
 
 
+PLAIN, ODD = [f"word{i}" for i in range(40)], [f"b!!{i}" for i in range(40)]
+
+
+def plain_posteriors(rows, labels):
+    """Each text's posteriors by loops over words, for the domains high and low."""
+    part = lambda i: zlib.crc32(str(i).encode()) % 5
+    domain = {i: bool(q) for i, q, _ in labels if i is not None}
+    words = {i: [xxhash.xxh64_intdigest(w, 42) for w in (t or "").lower().split()] for i, t in rows}
+    words = {i: [(h - 2**64 if h >= 2**63 else h) % mixing.BUCKETS for h in w] for i, w in words.items()}
+    learnt = [i for i in words if i in domain and part(i) in mixing.WORDS]
+    held = collections.Counter((b, domain[i]) for i in learnt for b in set(words[i]))
+    n = collections.Counter(domain[i] for i in learnt)
+    odds = {b: round(float(np.log((held[b, True] + 0.5) / (n[True] + 1) / ((held[b, False] + 0.5) / (n[False] + 1)))), 2) for b, _ in held if held[b, True] + held[b, False] >= mixing.SEEN}
+    ordinary = {b: round(float(np.log(0.5 / (0 + 1) / ((held[b, True] + held[b, False] + 0.5) / (n[True] + n[False] + 1)))), 2) for b in odds}
+
+    def seen(w):
+        q, t, m = [odds.get(b, 0.0) for b in w], [ordinary.get(b, 0.0) for b in w], max(1, len(w))
+        return [np.log1p(len(w)), sum(q) / m, min(q, default=0), max(q, default=0), sum(t) / m, max(t, default=0), (sum(x > 2 for x in t) / m) ** 0.5]
+
+    x = {i: np.array(seen(w)) for i, w in words.items()}
+    fit = [i for i in words if i in domain and part(i) in mixing.FIT]
+    means = {d: np.mean([x[i] for i in fit if domain[i] == d], axis=0) for d in (True, False)}
+    within = sum(np.outer(x[i] - means[domain[i]], x[i] - means[domain[i]]) for i in fit) / len(fit)
+    inverse = np.linalg.inv(within + np.eye(mixing.WIDTH) * (1e-9 + 1e-6 * np.trace(within) / mixing.WIDTH))
+    out = []
+    for i, _ in rows:
+        z = np.array([means[d] @ inverse @ x[i] - means[d] @ inverse @ means[d] / 2 + np.log(sum(domain[j] == d for j in fit) / len(fit)) for d in (True, False)])
+        out.append(np.exp(z - z.max()) / np.exp(z - z.max()).sum())
+    return out
+
+
 def test_mixing(spark, none):
     rng = random.Random(6)
-    rows = [(i, ("good words here " if i % 4 else "b!! a!! d!! *** ") * rng.randint(3, 30)) for i in range(300)] + [(900, None), (901, "  ")]
+    rows = [(i, " ".join(rng.choice(PLAIN if rng.random() < (0.9 if i % 4 else 0.4) else ODD) for _ in range(rng.randint(9, 90)))) for i in range(300)] + [(900, None), (901, "  ")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(0, 300, 3)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
     got = mixing.mix(docs, labels, {"high": 0.5, "low": 0.5}).collect()
@@ -75,6 +108,8 @@ def test_mixing(spark, none):
     names, w = got[0]["domains"], n / n.sum()
     assert (r >= 0).all() and np.allclose(p.sum(1), 1) and {x["tokens"] for x in got if x["doc_id"] >= 900} == {0}
     assert np.abs((w * r) @ p - 0.5).max() < 0.01 < np.abs(w @ p - 0.5).max()
+    plain = dict(zip([i for i, _ in rows], plain_posteriors(rows, [tuple(x) for x in labels.collect()]), strict=True))
+    assert max(np.abs(np.array(x["posteriors"]) - plain[x["doc_id"]]).max() for x in got) < 1e-6
     # a plain projected gradient ends at the same rates
     q, step = np.ones(len(n)), 1 / (np.linalg.eigvalsh((p.T * w) @ p).max() + mixing.PULL)
     for _ in range(20_000):
@@ -84,15 +119,20 @@ def test_mixing(spark, none):
     assert mixing.mix(none, labels, {"high": 1.0}).collect() == []
 
 
-def test_pipeline_mixing_meets_the_targets_by_repeats(spark, tmp_path, monkeypatch):
+def test_pipeline_mixing_meets_the_targets(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(mixing, "TARGETS", {"high": 0.88, "low": 0.12})
     rng = random.Random(7)
-    rows = [(i, ("good words here " if i % 4 else "b!! a!! d!! *** ") * rng.randint(3, 30)) for i in range(600)]
-    spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(0, 600, 3)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
-    got = collections.Counter(r["doc_id"] for r in corpus_pipeline.mixed(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect())
-    size = {i: len(t.split()) * got[i] for i, t in rows}
-    assert set(got) == {i for i, _ in rows}
-    assert abs(sum(n for i, n in size.items() if i % 4 == 0) / sum(size.values()) - 0.12) < 0.02
+    rows = [(i, " ".join(rng.choice(PLAIN if i % 4 else ODD) for _ in range(rng.randint(9, 90))), "its own") for i in range(3000)]
+    rows += [(1, rows[1][1], "again"), (None, "word1 word2", None), (5001, None, None)]
+    spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(0, 3000, 3)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _of string")
+    taken = corpus_pipeline.mixed(spark, docs, str(tmp_path))
+    assert taken.columns == docs.columns
+    got = collections.Counter((r["doc_id"], r["text"]) for r in taken.collect())
+    size = {(i, t): len((t or "").split()) * got[i, t] for i, t, _ in rows}
+    assert abs(sum(n for (i, _), n in size.items() if i is not None and i % 4 == 0) / sum(size.values()) - 0.12) < 0.01
+    assert all(got[i, t] >= 1 for i, t, _ in rows if i is not None and i % 4)  # what is to be more frequent stays
+    assert corpus_pipeline.mixed(spark, docs.limit(0), str(tmp_path)).collect() == []
 
 
 def test_neighbours(spark, monkeypatch):
@@ -132,7 +172,7 @@ def test_pipeline(spark, tmp_path):
         kept.append({r["doc_id"] for r in now.select("doc_id").distinct().collect()})
         if i < 4:
             assert now.columns == docs.columns
-    assert kept[0] >= kept[1] >= kept[2] >= kept[3] == kept[4] == kept[5]
+    assert kept[0] >= kept[1] >= kept[2] >= kept[3] >= kept[4] == kept[5]
     mixed = collections.Counter(r["doc_id"] for r in spark.read.parquet(str(tmp_path / "3")).collect())
     whole = now.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()
     assert all(r["n"] == r["t"] * mixed[r["doc_id"]] for r in whole)

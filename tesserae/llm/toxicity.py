@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -17,6 +17,8 @@ from .common import col, table
 
 #: Labelled documents of each class that a fit uses at most.
 TOXIC_SAMPLE, ORDINARY_SAMPLE = 1500, 4000
+#: How much larger a share of toxic than of ordinary texts must hold a word of the toxic dictionary, and windows that train a dictionary at most.
+RATIO, TRAINED = 30, 40_000
 #: Bytes of the two dictionaries, of a window and of the start that every window is given.
 TOXIC_BYTES, ORDINARY_BYTES, WINDOW, LEAD = 4096, 8192, 64, 24
 
@@ -35,7 +37,8 @@ def windows(raw: bytes, size: int = WINDOW) -> list[bytes]:
 
 
 def _train(size: int, samples: list[bytes], d: int, k: int) -> bytes:
-    """The content of a dictionary trained by zstandard; the samples' own end where they are too few to train on."""
+    """The content of a dictionary trained by zstandard, on samples from all over where there are more than TRAINED; the samples' own end where they are too few."""
+    samples = samples[:: -(-len(samples) // TRAINED) or 1]
     try:
         content = zstandard.train_dictionary(size, samples, d=d, k=k).as_bytes()
         return content[-(size - 256) :]  # without the header and its entropy tables
@@ -44,13 +47,14 @@ def _train(size: int, samples: list[bytes], d: int, k: int) -> bytes:
 
 
 def distinctive(texts: list[bytes], others: list[bytes], contexts: int) -> list[bytes]:
-    """Of each text the words that stand before so many different words in texts and never occur in others."""
-    known = {w for x in others for w in x.split()}
+    """Of each text the words that stand before so many different words in texts, and that RATIO times as large a share of texts as of others hold."""
+    held = Counter(w for x in texts for w in set(x.split()))
+    known = Counter(w for x in others for w in set(x.split()))
     after: dict[bytes, set] = defaultdict(set)
     for x in texts:
         own = x.split()
         for a, b in zip(own, [*own[1:], b""], strict=True):
-            if a not in known and len(after[a]) < contexts:
+            if held[a] * (len(others) + 1) >= RATIO * known[a] * (len(texts) + 1) and len(after[a]) < contexts:
                 after[a].add(b)
     kept = {w for w, s in after.items() if len(s) >= contexts}
     rows = [b" ".join(w for w in x.split() if w in kept) for x in texts]
@@ -118,7 +122,7 @@ def fit(rows: list[tuple[bytes, int]], share: float) -> Model | float:
         return share
     own = distinctive(toxic, ordinary, max(4, min(8, len(toxic) // 125))) or toxic
     cut = lambda texts, n: [x[i : i + n] for x in texts for i in range(0, len(x), n)]
-    model = Model(_train(TOXIC_BYTES, cut(own, 256), 6, 32), _train(ORDINARY_BYTES, cut(ordinary, 128)[:40_000], 8, 64) or b" ", np.zeros(0), np.zeros(0), np.ones(0))
+    model = Model(_train(TOXIC_BYTES, cut(own, 256), 6, 32), _train(ORDINARY_BYTES, cut(ordinary, 128), 8, 64) or b" ", np.zeros(0), np.zeros(0), np.ones(0))
     x = np.array([model.features(t) for t in [*toxic_rest, *ordinary_rest]])
     y = np.array([1.0] * len(toxic_rest) + [0.0] * len(ordinary_rest))
     w = np.where(y == 1, share / len(toxic_rest), (1 - share) / len(ordinary_rest)) * len(y)
@@ -150,13 +154,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The columns of docs and `_score`, from 0 to 1: the calibrated probability that a text's label would be toxic.
+    """The columns of docs and `_score`, in place of any so named, from 0 to 1: the calibrated probability that a text's label would be toxic.
 
     A text is cut into windows of words; the zstandard dictionary trained on the toxic texts' distinctive words stands before the
     one trained on ordinary texts, and how many bytes that saves on each window makes the score. Nothing but the text is scored.
-    A null or empty text has one empty window and the score of a text on which nothing is saved; equal texts have equal scores;
+    A null or empty text has one empty window and the score of a text on which nothing is saved; equal texts have equal scores, repeated rows are scored each;
     without labels of both classes every score is the share of toxic labels (0 without labels); an empty table gives an empty one.
     """
+    docs = docs.select(*[col(c) for c in docs.columns if c != "_score"])
     model = train(docs, labels, id_col, text_col)
     names = docs.columns
 

@@ -57,6 +57,15 @@ def test_toxicity(labelled):
     assert len(held) > 200 and all(0 <= s <= 1 for s in score.values())
     assert np.mean([(score[i] >= 0.3) == bool(truth[i]) for i in held]) > 0.95
     assert score[5000] == score[5001] < 0.3
+    again = docs.where("doc_id in (5, 5, 6, 5000)").withColumns({"_score": F.lit("its own"), "_toxic": F.lit(1), "label": F.lit(0)})
+    again = toxicity.toxicity(again.unionByName(again), labels)  # repeated rows and clashing names
+    assert again.columns == ["doc_id", "text", "_toxic", "label", "_score"] and again.count() == 6
+    assert again.groupBy("doc_id").agg(F.countDistinct("_score").alias("n")).where("n <> 1").isEmpty()
+
+
+def test_one_wrong_label_takes_no_word_away():
+    texts, others = [b"the fool came", b"a fool went", b"fool is he", b"some fool said"] * 30, [b"the man came"] * 400
+    assert any(b"fool" in x for x in toxicity.distinctive(texts, others, 3)) and any(b"fool" in x for x in toxicity.distinctive(texts, [*others, b"a fool spoke"], 3))
 
 
 def test_toxicity_without_labels(labelled, none):
@@ -135,6 +144,18 @@ def test_pipeline_mixing_meets_the_targets(spark, tmp_path, monkeypatch):
     assert corpus_pipeline.mixed(spark, docs.limit(0), str(tmp_path)).collect() == []
 
 
+def test_pipeline_toxicity_of_odd_rows(spark, labelled, tmp_path):
+    docs, labels, truth = labelled
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    docs = docs.select("*", F.lit("x").alias("_score"), F.lit(1).alias("_rest"))
+    docs = docs.unionByName(docs.where("doc_id < 9"))
+    kept = corpus_pipeline.without_toxic(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    n = collections.Counter(r["doc_id"] for r in kept.collect())
+    assert n[5000] == n[5001] == n[5002] == 1 and n[1] == 2 and n[0] == 0
+    assert sum(n[i] == 0 for i, t in truth.items() if not t) < 10 and corpus_pipeline.without_toxic(spark, docs.limit(0), str(tmp_path)).collect() == []
+
+
 def test_neighbours(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", 300)
     rng = np.random.default_rng(8)

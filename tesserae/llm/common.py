@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -106,6 +107,25 @@ def make_folder(folder: str) -> None:
     system.create_dir(at, recursive=True)
 
 
+def chunks_of(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.Table]:
+    """The rows of a task in tables of CHUNK_BYTES of their column text at most, or one row."""
+    held, size = [], 0
+    for batch in batches:
+        ends, a = np.cumsum(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False).astype(np.int64)), 0
+        while a < batch.num_rows:
+            base = int(ends[a - 1]) if a else 0
+            b = int(np.searchsorted(ends, base + CHUNK_BYTES - size, "right"))
+            if b <= a and held:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, size = [], 0
+                continue
+            b = max(b, a + 1)
+            held.append(batch.slice(a, b - a))
+            size, a = size + int(ends[b - 1]) - base, b
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def text_bytes(docs: DataFrame, text_col: str) -> int:
     """Bytes of all texts: one scan of that column, from which the numbers of chunks and buckets follow."""
     return int(docs.select(F.sum(F.octet_length(col(text_col)).cast("long")).alias("n")).first()[0] or 0)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from . import prefixes as P
 from . import words as W
-from .common import CHUNK_BYTES, col, get_rows, make_folder, new_folder, put_rows, table, written
+from .common import chunks_of, col, get_rows, make_folder, new_folder, put_rows, table, written
 
 #: Similarity from which two lines are alike, and rows of a token that meet in one group before they are dealt over several.
 LEAST, RUN = 0.8, 20_000
@@ -87,8 +87,7 @@ def _stored(docs: DataFrame, folder: str) -> DataFrame:
     """
     at_text = docs.columns.index("_text")
 
-    def put(held: list[pa.RecordBatch], chunk: int, counter: P.Counter) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(held).combine_chunks()
+    def put(rows: pa.Table, chunk: int, counter: P.Counter) -> Iterator[pa.RecordBatch]:
         rows = rows.take(pc.sort_indices(rows, sort_keys=[("_id", "ascending"), ("_tie", "ascending")], null_placement="at_start"))
         put_rows(folder, f"{chunk}.arrow", rows)
         buffer = Buffer(rows["_text"])
@@ -106,24 +105,11 @@ def _stored(docs: DataFrame, folder: str) -> DataFrame:
         yield _rows(len(doc), chunk=np.full(len(doc), chunk), k1=k1[~again], k2=k2[~again], id=ident, tie=tie, place=place[~again])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, held, size = P.Counter(), [], 0
-        task = chunk = TaskContext.get().taskAttemptId() << 20
-        for batch in batches:
-            ends, a = np.cumsum(pc.binary_length(batch.column(at_text)).to_numpy(zero_copy_only=False).astype(np.int64)), 0
-            while a < batch.num_rows:
-                base = int(ends[a - 1]) if a else 0
-                b = int(np.searchsorted(ends, base + CHUNK_BYTES - size, "right"))
-                if b <= a and held:
-                    yield from put(held, chunk, counter)
-                    chunk, held, size = chunk + 1, [], 0
-                    continue
-                b = max(b, a + 1)
-                held.append(batch.slice(a, b - a))
-                size, a = size + int(ends[b - 1]) - base, b
-        if held:
-            yield from put(held, chunk, counter)
-            counts = counter.rows(task)
-            yield _rows(counts.num_rows, chunk=counts["part"], piece=counts["piece"], slots=counts["slots"], counts=counts["counts"])
+        counter, task = P.Counter(), TaskContext.get().taskAttemptId() << 20
+        for i, rows in enumerate(chunks_of(batches, at_text)):
+            yield from put(rows, task + i, counter)
+        counts = counter.rows(task)
+        yield _rows(counts.num_rows, chunk=counts["part"], piece=counts["piece"], slots=counts["slots"], counts=counts["counts"])
 
     return docs.mapInArrow(run, _STORED_SQL)
 

@@ -108,6 +108,26 @@ def rate_of(p: Column, v: np.ndarray, least: float = 0.0) -> Column:
     return F.greatest(F.lit(float(least)), 1 - F.aggregate(F.zip_with(p, F.array(*[F.lit(float(x)) for x in v]), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x))
 
 
+@dataclass
+class Mix:
+    """What was fitted: the weights of words, the classifier, and by how much each domain's rate is off 1."""
+
+    weights: list[list[float]]
+    model: Classifier | None
+    pull: np.ndarray
+    least: float
+
+    def rate(self, x: Column) -> Column:
+        """A text's rate from what the classifier sees of it."""
+        return rate_of(self.model.posterior(x), self.pull, self.least) if self.model else F.lit(1.0)
+
+    def rated(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
+        """_row, the columns of docs, and _rate; computed where the row is, without a shuffle."""
+        rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("_row"))
+        seen = features(rows.select("_row", F.col("_row").getField(text_col).alias("_t")), self.weights, "_row", "_t")
+        return seen.select(F.col("_id").alias("_row"), self.rate(F.col("_x")).alias("_rate"))
+
+
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", least: float = 0.0) -> DataFrame:
     """Rates at which documents are to be taken so that each domain's expected tokens are its target's share of all tokens.
 
@@ -122,11 +142,17 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: s
     text has no tokens, still posteriors and a rate; equal texts have equal rates; null and repeated ids are kept; without labels,
     domains and posteriors are empty and rates 1; an empty table gives an empty one; other columns are ignored.
     """
+    return fit(docs, labels, targets, id_col, text_col, least)[1]
+
+
+def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", least: float = 0.0) -> tuple[Mix, DataFrame]:
+    """What mix() fits, and what it returns."""
     known = labelled(labels)
-    seen = written(features(docs, word_weights(docs, known, id_col, text_col), id_col, text_col), "features")
+    weights = word_weights(docs, known, id_col, text_col)
+    seen = written(features(docs, weights, id_col, text_col), "features")
     model = classify(seen, known.where(part(F.col("_of")).isin(*FIT))) or classify(seen, known)
     if model is None:
-        return seen.select(F.col("_id").alias(id_col), F.col("_tokens").alias("tokens"), F.array().cast("array<string>").alias("domains"), F.array().cast("array<double>").alias("posteriors"), F.lit(1.0).alias("rate"))
+        return Mix(weights, None, np.zeros(0), least), seen.select(F.col("_id").alias(id_col), F.col("_tokens").alias("tokens"), F.array().cast("array<string>").alias("domains"), F.array().cast("array<double>").alias("posteriors"), F.lit(1.0).alias("rate"))
     d = len(model.names)
     rows = written(seen.select("_id", "_tokens", model.posterior(F.col("_x")).alias("_p")), "posteriors")
     p = F.col("_p")
@@ -158,7 +184,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: s
                 move = move / 2
             v, off = v + move, then
     rate = rate_of(p, v, least)
-    return rows.select(F.col("_id").alias(id_col), F.col("_tokens").alias("tokens"), F.array(*map(F.lit, model.names)).alias("domains"), p.alias("posteriors"), rate.alias("rate"))
+    return Mix(weights, model, v, least), rows.select(F.col("_id").alias(id_col), F.col("_tokens").alias("tokens"), F.array(*map(F.lit, model.names)).alias("domains"), p.alias("posteriors"), rate.alias("rate"))
 
 
 #: Shares of all tokens that the query and the pipeline aim at.

@@ -7,6 +7,8 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
 from . import prefixes as P
-from .common import col, squeezed, table, text_bytes, texts_of, written
+from .common import chunks_of, col, get_rows, make_folder, new_folder, put_rows, table, written
 from .components import connected_components
 from .words import buffer_spans, joined, mix, quick_hashes
 
@@ -98,8 +100,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
-#: Longs of a text's parities, rows of a shingle that meet in one group before they are dealt over several, and bytes of text that are hashed at once.
-PARITIES, RUN, AT_ONCE = 16, 20_000, 2 << 20
+#: Longs of a text's parities, rows of a shingle that meet in one group before they are dealt over several, bytes of text that are hashed at once, and pairs that one task compares.
+PARITIES, RUN, AT_ONCE, COMPARED = 16, 20_000, 2 << 20, 2_000
 _POST = np.dtype([("token", "<u8"), ("pair", "<i8"), ("u", "<i8"), ("n", "<i4"), ("pos", "<i4")])
 _EPS = 1e-9
 
@@ -132,66 +134,121 @@ def parities(h: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
 
 
-def similar_groups(docs: DataFrame, text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
-    """(_text_hash, _group): the groups of texts connected by a Jaccard similarity of the sets of word shingles of `least` or more.
+_ROWS = "chunk long, place int, _u long, _rank long, piece int, slots binary, counts binary"
 
-    Exact: of a set's shingles in one order for all, frequent ones last, the first few must hold one of any similar set, so texts meet on
-    these. A shingle's rows beyond RUN are dealt over pairs of blocks. Pairs that pass the length and the positional filter and the
-    bound from their parities are verified on their shingles. Where a text has many candidates of a shingle it takes a few first; once
-    these are verified it meets all others there that are not yet connected with it, so that every pair is connected or rejected.
-    How frequent shingles are is counted over all texts.
-    Only groups of more than one text are returned; equal texts share a hash and count once; nulls count as empty.
+
+def _stored(docs: DataFrame, folder: str, shingle: int) -> DataFrame:
+    """Writes the rows (_u, _rank, _text, ...) of docs into chunk files, and returns their places, and each task's counts of shingles."""
+    at_text = docs.columns.index("_text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter, task = P.Counter(), TaskContext.get().taskAttemptId() << 20
+        for i, rows in enumerate(chunks_of(batches, at_text)):
+            put_rows(folder, f"{task + i}.arrow", rows)
+            slots = [h >> np.uint64(64 - P.SLOT_BITS) for h in shingle_sets(rows["_text"].to_pylist(), shingle)]
+            counter.add(np.concatenate(slots))
+            n = len(rows)
+            columns = [np.full(n, task + i), np.arange(n, dtype=np.int32), rows["_u"].combine_chunks(), rows["_rank"].combine_chunks()]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names)
+        c = counter.rows(task)
+        n = c.num_rows
+        yield pa.RecordBatch.from_arrays([c["part"], pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), c["piece"], c["slots"], c["counts"]], names)
+
+    names = [f.strip().split()[0] for f in _ROWS.split(",")]
+    return docs.mapInArrow(run, _ROWS)
+
+
+def _verified(pairs: DataFrame, folder: str, shingle: int, least: float) -> DataFrame:
+    """The pairs (a, b, at ac, ap and bc, bp) whose texts are alike: the one is sent to the other's chunk.
+
+    About COMPARED pairs of a chunk meet in a task; those of a chunk with more are dealt over several.
     """
-    text = F.coalesce(col(text_col), F.lit(""))
-    keyed = docs.select(F.xxhash64(text).alias("_u"), text.alias("_text"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = P.Counter()
+    def texts(chunk: int) -> pa.ChunkedArray:
+        return get_rows(folder, f"{chunk}.arrow")["_text"]
+
+    def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze, now, held = zstandard.ZstdCompressor(level=1).compress, None, None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part, sent = batch.slice(at, 500), []
+                for chunk, place in zip(part["ac"].to_pylist(), part["ap"].to_pylist(), strict=True):
+                    if chunk != now:
+                        now, held = chunk, texts(chunk)
+                    sent.append(squeeze(held[place].as_py().encode()))
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in ("a", "b", "bc", "bp", "bpart")), pa.array(sent, pa.binary())], ["a", "b", "bc", "bp", "bpart", "sent"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand, now, held, own, q = zstandard.ZstdDecompressor().decompress, None, None, None, set()
         for batch in batches:
-            for h in shingle_sets(batch.column(0).to_pylist(), shingle):
-                counter.add(h >> np.uint64(64 - P.SLOT_BITS))
-        yield counter.rows(TaskContext.get().taskAttemptId())
+            same = []
+            for chunk, place, sent in zip(batch["bc"].to_pylist(), batch["bp"].to_pylist(), batch["sent"].to_pylist(), strict=True):
+                if chunk != now:
+                    now, held, own = chunk, texts(chunk), None
+                if place != own:
+                    own, q = place, set(shingles(held[place].as_py(), shingle))
+                p = set(shingles(expand(sent).decode(), shingle))
+                same.append(len(p & q) >= least * len(p | q))
+            yield batch.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
+
+    tasks = max(2 * pairs.sparkSession.sparkContext.defaultParallelism, pairs.count() // COMPARED)
+    for chunk, part in (("ac", "apart"), ("bc", "bpart")):
+        parts = pairs.groupBy(F.col(chunk).alias("_of")).agg(F.ceil(F.count(F.lit(1)) / COMPARED).alias("_parts"))
+        pairs = pairs.join(parts, F.col(chunk) == F.col("_of")).withColumn(part, F.pmod(F.xxhash64("a", "b"), F.col("_parts"))).drop("_of", "_parts")
+    fetched = pairs.repartition(tasks, "ac", "apart").sortWithinPartitions("ac", "ap").mapInArrow(ship, "a long, b long, bc long, bp int, bpart long, sent binary")
+    return written(fetched.repartition(tasks, "bc", "bpart").sortWithinPartitions("bc", "bp").mapInArrow(compare, "a long, b long"), "links")
 
-    counts = written(keyed.select("_text").mapInArrow(count, P.COUNTS), "shingle-counts")
-    logs = docs.sparkSession.sparkContext.broadcast(P.frequencies(counts))
-    buckets = max(8, text_bytes(docs, text_col) >> 21)
+
+def _groups(stored: DataFrame, folder: str, shingle: int, least: float) -> tuple[DataFrame, DataFrame]:
+    """(node, component): the groups of different texts, of more than one; and (_u, _rank, chunk, place): of each text the row that stays."""
+    spark = stored.sparkSession
+    counts = stored.where("piece is not null").select("piece", F.col("chunk").alias("part"), "slots", "counts")
+    logs = spark.sparkContext.broadcast(P.frequencies(counts))
+    rows = stored.where("_u is not null")
+    first = rows.groupBy("_u").agg(F.min(F.struct("_rank", "chunk", "place")).alias("_first")).select("_u", "_first.*")
+    firsts = written(first, "different-texts")
+    buckets = max(8, firsts.count() // 1000)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, first, marks = [], [], []
-            for h in shingle_sets(batch.column(1).to_pylist(), shingle):
-                log = logs.value[(h >> np.uint64(64 - P.SLOT_BITS)).astype(np.int64)]
-                need = len(h) - int(np.ceil(least * len(h) - _EPS)) + 1 if len(h) else 0
-                size.append(len(h))
-                rare = np.lexsort((h, log))[:need]
-                first.append(np.where(log[rare] > 0, h[rare], np.uint64(0)).tobytes())  # one that no other text holds keeps its place alone
-                marks.append(parities(h))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int32()), pa.array(first, pa.binary()), pa.array(marks, pa.list_(pa.int64()))], ["_u", "_n", "_first", "_marks"])
-
-    nodes = written(keyed.mapInArrow(make, "_u long, _n int, _first binary, _marks array<long>").dropDuplicates(["_u"]), "shingle-sets")
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            firsts = batch.column(2).to_pylist()
-            each = np.array([len(x) // 8 for x in firsts], np.int64)
-            p = np.zeros(int(each.sum()), _POST)
-            p["token"] = np.frombuffer(b"".join(firsts), "<u8")
-            p["u"], p["n"] = np.repeat(batch.column(0).to_numpy(), each), np.repeat(batch.column(1).to_numpy(), each)
-            p["pos"] = np.arange(len(p)) - np.repeat(np.cumsum(each) - each, each)
-            p = p[p["token"] > 0]
-            dealt = P.blocks(logs.value[(p["token"] >> np.uint64(64 - P.SLOT_BITS)).astype(np.int64)], RUN)
-            which, pair = P.meetings(p["u"] % dealt, dealt)
-            p = p[which]
-            p["pair"] = pair
-            to = (mix(p["token"] ^ mix(p["pair"].view(np.uint64) + np.uint64(1))) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            p, to = p[order], to[order]
-            at = np.flatnonzero(np.diff(to, prepend=-1))
-            ends = [*at[1:].tolist(), len(p)]
-            yield pa.RecordBatch.from_arrays([pa.array(to[at], pa.int64()), pa.array([p[a:b].tobytes() for a, b in zip(at.tolist(), ends[: len(at)], strict=True)], pa.binary())], ["_bucket", "_posts"])
+            for chunk, places in zip(batch["chunk"].to_pylist(), batch["places"].to_pylist(), strict=True):
+                rows = get_rows(folder, f"{chunk}.arrow").take(pa.array(places))
+                size, rare, marks = [], [], []
+                for h in shingle_sets(rows["_text"].to_pylist(), shingle):
+                    log = logs.value[(h >> np.uint64(64 - P.SLOT_BITS)).astype(np.int64)]
+                    need = len(h) - int(np.ceil(least * len(h) - _EPS)) + 1 if len(h) else 0
+                    size.append(len(h))
+                    at = np.lexsort((h, log))[:need]
+                    rare.append(np.where(log[at] > 0, h[at], np.uint64(0)))  # one that no other text holds keeps its place alone
+                    marks.append(parities(h))
+                n = len(size)
+                yield pa.RecordBatch.from_arrays([rows["_u"].combine_chunks(), pa.array([chunk] * n, pa.int64()), pa.array(places, pa.int32()), pa.array(size, pa.int32()), pa.array(marks, pa.list_(pa.int64())), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], names)
+                each = np.array([len(x) for x in rare], np.int64)
+                p = np.zeros(int(each.sum()), _POST)
+                p["token"] = np.concatenate([np.zeros(0, np.uint64), *rare])
+                p["u"], p["n"] = np.repeat(rows["_u"].to_numpy(), each), np.repeat(np.array(size), each)
+                p["pos"] = np.arange(len(p)) - np.repeat(np.cumsum(each) - each, each)
+                p = p[p["token"] > 0]
+                dealt = P.blocks(logs.value[(p["token"] >> np.uint64(64 - P.SLOT_BITS)).astype(np.int64)], RUN)
+                which, pair = P.meetings(p["u"] % dealt, dealt)  # a crowded shingle's row goes to each pair of blocks that holds its own
+                p = p[which]
+                p["pair"] = pair
+                to = (mix(p["token"] ^ mix(p["pair"].view(np.uint64) + np.uint64(1))) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(to, kind="stable")
+                p, to = p[order], to[order]
+                at = np.flatnonzero(np.diff(to, prepend=-1))
+                m = len(at)
+                sent = [P.planes(p[a:b]) for a, b in zip(at.tolist(), np.append(at[1:], len(p)).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.list_(pa.int64())), pa.array(to[at]), pa.array(sent, pa.binary())], names)
+
+    names = ["_u", "_chunk", "_place", "_n", "_marks", "_bucket", "_posts"]
+    work = firsts.groupBy("chunk").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    tasks = max(2 * spark.sparkContext.defaultParallelism, work.count() // 4)
+    made = written(work.repartition(tasks).mapInArrow(make, "_u long, _chunk long, _place int, _n int, _marks array<long>, _bucket long, _posts binary"), "shingle-sets")
+    nodes = made.where("_u is not null").select("_u", "_chunk", "_place", "_n", "_marks")
 
     def first_pairs(key: tuple, group: pa.Table) -> pa.Table:
-        p = np.frombuffer(b"".join(group["_posts"].to_pylist()), _POST)
+        p = np.concatenate([P.records(x, _POST) for x in group["_posts"].to_pylist()])
         p = p[np.lexsort((p["u"], p["n"], p["pair"], p["token"]))]
         new = np.zeros(len(p), np.int64)
         new[1:] = (p["token"][1:] != p["token"][:-1]) | (p["pair"][1:] != p["pair"][:-1])
@@ -214,26 +271,14 @@ def similar_groups(docs: DataFrame, text_col: str = "text", shingle: int = 5, le
         y, x = u[order][y], u[order][x]
         return pa.table({"a": np.maximum(y, x), "b": np.minimum(y, x)})
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            same = []
-            for x, y in zip(texts_of(batch.column(2)), texts_of(batch.column(3)), strict=True):
-                p, q = set(shingles(x.decode(), shingle)), set(shingles(y.decode(), shingle))
-                same.append(len(p & q) >= least * len(p | q))
-            yield batch.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
-
     def confirmed(pairs: DataFrame) -> DataFrame:
-        one = nodes.select(F.col("_u").alias("a"), F.col("_n").alias("_na"), F.col("_marks").alias("_x"))
-        two = nodes.select(F.col("_u").alias("b"), F.col("_n").alias("_nb"), F.col("_marks").alias("_y"))
-        apart = F.aggregate(F.zip_with("_x", "_y", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, n: s + n)
-        within = (1 + least) * apart <= (1 - least) * (F.col("_na") + F.col("_nb")) + _EPS
-        near = written(pairs.distinct().join(one, "a").join(two, "b").where(within).select("a", "b"), "near-pairs")
-        ends = near.select(F.col("a").alias("_u")).unionByName(near.select(F.col("b").alias("_u"))).distinct()
-        texts = written(squeezed(keyed.join(ends, "_u", "left_semi")).dropDuplicates(["_u"]), "near-texts")
-        x, y = (texts.select(F.col("_u").alias(n), F.col("_text").alias(f"_{n}")) for n in ("a", "b"))
-        return written(near.join(x, "a").join(y, "b").select("a", "b", "_a", "_b").mapInArrow(verify, "a long, b long"), "links")
-
-    posts = nodes.select("_u", "_n", "_first").mapInArrow(deal, "_bucket long, _posts binary")
+        one, two = (nodes.select(F.col("_u").alias(n), F.col("_chunk").alias(n + "c"), F.col("_place").alias(n + "p"), F.col("_n").alias(n + "n"), F.col("_marks").alias(n + "m")) for n in ("a", "b"))
+        apart = F.aggregate(F.zip_with("am", "bm", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, n: s + n)
+        within = (1 + least) * apart <= (1 - least) * (F.col("an") + F.col("bn")) + _EPS
+        near = pairs.distinct().join(one, "a").join(two, "b").where(within).select("a", "ac", "ap", "b", "bc", "bp")
+        return _verified(written(near, "near-pairs"), folder, shingle, least)
+
+    posts = made.where("_bucket is not null").select("_bucket", "_posts")
     met = written(posts.groupBy("_bucket").applyInArrow(first_pairs, "a long, b long, _bucket long, _run long, _n long, _pos long, _asks boolean"), "met")
     links_ = confirmed(met.where("_run < 0").select("a", "b"))
     groups = connected_components(links_)
@@ -242,22 +287,55 @@ def similar_groups(docs: DataFrame, text_col: str = "text", shingle: int = 5, le
         labelled = crowds.join(groups, F.col("u") == F.col("node"), "left").select("u", "_bucket", "_run", "_n", "_pos", "_asks", F.coalesce("component", "u").alias("_label"))
         others = labelled.groupBy("_bucket", "_run").applyInArrow(other_pairs, "a long, b long")
         groups = connected_components(links_.unionByName(confirmed(others)))
+    return groups, firsts
+
+
+def _keyed(docs: DataFrame, id_col: str | None, text_col: str) -> DataFrame:
+    text = F.coalesce(col(text_col), F.lit(""))
+    rank = F.coalesce(col(id_col).cast("long"), F.lit(2**63 - 1)) if id_col else F.lit(0).cast("long")
+    rest = [F.struct(F.lit(0).alias("_"), *[col(c) for c in docs.columns if c != text_col]).alias("_rest"), col(text_col).isNull().alias("_null")] if id_col else []
+    return docs.select(F.xxhash64(text).alias("_u"), rank.alias("_rank"), text.alias("_text"), *rest)
+
+
+def similar_groups(docs: DataFrame, text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """(_text_hash, _group): the groups of texts connected by a Jaccard similarity of the sets of word shingles of `least` or more.
+
+    Exact: of a set's shingles in one order for all, frequent ones last, the first few must hold one of any similar set, so texts meet on
+    these. A shingle's rows beyond RUN are dealt over pairs of blocks. Pairs that pass the length and the positional filter and the
+    bound from their parities are verified on their shingles. Where a text has many candidates of a shingle it takes a few first; once
+    these are verified it meets all others there that are not yet connected with it, so that every pair is connected or rejected.
+    How frequent shingles are is counted over all texts. The texts stand in chunk files of the shared folder; one of a pair is shuffled.
+    Only groups of more than one text are returned; equal texts share a hash and count once; nulls count as empty.
+    """
+    folder = new_folder(docs.sparkSession, "text-chunks")
+    make_folder(folder)
+    groups, _ = _groups(written(_stored(_keyed(docs, None, text_col), folder, shingle), "text-places"), folder, shingle, least)
     return groups.select(F.col("node").alias("_text_hash"), F.col("component").alias("_group"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
     """Of each group of equal or similar texts the row with the smallest id (null counts as largest), and all other rows.
 
-    The columns of docs. Of rows that are equal in id and text one stays.
+    The columns of docs, whatever their names. Of rows that are equal in id and text one stays; a null text counts as an empty one and
+    stays null where its row does; an empty table gives an empty one.
     """
-    groups = written(similar_groups(docs, text_col, shingle, least), "groups")
-    text = F.coalesce(col(text_col), F.lit(""))
-    rank = F.coalesce(col(id_col).cast("long"), F.lit(2**63 - 1))
-    keyed = docs.select(F.xxhash64(text).alias("_u"), rank.alias("_rank"), F.struct(*[col(c) for c in docs.columns]).alias("_row"))
-    rows = keyed.groupBy("_u", "_rank").count()
-    rows = written(rows.join(groups, F.col("_u") == F.col("_text_hash"), "left").select("_u", "_rank", "count", F.coalesce("_group", "_u").alias("_group")), "ranks")
-    best = rows.groupBy("_group").agg(F.min(F.struct("_rank", "_u")).alias("_best")).select(F.col("_best._u").alias("_stay"), F.col("_best._rank").alias("_as"))
-    kept = keyed.join(best, (F.col("_u") == F.col("_stay")) & (F.col("_rank") == F.col("_as")), "left_semi")
-    if not rows.where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["_u", "_rank"])
-    return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
+    spark = docs.sparkSession
+    folder = new_folder(spark, "text-chunks")
+    make_folder(folder)
+    keyed = _keyed(docs, id_col, text_col)
+    groups, firsts = _groups(written(_stored(keyed, folder, shingle), "text-places"), folder, shingle, least)
+    own = firsts.join(groups, F.col("_u") == F.col("node"), "left").withColumn("_group", F.coalesce("component", "_u"))
+    best = own.groupBy("_group").agg(F.min(F.struct("_rank", "chunk", "place")).alias("_best")).select("_best.*")
+    work = written(best.groupBy("chunk").agg(F.sort_array(F.collect_list("place")).alias("places")), "kept")
+    rest = keyed.schema["_rest"]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, places in zip(batch["chunk"].to_pylist(), batch["places"].to_pylist(), strict=True):
+                rows = get_rows(folder, f"{chunk}.arrow").take(pa.array(places)).combine_chunks()
+                text = pc.if_else(rows["_null"], pa.scalar(None, rows["_text"].type), rows["_text"])
+                yield pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (text, rows["_rest"])], ["_text", "_rest"])
+
+    tasks = max(2 * spark.sparkContext.defaultParallelism, work.count() // 4)
+    kept = work.repartition(tasks).mapInArrow(read, T.StructType([T.StructField("_text", T.StringType()), rest]))
+    return kept.select(*[F.col("_text").alias(c) if c == text_col else F.col("_rest").getField(c).alias(c) for c in docs.columns])

@@ -60,10 +60,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(kept: int = 0) -> None:
-    """Removes what written() and new_folder() have left in the shared folder, but for the first so many; DataFrames over it end then."""
-    while len(_written) > kept:
-        spark, path = _written.pop()
+def made() -> int:
+    """How many folders there are now."""
+    return len(_written)
+
+
+def left_since(before: int) -> list[str]:
+    """The folders that were made since there were so many."""
+    return [path for _, path in _written[before:]]
+
+
+def release(kept: int = 0, paths: list[str] | None = None) -> None:
+    """Removes what written() and new_folder() have left in the shared folder, but for the first so many, or those paths alone; DataFrames over it end then."""
+    going = _written[kept:] if paths is None else [x for x in _written if x[1] in paths]
+    _written[:] = [x for x in _written if x not in going]
+    for spark, path in going:
         with contextlib.suppress(Exception):
             jvm = spark.sparkContext._jvm
             at = jvm.org.apache.hadoop.fs.Path(path)
@@ -76,7 +87,7 @@ atexit.register(release)
 @contextlib.contextmanager
 def passing(spark: SparkSession) -> Iterator[None]:
     """Removes at its end what was written meanwhile: for work whose result is kept elsewhere by then."""
-    before = len(_written)
+    before = made()
     try:
         yield
     finally:

@@ -14,6 +14,8 @@ from .common import col, table, written
 ROUNDS, ENOUGH, PULL = 30, 1e-7, 1e-3
 #: Buckets into which words are hashed, documents of a label that a bucket needs to count, and features of a text.
 BUCKETS, SEEN, WIDTH = 1 << 15, 2, 7
+#: Labelled documents that are learnt from at most, chosen by a hash of their ids; few enough for every task to hold.
+LEARNT = 200_000
 #: Of five parts of the labelled documents, by a hash of their ids: those that weigh words, those that fit the discriminant. The last is never learnt.
 WORDS, FIT = (0, 1), (2, 3)
 #: What each domain of the labels is called, by quality and toxicity.
@@ -32,14 +34,14 @@ def _words(text: Column) -> Column:
 
 
 def labelled(labels: DataFrame, label_id: str = "doc_id") -> DataFrame:
-    """(_of, _domain) of the labels with a quality; a null toxicity counts as none, of several labels of an id the first name counts."""
+    """(_of, _domain) of the labels with a quality, LEARNT at most; a null toxicity counts as none, of several labels of an id the first name counts."""
     name = F.coalesce(*[F.when((col("quality") == q) & (F.coalesce(col("toxic"), F.lit(0)) == t), n) for (q, t), n in DOMAINS.items()])
-    return labels.where(col(label_id).isNotNull()).groupBy(col(label_id).alias("_of")).agg(F.min(name).alias("_domain")).where("_domain is not null")
+    return labels.where(col(label_id).isNotNull()).groupBy(col(label_id).alias("_of")).agg(F.min(name).alias("_domain")).where("_domain is not null").orderBy(F.xxhash64("_of"), "_of").limit(LEARNT)
 
 
 def word_weights(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) -> list[list[float]]:
     """For quality and for toxicity the log odds of each bucket: how much more often documents of that label hold its words than others do."""
-    rows = docs.select(col(id_col).alias("_id"), col(text_col).alias("_t")).join(known.where(part(F.col("_of")).isin(*WORDS)), F.col("_id") == F.col("_of"))
+    rows = docs.select(col(id_col).alias("_id"), col(text_col).alias("_t")).join(F.broadcast(known.where(part(F.col("_of")).isin(*WORDS))), F.col("_id") == F.col("_of"))
     good, bad = F.col("_domain").isin("high", "high_toxic"), F.col("_domain").isin("low_toxic", "high_toxic")
     sums = [F.sum(x.cast("long")).alias(n) for n, x in (("good", good), ("bad", bad))]
     all_ = rows.agg(F.count(F.lit(1)).alias("n"), *sums).first()
@@ -86,7 +88,7 @@ class Classifier:
 
 def classify(seen: DataFrame, known: DataFrame) -> Classifier | None:
     """Fits the discriminant by one aggregation over the labelled rows: counts, means and the common covariance of the domains."""
-    rows = seen.join(known, F.col("_id") == F.col("_of"))
+    rows = seen.join(F.broadcast(known), F.col("_id") == F.col("_of"))
     m = WIDTH
     sums = [F.sum(F.col("_x")[i]).alias(f"s{i}") for i in range(m)] + [F.sum(F.col("_x")[i] * F.col("_x")[j]).alias(f"q{i}_{j}") for i in range(m) for j in range(i, m)]
     found = rows.groupBy("_domain").agg(F.count(F.lit(1)).alias("n"), *sums).orderBy("_domain").collect()  # a row for each domain
@@ -147,7 +149,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: s
 
 def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", least: float = 0.0) -> tuple[Mix, DataFrame]:
     """What mix() fits, and what it returns."""
-    known = labelled(labels)
+    known = written(labelled(labels), "labelled")
     weights = word_weights(docs, known, id_col, text_col)
     seen = written(features(docs, weights, id_col, text_col), "features")
     model = classify(seen, known.where(part(F.col("_of")).isin(*FIT))) or classify(seen, known)

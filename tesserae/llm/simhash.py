@@ -101,7 +101,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Longs of a text's parities, rows of a shingle that meet in one group before they are dealt over several, bytes of text that are hashed at once, and pairs that one task compares.
-PARITIES, RUN, AT_ONCE, COMPARED = 16, 20_000, 2 << 20, 2_000
+PARITIES, RUN, AT_ONCE, COMPARED = 8, 20_000, 2 << 20, 2_000
 _POST = np.dtype([("token", "<u8"), ("pair", "<i8"), ("u", "<i8"), ("n", "<i4"), ("pos", "<i4")])
 _EPS = 1e-9
 
@@ -134,7 +134,7 @@ def parities(h: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
 
 
-_ROWS = "chunk long, place int, _u long, _rank long, piece int, slots binary, counts binary"
+_ROWS = "chunk long, place int, _u long, _rank long, _n int, _marks array<long>, piece int, slots binary, counts binary"
 
 
 def _stored(docs: DataFrame, folder: str, shingle: int) -> DataFrame:
@@ -145,14 +145,20 @@ def _stored(docs: DataFrame, folder: str, shingle: int) -> DataFrame:
         counter, task = P.Counter(), TaskContext.get().taskAttemptId() << 20
         for i, rows in enumerate(chunks_of(batches, at_text)):
             put_rows(folder, f"{task + i}.arrow", rows)
-            slots = [h >> np.uint64(64 - P.SLOT_BITS) for h in shingle_sets(rows["_text"].to_pylist(), shingle)]
+            size, marks, slots = [], [], [np.zeros(0, np.uint64)]
+            for h in shingle_sets(rows["_text"].to_pylist(), shingle):
+                size.append(len(h))
+                marks.append(parities(h))
+                slots.append(h >> np.uint64(64 - P.SLOT_BITS))
             counter.add(np.concatenate(slots))
             n = len(rows)
             columns = [np.full(n, task + i), np.arange(n, dtype=np.int32), rows["_u"].combine_chunks(), rows["_rank"].combine_chunks()]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names)
+            own = [pa.array(size, pa.int32()), pa.array(marks, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *own, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names)
         c = counter.rows(task)
         n = c.num_rows
-        yield pa.RecordBatch.from_arrays([c["part"], pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), c["piece"], c["slots"], c["counts"]], names)
+        none = [pa.nulls(n, k) for k in (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([c["part"], *none, c["piece"], c["slots"], c["counts"]], names)
 
     names = [f.strip().split()[0] for f in _ROWS.split(",")]
     return docs.mapInArrow(run, _ROWS)
@@ -205,7 +211,7 @@ def _groups(stored: DataFrame, folder: str, shingle: int, least: float) -> tuple
     counts = stored.where("piece is not null").select("piece", F.col("chunk").alias("part"), "slots", "counts")
     logs = spark.sparkContext.broadcast(P.frequencies(counts))
     rows = stored.where("_u is not null")
-    first = rows.groupBy("_u").agg(F.min(F.struct("_rank", "chunk", "place")).alias("_first")).select("_u", "_first.*")
+    first = rows.groupBy("_u").agg(F.min(F.struct("_rank", "chunk", "place", "_n", "_marks")).alias("_first")).select("_u", "_first.*")
     firsts = written(first, "different-texts")
     buckets = max(8, firsts.count() // 1000)
 
@@ -213,16 +219,13 @@ def _groups(stored: DataFrame, folder: str, shingle: int, least: float) -> tuple
         for batch in batches:
             for chunk, places in zip(batch["chunk"].to_pylist(), batch["places"].to_pylist(), strict=True):
                 rows = get_rows(folder, f"{chunk}.arrow").take(pa.array(places))
-                size, rare, marks = [], [], []
+                size, rare = [], []
                 for h in shingle_sets(rows["_text"].to_pylist(), shingle):
                     log = logs.value[(h >> np.uint64(64 - P.SLOT_BITS)).astype(np.int64)]
                     need = len(h) - int(np.ceil(least * len(h) - _EPS)) + 1 if len(h) else 0
                     size.append(len(h))
                     at = np.lexsort((h, log))[:need]
                     rare.append(np.where(log[at] > 0, h[at], np.uint64(0)))  # one that no other text holds keeps its place alone
-                    marks.append(parities(h))
-                n = len(size)
-                yield pa.RecordBatch.from_arrays([rows["_u"].combine_chunks(), pa.array([chunk] * n, pa.int64()), pa.array(places, pa.int32()), pa.array(size, pa.int32()), pa.array(marks, pa.list_(pa.int64())), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], names)
                 each = np.array([len(x) for x in rare], np.int64)
                 p = np.zeros(int(each.sum()), _POST)
                 p["token"] = np.concatenate([np.zeros(0, np.uint64), *rare])
@@ -237,15 +240,12 @@ def _groups(stored: DataFrame, folder: str, shingle: int, least: float) -> tuple
                 order = np.argsort(to, kind="stable")
                 p, to = p[order], to[order]
                 at = np.flatnonzero(np.diff(to, prepend=-1))
-                m = len(at)
                 sent = [P.planes(p[a:b]) for a, b in zip(at.tolist(), np.append(at[1:], len(p)).tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.list_(pa.int64())), pa.array(to[at]), pa.array(sent, pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([pa.array(to[at]), pa.array(sent, pa.binary())], ["_bucket", "_posts"])
 
-    names = ["_u", "_chunk", "_place", "_n", "_marks", "_bucket", "_posts"]
     work = firsts.groupBy("chunk").agg(F.sort_array(F.collect_list("place")).alias("places"))
     tasks = max(2 * spark.sparkContext.defaultParallelism, work.count() // 4)
-    made = written(work.repartition(tasks).mapInArrow(make, "_u long, _chunk long, _place int, _n int, _marks array<long>, _bucket long, _posts binary"), "shingle-sets")
-    nodes = made.where("_u is not null").select("_u", "_chunk", "_place", "_n", "_marks")
+    posts = work.repartition(tasks).mapInArrow(make, "_bucket long, _posts binary")
 
     def first_pairs(key: tuple, group: pa.Table) -> pa.Table:
         p = np.concatenate([P.records(x, _POST) for x in group["_posts"].to_pylist()])
@@ -272,13 +272,12 @@ def _groups(stored: DataFrame, folder: str, shingle: int, least: float) -> tuple
         return pa.table({"a": np.maximum(y, x), "b": np.minimum(y, x)})
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        one, two = (nodes.select(F.col("_u").alias(n), F.col("_chunk").alias(n + "c"), F.col("_place").alias(n + "p"), F.col("_n").alias(n + "n"), F.col("_marks").alias(n + "m")) for n in ("a", "b"))
+        one, two = (firsts.select(F.col("_u").alias(n), F.col("chunk").alias(n + "c"), F.col("place").alias(n + "p"), F.col("_n").alias(n + "n"), F.col("_marks").alias(n + "m")) for n in ("a", "b"))
         apart = F.aggregate(F.zip_with("am", "bm", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, n: s + n)
         within = (1 + least) * apart <= (1 - least) * (F.col("an") + F.col("bn")) + _EPS
         near = pairs.distinct().join(one, "a").join(two, "b").where(within).select("a", "ac", "ap", "b", "bc", "bp")
         return _verified(written(near, "near-pairs"), folder, shingle, least)
 
-    posts = made.where("_bucket is not null").select("_bucket", "_posts")
     met = written(posts.groupBy("_bucket").applyInArrow(first_pairs, "a long, b long, _bucket long, _run long, _n long, _pos long, _asks boolean"), "met")
     links_ = confirmed(met.where("_run < 0").select("a", "b"))
     groups = connected_components(links_)

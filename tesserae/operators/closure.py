@@ -12,7 +12,10 @@ def cut(df: DataFrame) -> DataFrame:
     """A checkpoint in the shared folder of the session, so that rounds do not grow the plan."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='tesserae-')}")
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='tesserae-')}")
     return df.checkpoint()
 
 

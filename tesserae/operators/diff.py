@@ -43,19 +43,75 @@ def latest(events: DataFrame, key: str, *order: str) -> DataFrame:
     return events.groupBy(key).agg(F.max_by(F.struct(*[c for c in events.columns if c != key]), F.struct(*order)).alias("_r")).select(key, "_r.*")
 
 
-def record_revision(state: DataFrame, answers: DataFrame, by: str, at: str) -> DataFrame:
-    """state (slug, definition, revisions) with the answers (slug, definition) as its text and as one more revision each."""
-    a = answers.select("slug", F.col("definition").alias("_new"))
-    entry = F.struct(F.lit(by).alias("by"), F.lit(at).alias("at"), F.col("_new").alias("definition"))
-    empty = F.array().cast("array<struct<by:string,at:string,definition:string>>")
+PROSE = "slug string, version string, model string, generated_at string, definition string, context string, integrated array<string>, revisions array<struct<by:string,at:string,model:string,statements:int,definition:string,context:string>>"
+
+
+def current(state: DataFrame, version: str) -> DataFrame:
+    """The texts of one version; what another wrote counts as absent."""
+    return state.where(F.col("version") == version)
+
+
+def record_revision(state: DataFrame, answers: DataFrame, model: str, at: str, version: str) -> DataFrame:
+    """state (PROSE) with answers (slug, definition, context, keys) as its texts and as one more revision by llm each.
+
+    keys are the statements that an answer took in, covered those seen besides, if there is such a column: both count as integrated,
+    together with earlier ones of the same version. The history stays across versions.
+    """
+    covered = F.coalesce("_covered", F.array().cast("array<string>")) if "covered" in answers.columns else F.array().cast("array<string>")
+    a = answers.select("slug", *[F.col(c).alias(f"_{c}") for c in ("definition", "context", "keys", "covered") if c in answers.columns], F.lit(True).alias("_told"))
+    keys = F.coalesce("_keys", F.array().cast("array<string>"))
+    before = F.when(F.col("version") == version, F.col("integrated")).otherwise(F.array().cast("array<string>"))
+    entry = F.struct(F.lit("llm").alias("by"), F.lit(at).alias("at"), F.lit(model).alias("model"), F.size(keys).alias("statements"), F.col("_definition").alias("definition"), F.col("_context").alias("context"))
+    history = F.coalesce("revisions", F.array().cast(state.schema["revisions"].dataType))
+    new = {
+        "version": F.lit(version), "model": F.lit(model), "generated_at": F.lit(at), "definition": F.col("_definition"), "context": F.col("_context"),
+        "integrated": F.array_sort(F.array_distinct(F.concat(F.coalesce(before, F.array().cast("array<string>")), keys, covered))), "revisions": F.array_append(history, entry),
+    }
     both = state.join(a, "slug", "full_outer")
-    return both.select("slug", F.coalesce("_new", "definition").alias("definition"), F.when(F.col("_new").isNotNull(), F.array_append(F.coalesce("revisions", empty), entry)).otherwise(F.col("revisions")).alias("revisions"))
+    return both.select("slug", *[F.when(F.col("_told"), v).otherwise(F.col(n)).alias(n) for n, v in new.items()])
+
+
+def human_chosen(revisions: Column) -> Column:
+    """Whether a person chose the text last: by an edit on the page, or by taking a rewrite back."""
+    return F.coalesce(F.try_element_at(revisions, F.lit(-1))["by"] == "page", F.lit(False))
+
+
+def written_by_us(revisions: Column, definition: Column, context: Column) -> Column:
+    """Whether any revision by llm has this text."""
+    return F.coalesce(F.exists(revisions, lambda r: (r["by"] == "llm") & (F.coalesce(r["definition"], F.lit("")) == definition) & (F.coalesce(r["context"], F.lit("")) == context)), F.lit(False))
+
+
+def page_as_base(state: DataFrame, pages: DataFrame, at: str) -> DataFrame:
+    """state with the texts of pages (slug, definition, context) that no revision by llm has: an edit by a person, taken as text and as a revision by page.
+
+    A page without an entry, without text, or whose text a person's revision already holds last, changes nothing.
+    """
+    p = pages.select("slug", F.coalesce("definition", F.lit("")).alias("_d"), F.coalesce("context", F.lit("")).alias("_c"))
+    rows = state.join(p, "slug", "left")
+    same = (F.coalesce("definition", F.lit("")) == F.col("_d")) & (F.coalesce("context", F.lit("")) == F.col("_c"))
+    edited = F.coalesce((F.col("_d") != "") | (F.col("_c") != ""), F.lit(False)) & ~written_by_us(F.col("revisions"), F.col("_d"), F.col("_c")) & ~(human_chosen(F.col("revisions")) & same)
+    entry = _by_page(at, F.col("_d"), F.col("_c"))
+    kept = [F.when(edited, F.col(f"_{c[0]}")).otherwise(F.col(c)).alias(c) if c in ("definition", "context") else F.when(edited, F.array_append("revisions", entry)).otherwise(F.col(c)).alias(c) if c == "revisions" else F.col(c) for c in state.columns]
+    return rows.select(*kept)
+
+
+def _by_page(at: str, definition: Column, context: Column) -> Column:
+    return F.struct(F.lit("page").alias("by"), F.lit(at).alias("at"), F.lit(None).cast("string").alias("model"), F.lit(None).cast("int").alias("statements"), definition.alias("definition"), context.alias("context"))
 
 
 def revert(state: DataFrame, at: str) -> DataFrame:
-    """state with the last text taken back, if a model rewrote it and a text stood before: result says reverted or why not."""
+    """state with the last text taken back where that was a rewrite, a revision by llm that took in no statements; result says reverted or why not.
+
+    The text before it becomes one more revision, by page, so that it counts as chosen by a person.
+    """
     last, before = F.try_element_at("revisions", F.lit(-1)), F.try_element_at("revisions", F.lit(-2))
-    why = F.when(last.isNull(), "no revision").when(last["by"] != "llm", "not a rewrite").when(before.isNull(), "nothing before").otherwise("reverted")
+    why = (
+        F.when(before.isNull(), "nothing before")
+        .when(last["by"] == "page", "chosen by a person")
+        .when((last["by"] != "llm") | ~F.coalesce(last["statements"] == 0, F.lit(False)), "took in evidence")
+        .otherwise("reverted")
+    )
     ok = why == "reverted"
-    entry = F.struct(F.lit("page").alias("by"), F.lit(at).alias("at"), before["definition"].alias("definition"))
-    return state.select("slug", F.when(ok, before["definition"]).otherwise(F.col("definition")).alias("definition"), F.when(ok, F.array_append("revisions", entry)).otherwise(F.col("revisions")).alias("revisions"), why.alias("result"))
+    old = {c: F.coalesce(before[c], F.lit("")) for c in ("definition", "context")}
+    entry = _by_page(at, old["definition"], old["context"])
+    return state.select(*[F.when(ok, old[c]).otherwise(F.col(c)).alias(c) if c in old else F.when(ok, F.array_append(c, entry)).otherwise(F.col(c)).alias(c) if c == "revisions" else F.col(c) for c in state.columns], why.alias("result"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .closure import cut
+
 
 def support(statements: DataFrame, references: DataFrame) -> DataFrame:
     """entity, sources (different ones, null counting as one), references, weight and thin (one of each at most).
@@ -48,11 +50,11 @@ def batches(rows: DataFrame, order: str, size: int, within: str | None = None) -
     if within:
         rn = F.row_number().over(Window.partitionBy(within).orderBy(order))
         return rows.withColumn("batch", F.floor((rn - 1) / size).cast("long"))
-    # a global number without a single task: ranges, their sizes, and a place within each
-    dealt = rows.repartitionByRange(order).withColumn("_p", F.spark_partition_id())
+    # a global number without a single task: ranges, their sizes, and a place within each, all from one written copy, since ranges are sampled anew for each plan
+    dealt = cut(rows.repartitionByRange(order).withColumn("_p", F.spark_partition_id()))
     place = F.row_number().over(Window.partitionBy("_p").orderBy(order))
     sizes = dealt.groupBy("_p").count()
-    before = sizes.select(F.col("_p").alias("_q"), (F.sum("count").over(Window.orderBy("_p")) - F.col("count")).alias("_b"))
+    before = sizes.select(F.col("_p").alias("_q"), (F.sum("count").over(Window.orderBy("_p")) - F.col("count")).alias("_b"))  # a row for each range
     return dealt.withColumn("_r", place).join(F.broadcast(before), F.col("_p") == F.col("_q")).withColumn("batch", F.floor((F.col("_b") + F.col("_r") - 1) / size).cast("long")).drop("_p", "_q", "_b", "_r")
 
 

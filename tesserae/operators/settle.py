@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
+#: Before any date, and even.
+OLDEST = -(2**61)
 ALIAS, DISTINCT, FACET = {"alias_of", "same_as"}, {"distinct_from", "not_alias_of"}, {"facet_of", "aspect_of", "detail_of"}
 
 
@@ -17,11 +20,13 @@ def newest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 def overlay(events: DataFrame, keys: tuple[str, str] = ("subj", "tgt"), date: str = "d", deny: str = "deny") -> DataFrame:
     """Pairs whose newest event is an assertion, with n, the number of all their assertions.
 
-    On the same date a denial wins; a null date is the oldest. One aggregation, combined before the shuffle.
+    On the same date a denial wins; a null date is the oldest. One hash aggregation, combined before the shuffle: date and denial are
+    one number, whose lowest bit is the denial.
     """
-    when = F.struct(F.coalesce(F.col(date).cast("string"), F.lit("")), F.col(deny))
+    at = F.unix_micros(date) if isinstance(events.schema[date].dataType, TimestampType) else F.unix_date(F.col(date).cast("date")).cast("long")
+    when = F.coalesce(at, F.lit(OLDEST)) * 2 + F.col(deny)
     got = events.groupBy(*keys).agg(F.max(when).alias("_last"), F.sum(1 - F.col(deny)).cast("long").alias("n"))
-    return got.where(F.col(f"_last.{deny}") == 0).select(*keys, "n")
+    return got.where(F.col("_last") % 2 == 0).select(*keys, "n")
 
 
 def claims(events: DataFrame) -> DataFrame:

@@ -63,7 +63,7 @@ def _pages(spark, d):
     s = A.statements(spark, d)
     names = A.table(spark, d, "supplier").select(F.col("s_suppkey").alias("credited"), "s_name")
     day = A.sources(spark, d).select(F.col("id").alias("source"), "day", "public")
-    told = s.join(day, "source")
+    told = s.join(day, "source", "left").withColumn("public", F.coalesce("public", F.lit(False)))  # a source that is missing is not public
     taught = P.nest(told.where("kind = 'taught'"), "entity", [F.col("position"), F.col("key")], {"key": F.col("key"), "source": F.col("source"), "day": F.col("day"), "public": F.col("public")}, "statements")
     wrong = P.nest(told.where("kind = 'mistake'"), "entity", [F.col("day"), F.col("key")], {"key": F.col("key"), "day": F.col("day")}, "mistakes")
     who = P.nest(_credited(spark, d).select("entity", "credited").distinct().join(names, "credited"), "entity", [F.col("s_name")], {"name": F.col("s_name")}, "teachers")
@@ -79,8 +79,15 @@ a AS (SELECT subj, count(*) AS n FROM o GROUP BY subj), b AS (SELECT tgt, count(
 SELECT id AS entity, slug, coalesce(t, 0) AS statements_count, coalesce(m, 0) AS mistakes_count, coalesce(a.n, 0) AS mentions_count, coalesce(b.n, 0) AS referenced_by_count, coalesce(b.n, 0) BETWEEN 1 AND 25 AS listed
 FROM {A.ENTITIES} x LEFT JOIN s ON s.entity = id LEFT JOIN a ON a.subj = id LEFT JOIN b ON b.tgt = id""")
 def page_document_counts(spark, d):
-    got = _pages(spark, d)
-    return got.select("entity", "slug", "statements_count", "mistakes_count", "mentions_count", "referenced_by_count", F.coalesce(F.size("referenced_by") > 0, F.lit(False)).alias("listed"))
+    """The sizes of the lists of page documents, counted without gathering them."""
+    count = lambda k: F.count(F.when(F.col("kind") == k, 1))
+    s = A.statements(spark, d).groupBy("entity").agg(count("taught").alias("statements_count"), count("mistake").alias("mistakes_count"))
+    edges = S.overlay(A.events(spark, d))
+    ends = edges.select(F.explode(F.array(F.struct(F.col("subj").alias("entity"), F.lit(1).alias("out")), F.struct(F.col("tgt").alias("entity"), F.lit(0).alias("out")))).alias("z")).select("z.*")
+    n = ends.groupBy("entity").agg(F.sum("out").alias("mentions_count"), F.sum(1 - F.col("out")).alias("referenced_by_count"))
+    pages = A.entities(spark, d).select(F.col("id").alias("entity"), "slug").join(s, "entity", "left").join(n, "entity", "left")
+    zero = {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("statements_count", "mistakes_count", "mentions_count", "referenced_by_count")}
+    return pages.select("entity", "slug", *[v.alias(c) for c, v in zero.items()], zero["referenced_by_count"].between(1, P.REFERENCED_LIMIT).alias("listed"))
 
 
 @query()
@@ -111,19 +118,11 @@ def _followons(spark, d, items):
     return J.follow_ons(jobs, touched, A.table(spark, d, "part").where("p_partkey % 4 = 0").select(F.col("p_partkey").alias("entity")), 3)
 
 
-@query("""WITH t AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS e FROM lineitem WHERE l_orderkey % 20 = 0),
-j AS (SELECT 'generate' AS job, o, e FROM t UNION ALL SELECT 'consolidate', o, e FROM t WHERE e % 4 = 0),
-b AS (SELECT *, (row_number() OVER (PARTITION BY job, o ORDER BY e) - 1) // 3 AS batch FROM j)
-SELECT job, CAST(o AS VARCHAR) AS origin_source_id, batch, list(e ORDER BY e) AS entities FROM b GROUP BY job, o, batch""")
-def job_followons(spark, d):
-    return _followons(spark, d, A.table(spark, d, "lineitem").where("l_orderkey % 20 = 0"))
-
-
 @query("""WITH t AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS e FROM lineitem),
 j AS (SELECT 'generate' AS job, o, e FROM t UNION ALL SELECT 'consolidate', o, e FROM t WHERE e % 4 = 0),
 b AS (SELECT *, (row_number() OVER (PARTITION BY job, o ORDER BY e) - 1) // 3 AS batch FROM j)
 SELECT job, CAST(o AS VARCHAR) AS origin_source_id, batch, list(e ORDER BY e) AS entities FROM b GROUP BY job, o, batch""")
-def job_followons_all(spark, d):
+def job_followons(spark, d):
     """The follow-on jobs of every order."""
     return _followons(spark, d, A.table(spark, d, "lineitem"))
 
@@ -136,13 +135,20 @@ def job_validation(spark, d):
     return J.parse(A.table(spark, d, "events").select(body.alias("body"))).select("body", "problem")
 
 
-@query("""SELECT p_partkey AS id, p_name AS definition, CASE WHEN p_partkey % 2 = 0 THEN 2 ELSE 1 END AS revisions FROM part""")
+@query("""SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN 'its own' WHEN p_partkey % 3 = 0 THEN p_type ELSE p_name END AS definition,
+  1 + CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 5 = 0 OR (p_partkey % 2 = 0 AND p_partkey % 3 <> 0) THEN 1 ELSE 0 END AS revisions,
+  1 + CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END AS integrated,
+  CASE WHEN p_partkey % 5 = 0 THEN 'chosen by a person' WHEN p_partkey % 3 = 0 THEN 'took in evidence' WHEN p_partkey % 2 = 0 THEN 'reverted' ELSE 'nothing before' END AS result FROM part""")
 def revisions(spark, d):
-    p = A.table(spark, d, "part")
-    state = D.record_revision(spark.createDataFrame([], "slug string, definition string, revisions array<struct<by:string,at:string,definition:string>>"), p.select(F.col("p_partkey").cast("string").alias("slug"), F.col("p_name").alias("definition")), "page", "2026-01-01")
-    state = D.record_revision(state, p.where("p_partkey % 2 = 0").select(F.col("p_partkey").cast("string").alias("slug"), F.col("p_brand").alias("definition")), "llm", "2026-01-02")
-    back = D.revert(state, "2026-01-03")
-    return back.select(F.col("slug").cast("long").alias("id"), "definition", F.least(F.size("revisions"), F.lit(2)).alias("revisions"))
+    """Texts from one statement each; every second rewritten, every third with new evidence, every fifth edited on its page; then all are to be taken back."""
+    p = A.table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("slug"), "p_partkey", "p_name", "p_brand", "p_type")
+    answer = lambda text, key: (F.col(text).alias("definition"), F.lit("").alias("context"), (F.array(F.concat(F.lit(key), "slug")) if key else F.array().cast("array<string>")).alias("keys"))
+    state = D.record_revision(spark.createDataFrame([], D.PROSE), p.select("slug", *answer("p_name", "a")), "m", "2026-01-01", "1")
+    state = D.record_revision(state, p.where("p_partkey % 2 = 0").select("slug", *answer("p_brand", "")), "m", "2026-01-02", "1")
+    state = D.record_revision(state, p.where("p_partkey % 3 = 0").select("slug", *answer("p_type", "b")), "m", "2026-01-03", "1")
+    state = D.page_as_base(state, p.select("slug", F.when(F.col("p_partkey") % 5 == 0, "its own").otherwise(F.col("p_name")).alias("definition"), F.lit("").alias("context")), "2026-01-04")
+    back = D.revert(state, "2026-01-05")
+    return back.select(F.col("slug").cast("long").alias("id"), "definition", F.size("revisions").alias("revisions"), F.size("integrated").alias("integrated"), "result")
 
 
 @query("""SELECT p_partkey AS child, p_partkey - p_partkey % 10 AS parent, p_size % 2 = 0 AS same FROM part WHERE p_partkey % 10 <> 0 AND p_partkey % 10 > 4 AND (p_partkey // 100 % 2 = 0 OR p_size % 2 = 0)""")

@@ -33,12 +33,12 @@ def support_counts(spark, d):
     return M.support(s, S.overlay(A.events(spark, d)).select(F.col("tgt").alias("entity"), "n"))
 
 
-@query(f"""WITH s AS (SELECT entity, count(DISTINCT source) AS n FROM {A.STATEMENTS} WHERE position = 7 GROUP BY entity), r AS (SELECT DISTINCT frm AS e FROM {A.RELATIONS} UNION SELECT dst FROM {A.RELATIONS})
+@query(f"""WITH s AS (SELECT entity, count(DISTINCT source) AS n FROM {A.STATEMENTS} GROUP BY entity), r AS (SELECT DISTINCT frm AS e FROM {A.RELATIONS} UNION SELECT dst FROM {A.RELATIONS})
 SELECT kind, count(*) AS entities, count(*) FILTER (n IS NULL) AS thin, count(*) FILTER (n = 1) AS single_source, count(*) FILTER (r.e IS NULL) AS isolated
 FROM {A.ENTITIES} x LEFT JOIN s ON s.entity = x.id LEFT JOIN r ON r.e = x.id GROUP BY kind""")
 def corpus_quality(spark, d):
     rel = S.both_directions(A.relations(spark, d), "frm", "dst").select(F.col("e").alias("entity"))
-    return M.quality(A.entities(spark, d), A.statements(spark, d).where("position = 7"), rel)
+    return M.quality(A.entities(spark, d), A.statements(spark, d), rel)
 
 
 @query(f"SELECT coalesce(kind, 'all') AS kind, count(*) AS n, count(DISTINCT brand) AS brands FROM {A.ENTITIES} GROUP BY GROUPING SETS ((kind), ())")
@@ -124,7 +124,7 @@ def view_membership(spark, d):
 
 
 OWN = f"""(SELECT entity, 'about' AS role, key, day FROM {A.STATEMENTS} JOIN {A.SOURCES} ON id = source UNION ALL
-  SELECT entity % 50, 'refers', key, day FROM {A.STATEMENTS} JOIN {A.SOURCES} ON id = source WHERE position = 1)"""
+  SELECT entity % 50, 'refers', key, day FROM {A.STATEMENTS} JOIN {A.SOURCES} ON id = source)"""
 
 
 @query(f"""SELECT entity, role, key, rn <= CASE role WHEN 'about' THEN 12 ELSE 80 END AS sent, rn <= CASE role WHEN 'about' THEN 12 ELSE 80 END OR role = 'refers' AS covered
@@ -132,7 +132,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY entity, role ORDER BY day DESC,
 def evidence_topk(spark, d):
     s = A.statements(spark, d).join(A.sources(spark, d).select(F.col("id").alias("source"), "day"), "source")
     own = s.select("entity", F.lit("about").alias("role"), "key", "day")
-    refers = s.where("position = 1").select((F.col("entity") % 50).alias("entity"), F.lit("refers").alias("role"), "key", "day")
+    refers = s.select((F.col("entity") % 50).alias("entity"), F.lit("refers").alias("role"), "key", "day")
     return M.capped_evidence(own.unionByName(refers), {"about": 12, "refers": 80}, date="day").select("entity", "role", "key", "sent", "covered")
 
 

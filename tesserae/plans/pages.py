@@ -120,21 +120,25 @@ def stale_paths(spark, d):
     return I.stale_paths(have, s.select(path("s_suppkey")))
 
 
-@query(f"""WITH RECURSIVE {A.CLOSURE}, asked AS (SELECT p_partkey AS id FROM part WHERE p_partkey % 6 = 0), t AS (SELECT DISTINCT coalesce(root, id) AS id FROM asked LEFT JOIN closed ON frm = id)
+@query(f"""WITH RECURSIVE {A.CLOSURE}, asked AS (SELECT l_partkey AS id FROM lineitem WHERE l_returnflag = 'R'), t AS (SELECT DISTINCT coalesce(root, id) AS id FROM asked LEFT JOIN closed ON frm = id)
 SELECT id, 'write' AS act FROM t UNION ALL SELECT frm, 'remove' FROM closed WHERE root IN (SELECT id FROM t) AND frm NOT IN (SELECT id FROM t)""")
 def materialise_sets(spark, d):
-    """Which pages a list of asked entities leads to, and which folded ones are removed with them."""
+    """Which pages the entities of mistakes lead to, and which folded ones are removed with them."""
     closed = C.fold_closure(A.folds(spark, d))
-    asked = A.table(spark, d, "part").where("p_partkey % 6 = 0").select(F.col("p_partkey").alias("id"))
+    asked = A.table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("id")).distinct()
     to = C.repoint(asked, closed, "id").distinct()
     gone = closed.join(to, closed["root"] == to["id"], "left_semi").select(F.col("frm").alias("id")).join(to, "id", "left_anti")
     return to.withColumn("act", F.lit("write")).unionByName(gone.withColumn("act", F.lit("remove")))
 
 
-@query("""SELECT conv_id, CAST(sum(length(text) // 4) AS BIGINT) AS input, CAST(sum(CASE WHEN contains(text, '"id":') THEN 50 ELSE 300 END) AS BIGINT) AS output FROM conversations WHERE NOT contains(text, '"id":') GROUP BY conv_id""")
+_PROMPTS = """(SELECT conv_id, repeat('{"id":1}', CAST(turn % 3 AS INT)) || text AS prompt FROM conversations)"""
+
+
+@query(f"""SELECT conv_id, CAST(sum(length(prompt) // 4) AS BIGINT) AS input, CAST(sum(CASE WHEN contains(prompt, '"id":') THEN 50 * ((length(prompt) - length(replace(prompt, '"id":', ''))) // 5) ELSE 300 END) AS BIGINT) AS output FROM {_PROMPTS} GROUP BY conv_id""")
 def dry_run_estimate(spark, d):
-    c = A.table(spark, d, "conversations").where(~F.contains("text", F.lit('"id":')))
-    return c.groupBy("conv_id").agg(F.sum(X.tokens(F.col("text"))).alias("input"), F.sum(X.output_tokens(F.col("text"))).alias("output"))
+    """Turns as prompts that ask for none, one or two entries by id."""
+    c = A.table(spark, d, "conversations").select("conv_id", F.concat(F.repeat(F.lit('{"id":1}'), (F.col("turn") % 3).cast("int")), "text").alias("prompt"))
+    return c.groupBy("conv_id").agg(F.sum(X.tokens(F.col("prompt"))).alias("input"), F.sum(X.output_tokens(F.col("prompt"))).alias("output"))
 
 
 @query(f"SELECT id, row_number() OVER (PARTITION BY kind ORDER BY lower(name), id) AS pos, kind FROM {A.ENTITIES}")

@@ -44,11 +44,17 @@ def gist(spark, d):
     return A.table(spark, d, "documents").select("doc_id", X.gist(F.col("text")).alias("gist"))
 
 
-@query("SELECT p_partkey AS id, 'x y' AS aliases FROM part")
+_ALIASES = f"""(SELECT id, a, i, lower(trim(name)) AS own, name, {_SLUG.format('a')} AS form FROM (SELECT p_partkey AS id, p_name AS name, unnest([upper(p_name), p_type, p_brand, lower(p_type), upper(p_brand), replace(lower(p_brand), '#', ''), p_brand || ' ' || p_type]) AS a, unnest([1, 2, 3, 4, 5, 6, 7]) AS i FROM part))"""
+
+
+@query(f"""WITH a AS {_ALIASES}, f AS (SELECT DISTINCT id, form FROM a WHERE a <> form UNION SELECT p_partkey, {_SLUG.format('p_name')} FROM part),
+k AS (SELECT id, a, i, row_number() OVER (PARTITION BY id, lower(a) ORDER BY i) AS rn FROM a WHERE lower(a) <> own AND NOT (a = form AND (id, form) IN (SELECT id, form FROM f)))
+SELECT p_partkey AS id, (SELECT string_agg(a, ',' ORDER BY i) FROM k WHERE k.id = p_partkey AND rn = 1) AS aliases FROM part""")
 def alias_display(spark, d):
-    """Of a name, its upper case, its slug form, a new name, that again in capitals and its slug form only the new name is shown."""
-    n = F.col("p_name")
-    return A.table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.array_join(X.display_aliases(n, F.array(F.upper(n), X.slugify(n), F.lit("x y"), F.lit("X Y"), F.lit("x-y"), F.lit(" "))), ",").alias("aliases"))
+    """Of a part's names in several spellings those that are to be shown."""
+    p = A.table(spark, d, "part")
+    given = F.array(F.upper("p_name"), F.col("p_type"), F.col("p_brand"), F.lower("p_type"), F.upper("p_brand"), F.replace(F.lower("p_brand"), F.lit("#"), F.lit("")), F.concat_ws(" ", "p_brand", "p_type"))
+    return p.select(F.col("p_partkey").alias("id"), F.array_join(X.display_aliases(F.col("p_name"), given), ",").alias("aliases"))
 
 
 @query(r"SELECT p_partkey AS id, array_to_string(list_transform(string_split(p_name || ' mAcro x', ' '), lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') AS title FROM part")
@@ -56,26 +62,16 @@ def title_case(spark, d):
     return A.table(spark, d, "part").select(F.col("p_partkey").alias("id"), X.title_case(F.concat("p_name", F.lit("  mAcro x "))).alias("title"))
 
 
-@query("""SELECT doc_id, left(replace(replace(text, '.', ''), chr(10), ' '), 40) || ' ([[sources/a-' || doc_id % 7 || ']]).' AS context FROM documents WHERE text IS NOT NULL AND NOT contains(text, '[') AND NOT contains(text, '(')
-  AND regexp_matches(left(replace(replace(text, '.', ''), chr(10), ' '), 40), '^\\S.*[^\\s!?]$')""")
-def citation_normalise(spark, d):
-    """Citations of several malformed kinds, injected after each text's first 40 characters, come out in one form, once."""
-    cut = F.substring(F.replace(F.replace(F.col("text"), F.lit("."), F.lit("")), F.lit("\n"), F.lit(" ")), 1, 40)
-    n = (F.col("doc_id") % 7).cast("string")
-    dirty = F.concat(cut, F.lit(" [sources/a-"), n, F.lit("] [citation needed]. ([[ sources/a-"), n, F.lit(" ]])"))
-    rows = A.table(spark, d, "documents").where(~F.contains("text", F.lit("[")) & ~F.contains("text", F.lit("(")) & cut.rlike(r"^\S.*[^\s!?]$"))
-    return rows.select("doc_id", F.regexp_replace(X.tidy_citations(dirty), r"\.? (\(\[\[sources/a-\d\]\]\))\.?$", " $1.").alias("context"))
-
-
 @query()
-def citation_normalise_whole(spark, d):
+def citation_normalise(spark, d):
     """Citations of several malformed kinds, injected into each whole text after 40 characters and at its end, come out in one form, once."""
     t, n = F.col("text"), (F.col("doc_id") % 7).cast("string")
     dirty = F.concat(F.substring(t, 1, 40), F.lit(" [sources/a-"), n, F.lit("] [citation needed]"), F.substr(t, F.lit(41)), F.lit(" ([[ sources/a-"), n, F.lit(" ]])"))
     return A.table(spark, d, "documents").select("doc_id", X.tidy_citations(dirty).alias("context"))
 
 
-@query()
+@query(f"""SELECT slug, left(h, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || ['8', '9', 'a', 'b'][('0x' || substr(h, 17, 1))::INT % 4 + 1] || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS id
+FROM (SELECT slug, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(slug)) AS h FROM {A.ENTITIES})""")
 def uuid5_ids(spark, d):
     return A.entities(spark, d).select("slug", X.uuid5("6ba7b811-9dad-11d1-80b4-00c04fd430c8", F.col("slug")).alias("id"))
 

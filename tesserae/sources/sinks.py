@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators import diff as D
@@ -26,9 +26,9 @@ def write_state(df: DataFrame, path: str, key: str, form: str = "parquet") -> No
 
 def write_delta(old: DataFrame, new: DataFrame, path: str, keys: list[str]) -> int:
     """Appends the rows that are new or differ; how many."""
-    rows = D.delta(old, new, keys)
-    rows.write.mode("append").parquet(path)
-    return rows.count()
+    seen = Observation()
+    D.delta(old, new, keys).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    return seen.get["n"]
 
 
 def import_state(rows: DataFrame, table: DataFrame, path: str, keys: list[str]) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -41,37 +41,58 @@ def follow_ons(jobs: DataFrame, touched: DataFrame, undecided: DataFrame, size:
 
 
 def run_stream(messages: DataFrame, work: Callable[[DataFrame, int], None], dead: str, checkpoint: str, seconds: float | None = None):
-    """Hands each micro-batch's sound jobs to work, and appends the others to the table at dead; ends when what is there is done.
+    """Hands each micro-batch's sound jobs to work, and writes the others to the table at dead, by batch; ends when what is there is done.
 
-    work gets the same jobs again after a failure, so it skips what its own watermark says is done.
+    work gets the same jobs again after a failure, so it skips what its own watermark says is done; a batch that is repeated writes its
+    bad jobs in the same place. After so many seconds the query is stopped; what a batch has not finished comes again with the next run.
     """
 
     def each(batch: DataFrame, number: int) -> None:
         rows = parse(batch).persist()
         bad = rows.where("problem is not null")
         if not bad.isEmpty():
-            bad.write.mode("append").parquet(dead)
+            bad.write.mode("overwrite").parquet(f"{dead}/batch={number}")
         good = rows.where("problem is null").drop("problem")
         if not good.isEmpty():
             work(good, number)
         rows.unpersist()
 
     q = messages.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination(seconds) if seconds else q.awaitTermination()
+    if seconds is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(seconds):
+        q.stop()
     return q
 
 
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the whole versions of a table that settle_into() keeps at a path, ascending."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(at):
+        return []
+    found = [s.getPath() for s in system.listStatus(at)]
+    return sorted(int(p.getName()) for p in found if p.getName().isdigit() and system.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def settled(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a table that settle_into() keeps."""
+    return spark.read.parquet(f"{path}/{versions(spark, path)[-1]:06d}")
+
+
 def settle_into(path: str, keys: list[str], order: list[str]) -> Callable[[DataFrame, int], None]:
     """A batch function that keeps each key's last row by an order, however late it arrives, in a table at a path.
 
-    Each batch writes a new version of the table beside the last; readers take the one that CURRENT names by the greatest number.
+    Each batch writes a new version of the table beside the last one before it, whichever number that has; readers take settled().
     """
 
     def work(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         new = batch.select(*batch.columns)
-        if number:
-            new = new.unionByName(spark.read.parquet(f"{path}/{number - 1:06d}"))
+        last = max((v for v in versions(spark, path) if v < number), default=None)
+        if last is not None:
+            new = new.unionByName(spark.read.parquet(f"{path}/{last:06d}"))
         rest = [c for c in new.columns if c not in keys]
         got = new.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(*keys, "_r.*")
         got.write.mode("overwrite").parquet(f"{path}/{number:06d}")

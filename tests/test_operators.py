@@ -71,6 +71,8 @@ def test_evidence_and_samples(spark):
     e = spark.createDataFrame([(1, r, f"k{i}", dt.date(2026, 1, 1 + i)) for r in ("about", "refers") for i in range(5)], "entity long, role string, key string, date date")
     got = M.capped_evidence(e, {"about": 2, "refers": 1})
     assert got.where("sent").count() == 3 and got.where("covered").count() == 7
+    many = spark.range(40_000).select((F.col("id") * 7919 % 40_009).alias("id"), F.lit("x").alias("a"), F.col("id").alias("b"))
+    assert sorted(r["batch"] for r in M.batches(many, "id", 1).select("batch").collect()) == list(range(40_000))  # with further columns
     assert [r["batch"] for r in M.batches(spark.range(7), "id", 3).orderBy("id").collect()] == [0, 0, 0, 1, 1, 1, 2]
     a = M.round_robin(spark.createDataFrame([("x", i) for i in range(9)] + [("y", 99)], "s string, k long"), "s", "k", 4, "1")
     assert sorted(r["s"] for r in a.collect()) == ["x", "x", "x", "y"]
@@ -87,12 +89,22 @@ def test_diff(spark):
 
 
 def test_revisions(spark):
-    empty = spark.createDataFrame([], "slug string, definition string, revisions array<struct<by:string,at:string,definition:string>>")
-    one = D.record_revision(empty, spark.createDataFrame([("s", "old")], "slug string, definition string"), "page", "1")
-    two = D.record_revision(one, spark.createDataFrame([("s", "new")], "slug string, definition string"), "llm", "2")
-    back = D.revert(two, "3").first()
-    assert (back["definition"], back["result"], len(back["revisions"])) == ("old", "reverted", 3)
-    assert D.revert(one, "3").first()["result"] == "not a rewrite"
+    said = "slug string, definition string, context string, keys array<string>"
+    one = D.record_revision(spark.createDataFrame([], D.PROSE), spark.createDataFrame([("s", "old", "c", ["k1"])], said), "m", "1", "v1")
+    two = D.record_revision(one, spark.createDataFrame([("s", "new", "d", [])], said), "m", "2", "v1")
+    back = D.revert(two, "3")
+    r = back.first()
+    assert (r["definition"], r["context"], r["result"], len(r["revisions"]), r["integrated"]) == ("old", "c", "reverted", 3, ["k1"])
+    assert back.select(D.human_chosen(F.col("revisions"))).first()[0] and D.revert(back.drop("result"), "4").first()["result"] == "chosen by a person"
+    assert D.revert(one, "3").first()["result"] == "nothing before"
+    more = D.record_revision(two, spark.createDataFrame([("s", "third", "e", ["k2"])], said), "m", "3", "v1")
+    assert D.revert(more, "4").first()["result"] == "took in evidence" and more.first()["integrated"] == ["k1", "k2"]
+    other = D.record_revision(two, spark.createDataFrame([("s", "x", "y", ["k9"])], said), "m", "3", "v2").first()
+    assert other["integrated"] == ["k9"] and len(other["revisions"]) == 3
+    page = lambda d, c: spark.createDataFrame([("s", d, c)], "slug string, definition string, context string")
+    assert D.page_as_base(two, page("old", "c"), "5").first()["definition"] == "new"  # written by us
+    edited = D.page_as_base(two, page("mine", "c"), "5")
+    assert edited.first()["definition"] == "mine" and D.page_as_base(edited, page("mine", "c"), "6").first()["revisions"] == edited.first()["revisions"]
 
 
 def test_integrity(spark):

@@ -50,12 +50,12 @@ def test_entry(spark):
 
 
 def test_followons_of_every_order(spark, db):
-    got = {r[0] for r in QUERIES["job_followons_all"](spark, SF).select("origin_source_id").distinct().collect()}
+    got = {r[0] for r in QUERIES["job_followons"](spark, SF).select("origin_source_id").distinct().collect()}
     assert got == {str(r[0]) for r in db.sql("SELECT DISTINCT l_orderkey FROM lineitem").fetchall()}
 
 
 def test_all_model_folds_reach_the_operator(spark, db):
-    got = {r["frm"] for r in QUERIES["fold_edges_with_all_model_folds"](spark, SF).collect()}
+    got = {r["frm"] for r in QUERIES["fold_edges_with_model"](spark, SF).collect()}
     beyond = {r[0] for r in db.sql(f"SELECT frm FROM {A.FOLDS} WHERE frm >= 200").fetchall()}  # relations are between ids below 200
     assert beyond <= got and (beyond or SF.endswith("sf0.001"))
     more = spark.createDataFrame([(900, 450, True), (901, 3, False)], "frm long, dst long, listed boolean")
@@ -74,5 +74,5 @@ def test_citations_in_whole_texts(spark, db):
         s = re.sub(r"(?i)\s*\[\(?(?:source|citation(?: needed)?)\)?\]", "", re.sub(r"\s*\(\s*\)", "", t[:40].rstrip() + t[40:]))
         cite = f"([[sources/a-{i % 7}]])"
         want.append((i, (f"{s[:-1]} {cite}{s[-1]}" if s[-1:] in tuple(".!?") else f"{s.rstrip()} {cite}").strip()))
-    got = [tuple(r) for r in QUERIES["citation_normalise_whole"](spark, SF).collect()]
+    got = [tuple(r) for r in QUERIES["citation_normalise"](spark, SF).collect()]
     assert len(got) == len(rows) and sorted(got) == sorted(want)

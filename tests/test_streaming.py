@@ -18,8 +18,9 @@ def test_late_rows_are_settled_by_their_date(spark, tmp_path):
     work = J.settle_into(str(tmp_path / "state"), ["k"], ["d"])
     work(spark.createDataFrame([("a", 5, "new")], "k string, d int, v string"), 0)
     work(spark.createDataFrame([("a", 3, "late"), ("b", 1, "x")], "k string, d int, v string"), 1)
-    work(spark.createDataFrame([("a", 3, "late")], "k string, d int, v string"), 2)
-    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "state/000002")).collect()) == [("a", 5, "new"), ("b", 1, "x")]
+    work(spark.createDataFrame([("a", 3, "late")], "k string, d int, v string"), 4)  # batches without sound jobs write nothing
+    assert J.versions(spark, str(tmp_path / "state")) == [0, 1, 4]
+    assert sorted(tuple(r) for r in J.settled(spark, str(tmp_path / "state")).collect()) == [("a", 5, "new"), ("b", 1, "x")]
 
 
 def test_state(spark, tmp_path):

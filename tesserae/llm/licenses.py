@@ -18,6 +18,11 @@ SENTENCES: dict[str, tuple[str, ...]] = {
     "gpl-3-ref": ("this work is licensed under the gnu general public license version 3", "licensed under the gnu general public license version 3", "released under the gnu general public license version 3"),
     "gpl-free": ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",),
     "gpl-2-free": ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",),
+    "agpl-free": ("this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",),
+    "lgpl-3-free": ("this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version", "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    "lgpl-2-1-free": ("this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",),
+    "lgpl-nowarranty": ("this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",),
+    "epl-2-ref": ("this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",),
     "gpl-nowarranty": ("this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",),
     "lgpl-ref": ("licensed under the gnu lesser general public license version 3",),
     "cc-by-nc-ref": ("licensed under cc by nc 4 0", "this work is licensed under cc by nc 4 0", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
@@ -39,8 +44,15 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("MIT", ("mit-grant", "keep-notice")),
     ("BSD-3-Clause", ("bsd-head", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("BSD-2-Clause", ("bsd-head", "bsd-source", "bsd-binary")),
+    ("AGPL-3.0-or-later", ("agpl-free", "gpl-nowarranty")),
+    ("LGPL-3.0-or-later", ("lgpl-3-free", "lgpl-nowarranty")),
+    ("LGPL-3.0-or-later", ("lgpl-3-free", "gpl-nowarranty")),
+    ("LGPL-2.1-or-later", ("lgpl-2-1-free", "lgpl-nowarranty")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-nowarranty")),
     ("GPL-2.0-or-later", ("gpl-2-free", "gpl-nowarranty")),
+    ("AGPL-3.0-or-later", ("agpl-free",)),
+    ("LGPL-3.0-or-later", ("lgpl-3-free",)),
+    ("LGPL-2.1-or-later", ("lgpl-2-1-free",)),
     ("GPL-3.0-or-later", ("gpl-free",)),
     ("GPL-2.0-or-later", ("gpl-2-free",)),
     ("Apache-2.0", ("apache-2-ref", "apache-comply")),
@@ -54,12 +66,12 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("CC0-1.0", ("cc0-ref",)),
     ("ISC", ("isc-grant",)),
     ("MPL-2.0", ("mpl-2-ref",)),
+    ("EPL-2.0", ("epl-2-ref",)),
     ("Unlicense", ("unlicense",)),
 )
 #: Every known sentence holds one of these; what holds none is not looked at further.
 ANCHORS = "licen|copyright|permission|warrant|redistribut|software|cc0"
-#: Of the SQL, which still breaks after "v." and chooses one reading for a whole text; _OTHER is of both.
-_BREAK, _BLANKS, _OTHER = r"([.!?;:])[ \t\r\n]+", r"[ \t\r\n]+", "[^a-z0-9]+"
+_OTHER = "[^a-z0-9]+"
 #: Where a text ends a sentence, but not within "v. 2"; and where what is not known as a whole is cut further, in turn.
 _STOP, _PARAGRAPH, _CLAUSE, _LINE = r"(?:\.(?!(?<=\bv\.)[ \t\r\n]+[0-9])|[!?])[ \t\r\n]+", r"\n[ \t\r]*\n", r"[;:][ \t\r\n]+", r"\n"
 
@@ -114,7 +126,19 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_sql() -> str:
     """The same scan for DuckDB, its rules unrolled."""
-    pairs = ", ".join(f"('{t}', '<{name}>')" for name, texts in SENTENCES.items() for t in texts)
+    keys = ", ".join(f"'{t}'" for texts in SENTENCES.values() for t in texts)
+    values = ", ".join(f"'<{name}>'" for name, texts in SENTENCES.items() for _ in texts)
+    known = lambda x: f"m[trim(regexp_replace({x}, '{_OTHER}', ' ', 'g'))]"
+
+    def within(x: str, *cuts: str) -> str:
+        depth = len(cuts)
+        inner = f"coalesce({known(f'x{depth}')}, {within(f'x{depth}', *cuts[1:])})" if depth > 1 else f"coalesce({known('x1')}, '')"
+        near = f"list_filter(string_split_regex({x}, '{cuts[0]}'), lambda y{depth}: regexp_matches(y{depth}, '{ANCHORS}'))"
+        return f"coalesce(list_aggregate(list_transform({near}, lambda x{depth}: {inner}), 'string_agg', ''), '')"
+
+    # "v. 2" is no end of a sentence: its full stop is taken out first, and is no letter or digit anyway
+    parts = r"string_split_regex(regexp_replace(x, '\bv\.([ \t\r\n]+[0-9])', 'v \1', 'g'), '[.!?][ \t\r\n]+')"
+    sentence = f"coalesce({known('s')}, nullif({within('s', _PARAGRAPH, _CLAUSE, _LINE)}, ''), {within('s', _CLAUSE, _LINE)})"
     steps, rest, found = [], "sentences", []
     for i, (name, sequence) in enumerate(RULES):
         steps.append(f"s{i} AS (SELECT *, contains({rest}, '{_patterns(sequence)}') AS f{i}, replace({rest}, '{_patterns(sequence)}', '') AS r{i} FROM {f's{i - 1}' if i else 'chosen'})")
@@ -126,18 +150,10 @@ def op5_sql() -> str:
     # a name stands where its first rule that matched stands
     items = ", ".join(f"CASE WHEN f{i}" + "".join(f" AND NOT f{j}" for j in first[name] if j < i) + f" THEN '{name}' END" for i, name in found)
     return rf"""
-WITH known(k, v) AS (VALUES {pairs}),
-t AS (SELECT doc_id, row_number() OVER () AS n, lower(coalesce(text, '')) AS x FROM documents),
-cut AS (SELECT doc_id, n,
-    string_split(regexp_replace(x, '{_BREAK}', '\1' || chr(10), 'g'), chr(10)) AS a,
-    string_split(regexp_replace(regexp_replace(x, '{_BLANKS}', ' ', 'g'), '([.!?;:]) ', '\1' || chr(10), 'g'), chr(10)) AS b
-  FROM t WHERE regexp_matches(x, '{ANCHORS}')),
-pieces AS (SELECT n, 'a' AS w, unnest(a) AS s, unnest(range(len(a))) AS i FROM cut UNION ALL SELECT n, 'b', unnest(b), unnest(range(len(b))) FROM cut),
-near AS (SELECT n, w, i, trim(regexp_replace(s, '{_OTHER}', ' ', 'g')) AS s FROM pieces WHERE regexp_matches(s, '{ANCHORS}')),
-ids AS (SELECT n, w, string_agg(v, '' ORDER BY i) AS q, count(*) AS c FROM near JOIN known ON s = k GROUP BY n, w),
-both_ AS (SELECT t.doc_id, coalesce(a.q, '') AS aq, coalesce(b.q, '') AS bq, coalesce(a.c, 0) AS ac, coalesce(b.c, 0) AS bc
-  FROM t LEFT JOIN (SELECT * FROM ids WHERE w = 'a') a ON t.n = a.n LEFT JOIN (SELECT * FROM ids WHERE w = 'b') b ON t.n = b.n),
-chosen AS (SELECT doc_id, CASE WHEN bc > ac THEN bq ELSE aq END AS sentences FROM both_),
+WITH t AS (SELECT doc_id, row_number() OVER () AS n, lower(coalesce(text, '')) AS x FROM documents),
+p AS (SELECT n, unnest({parts}) AS s, unnest(range(len({parts}))) AS i FROM t WHERE regexp_matches(x, '{ANCHORS}')),
+q AS (SELECT n, i, {sentence} AS v FROM p, (SELECT map([{keys}], [{values}]) AS m) WHERE regexp_matches(s, '{ANCHORS}')),
+chosen AS (SELECT t.doc_id, coalesce(q.ids, '') AS sentences FROM t LEFT JOIN (SELECT n, string_agg(v, '' ORDER BY i) AS ids FROM q GROUP BY n) q ON q.n = t.n),
 {", ".join(steps)}
 SELECT doc_id, concat_ws(',', {items}) AS licenses, sentences, {rest} AS rest FROM s{len(RULES) - 1}
 """

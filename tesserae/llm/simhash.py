@@ -236,6 +236,8 @@ def _groups(stored: DataFrame, folder: str, shingle: int, least: float) -> tuple
                 which, pair = P.meetings(p["u"] % dealt, dealt)  # a crowded shingle's row goes to each pair of blocks that holds its own
                 p = p[which]
                 p["pair"] = pair
+                if not len(p):  # no text of the chunk shares a shingle of its prefix
+                    continue
                 to = (mix(p["token"] ^ mix(p["pair"].view(np.uint64) + np.uint64(1))) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(to, kind="stable")
                 p, to = p[order], to[order]

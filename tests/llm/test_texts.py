@@ -4,6 +4,7 @@ import collections
 import hashlib
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -224,6 +225,10 @@ def test_similar_groups_find_every_pair_at_the_limit(spark):
     assert groups_of(spark, texts) == sets_of(group)
 
 
+def test_similar_groups_of_texts_that_share_nothing(spark):
+    assert groups_of(spark, [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(5)]) == set()
+
+
 @pytest.mark.parametrize("run", [20_000, 40])
 def test_similar_groups_of_a_large_family(spark, monkeypatch, run):
     monkeypatch.setattr(simhash, "RUN", run)  # 40: a crowded shingle is dealt over pairs of blocks
@@ -349,6 +354,10 @@ def test_licenses_of_canonical_texts(spark):
     texts += [("\n".join(SENTENCES_OF[x][0] + "." for x in sequence), name) for name, sequence in licenses.RULES]
     texts += [("\n".join(SENTENCES_OF[x][0].replace(" ", "\n", 1) + "." for x in sequence), name) for name, sequence in licenses.RULES]
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    rows = sorted(tuple(r) for r in licenses.scan(df).collect())
+    db = duckdb.connect()
+    documents = df.toArrow()  # noqa: F841, what the SQL reads
+    assert sorted(db.sql(f"SELECT doc_id, licenses, sentences, rest FROM ({licenses.op5_sql()})").fetchall()) == rows
     got = {r["doc_id"]: r["licenses"] for r in licenses.scan(df).collect()}
     assert [got[i] for i, (_, name) in enumerate(texts) if name] == [name for _, name in texts if name]
     assert {"MIT", "Apache-2.0"} <= set(got[4].split(","))  # one notice over lines, one on a line of its own

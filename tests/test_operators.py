@@ -8,6 +8,7 @@ from tesserae.operators import diff as D
 from tesserae.operators import documents as P
 from tesserae.operators import integrity as I
 from tesserae.operators import measures as M
+from tesserae.operators import merges as G
 from tesserae.operators import passes
 from tesserae.operators import resolve as R
 from tesserae.operators import settle as S
@@ -149,3 +150,15 @@ def test_condense(spark):
 def test_null_ends_of_edges(spark, bad):
     e = spark.createDataFrame([(1, 2)], "frm long, dst long").withColumn("listed", F.lit(True)).withColumn(bad, F.lit(None).cast("long"))
     assert C.fold_closure(e).count() <= 1
+
+
+def test_merges(spark):
+    edges = spark.createDataFrame([(2, 1, False), (3, 2, True), (4, 1, True), (7, 8, False), (8, 7, False), (9, 7, True)], "frm long, dst long, listed boolean")
+    names = spark.createDataFrame([(1, "Front Step"), (2, "Big Step"), (3, "big step"), (3, "Heel"), (4, "Front step"), (4, "Toe"), (4, " ")], "entity long, name string")
+    flags = C.path_flags(C.fold_paths(edges))
+    assert sorted(tuple(r) for r in G.hidden_names(flags, names).collect()) == [(1, "heel"), (1, "toe")]
+    assert {r["frm"]: r["page"] for r in G.review_pages(edges.select("frm", "dst")).collect()} == {2: 1, 3: 1, 4: 1, 7: 7, 8: 8, 9: None}
+    entities = spark.createDataFrame([(1, "a", ["x"]), (2, "b", ["x", "y", ""]), (3, "a", None)], "id long, name string, aliases array<string>")
+    got = G.apply_merges({"entities": entities, "relations": spark.createDataFrame([(1, 2), (3, 1), (2, 5)], "f long, t long")}, spark.createDataFrame([(2, 1), (3, 1)], "frm long, root long"), {"relations": ["f", "t"]})
+    assert [tuple(r) for r in got["entities"].collect()] == [(1, "a", ["x", "b", "y", "a"])]
+    assert [tuple(r) for r in got["relations"].collect()] == [(1, 5)]

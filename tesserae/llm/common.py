@@ -107,7 +107,14 @@ def put_rows(folder: str, name: str, rows: pa.Table) -> None:
         file.write_table(rows)
 
 
+def spare() -> None:
+    """Gives back to the machine what Arrow and the C library hold of memory that is free, so that a worker's size is that of the chunk at hand."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
 def get_rows(folder: str, name: str) -> pa.Table:
+    spare()
     system, at = file_in(folder, name)
     with system.open_input_file(at) as raw, pa.ipc.open_file(raw) as file:
         return file.read_all()
@@ -129,12 +136,14 @@ def chunks_of(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.Table
             if b <= a and held:
                 yield pa.Table.from_batches(held).combine_chunks()
                 held, size = [], 0
+                spare()
                 continue
             b = max(b, a + 1)
             held.append(batch.slice(a, b - a))
             size, a = size + int(ends[b - 1]) - base, b
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
+    spare()
 
 
 def text_bytes(docs: DataFrame, text_col: str) -> int:

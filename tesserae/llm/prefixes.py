@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +39,8 @@ def _packed(pieces: dict[int, np.ndarray], part: int) -> pa.RecordBatch:
     slots, counts = [], []
     for n in pieces.values():
         at = np.flatnonzero(n)
-        slots.append(np.diff(at, prepend=0).astype("<u2").tobytes())
-        counts.append(np.ascontiguousarray(n[at].astype("<u4")).view(np.uint8).reshape(-1, 4).T.tobytes())  # equal bytes side by side, for the compression
+        slots.append(planes(np.diff(at, prepend=0).astype("<u2")))
+        counts.append(planes(n[at].astype("<u4")))
     return pa.RecordBatch.from_arrays([pa.array(list(pieces), pa.int32()), pa.array([part] * len(pieces), pa.int64()), pa.array(slots, pa.binary()), pa.array(counts, pa.binary())], ["piece", "part", "slots", "counts"])
 
 
@@ -47,9 +48,8 @@ def _added(batches: Iterator[pa.RecordBatch]) -> dict[int, np.ndarray]:
     pieces: dict[int, np.ndarray] = {}
     for batch in batches:
         for piece, _, slots, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            at = np.cumsum(np.frombuffer(slots, "<u2").astype(np.int64))
-            n = np.ascontiguousarray(np.frombuffer(counts, np.uint8).reshape(4, -1).T).view("<u4").ravel()
-            pieces.setdefault(piece, np.zeros(1 << PIECE_BITS, np.uint64))[at] += n
+            at = np.cumsum(records(slots, np.dtype("<u2")).astype(np.int64))
+            pieces.setdefault(piece, np.zeros(1 << PIECE_BITS, np.uint64))[at] += records(counts, np.dtype("<u4"))
     return pieces
 
 
@@ -91,12 +91,12 @@ def meetings(own: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def planes(rows: np.ndarray) -> bytes:
-    """Records, byte by byte of each kind side by side, for the compression."""
-    return np.ascontiguousarray(rows.view(np.uint8).reshape(len(rows), rows.itemsize).T).tobytes()
+    """Records, byte by byte of each kind side by side, compressed by zstandard: most planes are nearly constant, which LZ4 of the shuffle cannot use."""
+    return zstandard.compress(np.ascontiguousarray(rows.view(np.uint8).reshape(len(rows), rows.itemsize).T).tobytes(), 1)
 
 
 def records(raw: bytes, kind: np.dtype) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
 
 
 def meet(n: np.ndarray, pos: np.ndarray, run: np.ndarray, least: float, kept: int | None, parities: tuple[np.ndarray, ...] = (), group: np.ndarray | None = None, asks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -102,7 +102,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Longs of a text's parities, rows of a shingle that meet in one group before they are dealt over several, bytes of text that are hashed at once, and pairs that one task compares.
 PARITIES, RUN, AT_ONCE, COMPARED = 8, 20_000, 2 << 20, 2_000
-_POST = np.dtype([("token", "<u8"), ("pair", "<i8"), ("u", "<i8"), ("n", "<i4"), ("pos", "<i4")])
+_POST = np.dtype([("token", "<u8"), ("pair", "<i8"), ("place", "<i4"), ("n", "<i4"), ("pos", "<i4")])
+#: What is sent of a shingle's hash: two that agree here meet without need, and are verified.
+_SENT = np.uint64(2**48 - 1)
 _EPS = 1e-9
 
 
@@ -218,7 +220,7 @@ def _groups(stored: DataFrame, folder: str, shingle: int, least: float) -> tuple
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, places in zip(batch["chunk"].to_pylist(), batch["places"].to_pylist(), strict=True):
-                rows = get_rows(folder, f"{chunk}.arrow").take(pa.array(places))
+                rows = get_rows(folder, f"{chunk}.arrow").select(["_u", "_text"]).take(pa.array(places))
                 size, rare = [], []
                 for h in shingle_sets(rows["_text"].to_pylist(), shingle):
                     log = logs.value[(h >> np.uint64(64 - P.SLOT_BITS)).astype(np.int64)]
@@ -229,11 +231,13 @@ def _groups(stored: DataFrame, folder: str, shingle: int, least: float) -> tuple
                 each = np.array([len(x) for x in rare], np.int64)
                 p = np.zeros(int(each.sum()), _POST)
                 p["token"] = np.concatenate([np.zeros(0, np.uint64), *rare])
-                p["u"], p["n"] = np.repeat(rows["_u"].to_numpy(), each), np.repeat(np.array(size), each)
+                p["place"], p["n"] = np.repeat(np.array(places, np.int32), each), np.repeat(np.array(size), each)
                 p["pos"] = np.arange(len(p)) - np.repeat(np.cumsum(each) - each, each)
-                p = p[p["token"] > 0]
+                shared = p["token"] > 0
+                p, u = p[shared], np.repeat(rows["_u"].to_numpy(), each)[shared]
                 dealt = P.blocks(logs.value[(p["token"] >> np.uint64(64 - P.SLOT_BITS)).astype(np.int64)], RUN)
-                which, pair = P.meetings(p["u"] % dealt, dealt)  # a crowded shingle's row goes to each pair of blocks that holds its own
+                p["token"] &= _SENT
+                which, pair = P.meetings(u % dealt, dealt)  # a crowded shingle's row goes to each pair of blocks that holds its own
                 p = p[which]
                 p["pair"] = pair
                 if not len(p):  # no text of the chunk shares a shingle of its prefix
@@ -243,25 +247,27 @@ def _groups(stored: DataFrame, folder: str, shingle: int, least: float) -> tuple
                 p, to = p[order], to[order]
                 at = np.flatnonzero(np.diff(to, prepend=-1))
                 sent = [P.planes(p[a:b]) for a, b in zip(at.tolist(), np.append(at[1:], len(p)).tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(to[at]), pa.array(sent, pa.binary())], ["_bucket", "_posts"])
+                yield pa.RecordBatch.from_arrays([pa.array(to[at]), pa.array(np.full(len(at), chunk)), pa.array(sent, pa.binary())], ["_bucket", "_chunk", "_posts"])
 
     work = firsts.groupBy("chunk").agg(F.sort_array(F.collect_list("place")).alias("places"))
     tasks = max(2 * spark.sparkContext.defaultParallelism, work.count() // 4)
-    posts = work.repartition(tasks).mapInArrow(make, "_bucket long, _posts binary")
+    posts = work.repartition(tasks).mapInArrow(make, "_bucket long, _chunk long, _posts binary")
 
     def first_pairs(key: tuple, group: pa.Table) -> pa.Table:
-        p = np.concatenate([P.records(x, _POST) for x in group["_posts"].to_pylist()])
-        p = p[np.lexsort((p["u"], p["n"], p["pair"], p["token"]))]
+        sent = [P.records(x, _POST) for x in group["_posts"].to_pylist()]
+        p, chunk = np.concatenate(sent), np.repeat(group["_chunk"].to_numpy(), [len(x) for x in sent])
+        order = np.lexsort((p["place"], chunk, p["n"], p["pair"], p["token"]))
+        p, chunk = p[order], chunk[order]
         new = np.zeros(len(p), np.int64)
         new[1:] = (p["token"][1:] != p["token"][:-1]) | (p["pair"][1:] != p["pair"][:-1])
         run = np.cumsum(new)
         y, x, more = P.meet(p["n"], p["pos"], run, least, P.KEPT)
-        both = np.unique(np.stack([np.maximum(p["u"][y], p["u"][x]), np.minimum(p["u"][y], p["u"][x])], 1), axis=0)
+        both = np.unique(np.stack([chunk[y], p["place"][y], chunk[x], p["place"][x]], 1), axis=0)
         crowd = np.flatnonzero(np.isin(run, run[more]))  # members of the runs in which some had more
-        rest = np.zeros(len(both), np.int64)
+        rest, where = np.zeros(len(both), np.int64), (chunk[crowd], p["place"][crowd].astype(np.int64))
         return pa.table(
             {
-                "a": np.concatenate([both[:, 0], p["u"][crowd]]), "b": np.concatenate([both[:, 1], p["u"][crowd]]), "_bucket": np.concatenate([rest, np.full(len(crowd), key[0].as_py())]), "_run": np.concatenate([rest - 1, run[crowd]]),
+                **{name: np.concatenate([both[:, i], where[i % 2]]) for i, name in enumerate(("ac", "ap", "bc", "bp"))}, "_bucket": np.concatenate([rest, np.full(len(crowd), key[0].as_py())]), "_run": np.concatenate([rest - 1, run[crowd]]),
                 "_n": np.concatenate([rest, p["n"][crowd]]), "_pos": np.concatenate([rest, p["pos"][crowd]]), "_asks": np.concatenate([rest > 0, more[crowd]]),
             }
         )
@@ -280,10 +286,11 @@ def _groups(stored: DataFrame, folder: str, shingle: int, least: float) -> tuple
         near = pairs.distinct().join(one, "a").join(two, "b").where(within).select("a", "ac", "ap", "b", "bc", "bp")
         return _verified(written(near, "near-pairs"), folder, shingle, least)
 
-    met = written(posts.groupBy("_bucket").applyInArrow(first_pairs, "a long, b long, _bucket long, _run long, _n long, _pos long, _asks boolean"), "met")
-    links_ = confirmed(met.where("_run < 0").select("a", "b"))
+    met = written(posts.groupBy("_bucket").applyInArrow(first_pairs, "ac long, ap long, bc long, bp long, _bucket long, _run long, _n long, _pos long, _asks boolean"), "met")
+    one, two = (firsts.select(F.col("chunk").alias(n + "c"), F.col("place").cast("long").alias(n + "p"), F.col("_u").alias("u" + n)) for n in ("a", "b"))
+    links_ = confirmed(met.where("_run < 0").select("ac", "ap", "bc", "bp").distinct().join(one, ["ac", "ap"]).join(two, ["bc", "bp"]).where("ua != ub").select(F.greatest("ua", "ub").alias("a"), F.least("ua", "ub").alias("b")))
     groups = connected_components(links_)
-    crowds = met.where("_run >= 0").select(F.col("a").alias("u"), "_bucket", "_run", "_n", "_pos", "_asks")
+    crowds = met.where("_run >= 0").join(one, ["ac", "ap"]).select(F.col("ua").alias("u"), "_bucket", "_run", "_n", "_pos", "_asks")
     if not crowds.isEmpty():
         labelled = crowds.join(groups, F.col("u") == F.col("node"), "left").select("u", "_bucket", "_run", "_n", "_pos", "_asks", F.coalesce("component", "u").alias("_label"))
         others = labelled.groupBy("_bucket", "_run").applyInArrow(other_pairs, "a long, b long")

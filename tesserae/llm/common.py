@@ -65,9 +65,9 @@ def made() -> int:
     return len(_written)
 
 
-def left_since(before: int) -> list[str]:
-    """The folders that were made since there were so many."""
-    return [path for _, path in _written[before:]]
+def forget(before: int, *labels: str) -> None:
+    """Removes the folders of these labels that were made since there were so many: what an operator needs no more once its last table is written."""
+    release(paths=[path for _, path in _written[before:] if path.rsplit("/", 1)[-1].rsplit("-", 1)[0] in labels])
 
 
 def release(kept: int = 0, paths: list[str] | None = None) -> None:

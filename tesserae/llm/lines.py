@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from . import prefixes as P
 from . import words as W
-from .common import chunks_of, col, get_rows, make_folder, new_folder, put_rows, table, written
+from .common import chunks_of, col, forget, get_rows, made, make_folder, new_folder, put_rows, table, written
 
 #: Similarity from which two lines are alike, and rows of a token that meet in one group before they are dealt over several.
 LEAST, RUN = 0.8, 20_000
@@ -49,6 +49,24 @@ class Buffer:
         fresh[1:] = (line[1:] != line[:-1]) | (token[1:] != token[:-1])
         return line[fresh], token[fresh]
 
+    def sets(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(places, k1, k2, tokens): the lines with words; the keys of their word sets, of two hashes of whole words, which do not share a bit; and the tokens of all lines."""
+        starts, ends = W.buffer_spans(self.data)
+        each = np.diff(np.searchsorted(starts, self.newline), prepend=0)
+        line = np.repeat(np.arange(len(each)), each)
+        h, g = (W.quick_hashes(self.data, starts, ends, other) for other in (False, True))
+        order = np.concatenate([np.zeros(0, np.int64), *(a + np.argsort(((line[a:b] - base).astype(np.uint64) << np.uint64(40)) | (h[a:b] >> np.uint64(24))) for base in range(0, len(each), _LINES) for a, b in [np.searchsorted(line, (base, base + _LINES))])])
+        h, g = h[order], g[order]
+        new = np.ones(len(line), bool)
+        new[1:] = line[1:] != line[:-1]
+        fresh = new.copy()
+        fresh[1:] |= (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+        counted = new.copy()
+        counted[1:] |= h[1:] >> np.uint64(24) != h[:-1] >> np.uint64(24)
+        at, _ = _runs(line[fresh])
+        k1, k2 = (np.add.reduceat(W.mix(x[fresh] ^ np.uint64(s << 40)), at).view(np.int64) if len(at) else np.zeros(0, np.int64) for x, s in ((h, 0x51ED27), (g, 0xA5A5A5)))
+        return line[fresh][at], k1, k2, h[counted] >> np.uint64(24)
+
 
 def _in_order(line: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorts the codes of 40 bits within each line; lines ascend."""
@@ -91,13 +109,10 @@ def _stored(docs: DataFrame, folder: str) -> DataFrame:
         rows = rows.take(pc.sort_indices(rows, sort_keys=[("_id", "ascending"), ("_tie", "ascending")], null_placement="at_start"))
         put_rows(folder, f"{chunk}.arrow", rows)
         buffer = Buffer(rows["_text"])
-        line, token = buffer.tokens()
+        place, k1, k2, token = buffer.sets()
         counter.add(token >> np.uint64(40 - P.SLOT_BITS))
-        at, _ = _runs(line)
-        place = line[at]
-        k1, k2 = (np.add.reduceat(W.mix(token ^ np.uint64(s << 40)), at).view(np.int64) if len(at) else np.zeros(0, np.int64) for s in (0x51ED27, 0xA5A5A5))
         order = np.lexsort((place, k2, k1))
-        again = np.zeros(len(at), bool)
+        again = np.zeros(len(place), bool)
         again[order[1:]] = (k1[order[1:]] == k1[order[:-1]]) & (k2[order[1:]] == k2[order[:-1]])
         yield _rows(1, chunk=[chunk], gone=[place[again].astype("<u4").tobytes()], size=[len(buffer.data)])
         doc = pa.array(np.searchsorted(buffer.first, place[~again], "right") - 1)
@@ -240,11 +255,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     repeated row only the first keeps its lines; an empty table gives an empty one; other columns are ignored.
 
     The texts are written once into chunk files of the shared folder, and only sets, prefixes and lines to compare are shuffled.
-    Equal sets are merged before they are compared. A token's rows beyond RUN are dealt over groups of two blocks each. Of its
+    Equal sets are merged before they are compared, by two independent 64-bit hashes of their whole words: two different lines share both by
+    chance once in 10^38 pairs, and no words of up to eight bytes and one length do. All other removals are verified on the words. A line of which two
+    words share the 40 bits of a token may keep its place beside one that it resembles. A token's rows beyond RUN are dealt over groups of two blocks each. Of its
     candidates a line is first compared with the nearest, then, if that is not alike, with all others; a row that left a long run
     early, and found none alike, meets the whole run.
     """
     spark = docs.sparkSession
+    before = made()
     folder = new_folder(spark, "line-chunks")
     make_folder(folder)
     text = F.coalesce(col(text_col), F.lit(""))
@@ -290,7 +308,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         crowds = crowds.join(crowds.where("asks").select("bucket", "run").distinct(), ["bucket", "run"], "left_semi")
         rest = rest.unionByName(crowds.groupBy("bucket", "run").applyInArrow(_more, "yc long, yp int, xc long, xp int")).distinct()
         similar = similar.unionByName(_confirmed(written(rest, "line-rest"), folder))
-    alike = similar.groupBy(F.col("yc").alias("chunk")).agg(F.collect_list("yp").alias("alike"))
+    alike = written(similar.groupBy(F.col("yc").alias("chunk")).agg(F.collect_list("yp").alias("alike")), "line-alike")
+    chunks = written(chunks, "line-left")
+    forget(before, "line-sets", "line-met", "line-nearest", "similar-lines", "line-waiting", "line-rest")
 
     def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import col, table
+from .common import col, table, written
 
 #: Rows of the fit's sample, rows of a block, queries of a group.
 SAMPLE, BLOCK_ROWS, GROUP_QUERIES = 4096, 8192, 20_000
@@ -137,7 +137,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
 
     Two tables of p-stable functions, fitted on a sample of up to 4096 rows, hash every row. A query visits each table's cells in
     the order of their estimated success, until it adds up to what found 97 % of the neighbours within the sample, and the
-    candidates of both tables are ranked by exact distance. Rows are dealt in blocks of about 8192, crowded cells over several.
+    candidates of both tables are ranked by exact distance. A query that found fewer than k in its cells is compared with all rows. Rows are dealt in blocks of about 8192, crowded cells over several.
 
     Distance is in double precision on the original vectors, ties go to the smaller id, and a query's own id is no candidate. Of
     equal vectors only the k + 1 smallest ids are indexed, as no other can be among the nearest. Vectors that are null, all zero,
@@ -177,28 +177,40 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
             block, filled, before = block + (filled > 0), 0, cell // index.per_table
         first[cell], salts[cell] = block, n
         block, filled = (block + n, 0) if n > 1 else (block, filled + held[cell])
-    groups = -(-n_queries // GROUP_QUERIES)
-
-    def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cell, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            where = pa.array([first[c] + (i * 2654435761 >> 16) % salts[c] for c, i in zip(cell, ids, strict=True)], pa.int64())
-            for g in range(groups):
-                yield pa.RecordBatch.from_arrays([where, pa.array([g] * len(ids), pa.int64()), *batch.columns], ["_block", "_group", "_cell", "_id", "_v"])
-
-    def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple] = []
-            for ident, v in zip(batch.column(0).to_pylist(), _matrix(batch.column(1), size), strict=True):
-                to: dict[int, list[int]] = {}
-                for c in index.visited(v).tolist():
-                    if c in first:
-                        for b in range(first[c], first[c] + salts[c]):
-                            to.setdefault(b, []).append(c)
-                out += [(b, ident % groups, ident, v, np.array(cells, "<i4").tobytes()) for b, cells in to.items()]
-            for a in range(0, len(out), 1000):
-                b, g, i, v, c = zip(*out[a : a + 1000], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(g, pa.int64()), pa.array(i, pa.int64()), pa.array(list(v), pa.list_(pa.float64())), pa.array(c, pa.binary())], ["_at", "_of", "_query", "_q", "_cells"])
+    def searched(asked: DataFrame, n: int, everywhere: bool) -> DataFrame:
+        """(query_id, vec_id, score): what the queries find in the cells that they visit, or among all rows, which are all in the first table."""
+        groups = -(-n // GROUP_QUERIES)
+        all_cells = np.arange(index.per_table)
+        left = in_cells.where(F.col("_cell") < index.per_table) if everywhere else in_cells
+        left = left.mapInArrow(to_blocks(groups), "_block long, _group long, _cell long, _id long, _v array<double>")
+        right = asked.mapInArrow(probes(groups, (lambda v: all_cells) if everywhere else index.visited), "_at long, _of long, _query long, _q array<double>, _cells binary")
+        return left.groupBy("_block", "_group").cogroup(right.groupBy("_at", "_of")).applyInArrow(search, "query_id long, vec_id long, score double")
+
+    def to_blocks(groups: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                cell, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                where = pa.array([first[c] + (i * 2654435761 >> 16) % salts[c] for c, i in zip(cell, ids, strict=True)], pa.int64())
+                for g in range(groups):
+                    yield pa.RecordBatch.from_arrays([where, pa.array([g] * len(ids), pa.int64()), *batch.columns], ["_block", "_group", "_cell", "_id", "_v"])
+
+        return run
+
+    def probes(groups: int, visited):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for ident, v in zip(batch.column(0).to_pylist(), _matrix(batch.column(1), size), strict=True):
+                    to: dict[int, list[int]] = {}
+                    for c in visited(v).tolist():
+                        if c in first:
+                            for b in range(first[c], first[c] + salts[c]):
+                                to.setdefault(b, []).append(c)
+                    out = [(b, ident % groups, ident, v, np.array(cells, "<i4").tobytes()) for b, cells in to.items()]
+                    for a in range(0, len(out), 1000):
+                        b, g, i, q, c = zip(*out[a : a + 1000], strict=True)
+                        yield pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(g, pa.int64()), pa.array(i, pa.int64()), pa.array(list(q), pa.list_(pa.float64())), pa.array(c, pa.binary())], ["_at", "_of", "_query", "_q", "_cells"])
+
+        return run
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         found = []
@@ -208,9 +220,12 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
         q, v, s = zip(*found, strict=True) if found else ((), (), ())
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.float64())})
 
-    left = in_cells.mapInArrow(to_blocks, "_block long, _group long, _cell long, _id long, _v array<double>")
-    right = plain(queries).mapInArrow(probes, "_at long, _of long, _query long, _q array<double>, _cells binary")
-    found = left.groupBy("_block", "_group").cogroup(right.groupBy("_at", "_of")).applyInArrow(search, "query_id long, vec_id long, score double")
+    found = written(searched(plain(queries), n_queries, False), "found")
+    enough = found.groupBy("query_id").agg(F.count_distinct("vec_id").alias("_n")).where(F.col("_n") >= k)
+    short = written(plain(queries).join(enough, F.col("_id") == F.col("query_id"), "left_anti"), "short-lists")
+    n_short = short.count()
+    if n_short:
+        found = found.unionByName(searched(short, n_short, True))
     best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

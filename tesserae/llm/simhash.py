@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
 from . import prefixes as P
-from .common import chunks_of, col, get_rows, make_folder, new_folder, put_rows, table, written
+from .common import chunks_of, col, forget, get_rows, made, make_folder, new_folder, put_rows, table, written
 from .components import connected_components
 from .words import buffer_spans, joined, mix, quick_hashes
 
@@ -327,7 +327,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     The columns of docs, whatever their names. Of rows that are equal in id and text one stays; a null text counts as an empty one and
     stays null where its row does; an empty table gives an empty one.
     """
-    spark = docs.sparkSession
+    spark, before = docs.sparkSession, made()
     folder = new_folder(spark, "text-chunks")
     make_folder(folder)
     keyed = _keyed(docs, id_col, text_col)
@@ -336,6 +336,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = own.groupBy("_group").agg(F.min(F.struct("_rank", "chunk", "place")).alias("_best")).select("_best.*")
     work = written(best.groupBy("chunk").agg(F.sort_array(F.collect_list("place")).alias("places")), "kept")
     rest = keyed.schema["_rest"]
+    forget(before, "text-places", "different-texts", "met", "near-pairs", "links", "edges")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -54,10 +54,11 @@ def buffer_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[::2], at[1::2]
 
 
-def quick_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The hash of data[s:e] for each span that is not empty, eight bytes at a time."""
+def quick_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: bool = False) -> np.ndarray:
+    """The hash of data[s:e] for each span that is not empty, eight bytes at a time; or another such hash. Spans of up to eight bytes and one length never share one."""
     if not len(starts):
         return np.zeros(0, np.uint64)
+    first, step, shift = (_M2, _GOLD, np.uint64(27)) if other else (_GOLD, _M1, np.uint64(31))
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     eight = np.ndarray((len(data) + 1,), "<u8", padded.data, 0, (1,))  # from each byte on
     n = ends - starts
@@ -66,12 +67,12 @@ def quick_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     def part(at: np.ndarray, left: np.ndarray) -> np.ndarray:
         return eight[at] & (np.uint64(2**64 - 1) >> (np.uint64(8) * (np.uint64(8) - np.minimum(left, np.uint64(8)))))
 
-    h = part(starts, size) * _GOLD + size
+    h = part(starts, size) * first + size
     h ^= h >> np.uint64(29)
     live, done = np.flatnonzero(n > 8), 8
     while len(live):
-        x = (h[live] ^ part(starts[live] + done, size[live] - np.uint64(done))) * _M1
-        h[live] = x ^ (x >> np.uint64(31))
+        x = (h[live] ^ part(starts[live] + done, size[live] - np.uint64(done))) * step
+        h[live] = x ^ (x >> shift)
         done += 8
         live = live[n[live] > done]
     return mix(h)
@@ -88,12 +89,3 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1
 def joined(left: np.ndarray, right: np.ndarray, salt: int) -> np.ndarray:
     """The hash of two hashes, in their order."""
     return mix(left * _M1 + (right ^ (right >> np.uint64(29))) * _GOLD + np.uint64(salt))
-
-
-def newline_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each line begins and the document of each: a document has one line more than it has newlines, an empty one has one."""
-    cuts = np.flatnonzero(data == 10) + 1
-    starts = np.concatenate([offsets[:-1], cuts])
-    docs = np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, cuts - 1, "right") - 1])
-    order = np.lexsort((starts, docs))
-    return starts[order], docs[order]

@@ -181,6 +181,42 @@ def test_neighbours(spark, monkeypatch):
     assert neighbours.nearest(df.limit(0), df).collect() == []
 
 
+def exact(rows, queries, k):
+    out = []
+    for q, v in queries:
+        d = sorted((float(np.sqrt(((np.array(x) - np.array(v)) ** 2).sum())), i) for i, x in rows if i != q)
+        out += [(q, r + 1, i) for r, (_, i) in enumerate(d[:k])]
+    return sorted(out)
+
+
+def test_every_query_gets_as_many_neighbours_as_there_are(spark):
+    schema = "vec_id long, embedding array<double>"
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(e) for e in v]) for i, v in enumerate(rng.normal(size=(7, 8)))]
+    df = spark.createDataFrame(rows, schema)
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.nearest(df, df).collect()) == exact(rows, rows, 10)
+    near = rng.normal(size=(3000, 8))
+    far = rng.normal(size=(30, 8)) * 40 + rng.choice([-300, 300], (30, 8))
+    rows = [(i, [float(e) for e in v]) for i, v in enumerate(np.concatenate([near, far]))]
+    df = spark.createDataFrame(rows, schema).repartition(4)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.nearest(df, df.where("vec_id % 20 = 0 or vec_id >= 3000")).collect())
+    want = exact(rows, [r for r in rows if r[0] % 20 == 0 or r[0] >= 3000], 10)
+    assert len(got) == len(want) and len(set(got) & set(want)) >= 0.9 * len(want)
+
+
+def test_stages_leave_each_other_and_the_session_alone(spark):
+    def docs(words):
+        return spark.createDataFrame([(i, f"{w} one two\nshared line of words\nanother {w}", "en", "s", 9) for i, w in enumerate(words)], "doc_id long, text string, lang string, source string, n_chars long")
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(name)
+    for stage in (corpus_pipeline.without_repeated_lines, corpus_pipeline.one_of_each_group):
+        one = stage(spark, docs(["abc", "def", "ghi"]), "")
+        two = stage(spark, docs(["xyz", "uvw"]), "")
+        assert two.count() == 2 and one.count() == 3 and one.where("doc_id = 0").count() == 1
+        assert spark.conf.get(name) == was
+
+
 def test_pipeline(spark, tmp_path):
     from ..conftest import SF
 

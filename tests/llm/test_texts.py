@@ -102,6 +102,13 @@ def test_line_dedup_of_many_near_lines(spark, monkeypatch):
     assert bag(map(tuple, got.collect())) == bag(line_rule(rows))
 
 
+def test_lines_whose_words_share_forty_bits_stay(spark):
+    given_ = ["x1428028", "x3772239", "x2924678", "x2866954", "x1428028", "a b c x1428028 x3772239", "a b c x3772239"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(given_)], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in lines.line_dedup(df).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 0, 4: 1, 5: 0, 6: 1}
+
+
 def test_line_dedup_of_equal_ids(spark):
     """Lines of equal ids are in the order of a hash of their texts, whichever row comes first."""
     texts = ["a b c d e\nu v w x y", "a b c d e f\nq", "a b c d e f g"]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from .closure import fold_closure, repoint
+from .closure import fold_closure, on_cycle, repoint
 
 
 def apply_merges(tables: dict[str, DataFrame], closed: DataFrame, keys: dict[str, list[str]]) -> dict[str, DataFrame]:
@@ -45,14 +45,7 @@ def review_pages(edges: DataFrame) -> DataFrame:
     """(frm, page): where a node's fold ends; a node on a cycle is its own page, one that leads into another's cycle has none."""
     closed = fold_closure(edges)
     stuck = edges.join(closed.select("frm"), "frm", "left_anti").select("frm", "dst")
-    # of what never ends, a cycle is what is left once all that nothing leads to is taken away, round by round
-    ring = stuck
-    while True:
-        less = ring.join(ring.select(F.col("dst").alias("frm")).distinct(), "frm", "left_semi")
-        before, after = ring.count(), less.count()
-        ring = less.checkpoint() if ring.sparkSession.sparkContext.getCheckpointDir() else less
-        if before == after:
-            break
+    ring = on_cycle(stuck)
     own = stuck.join(ring.select(F.col("frm").alias("_r")), F.col("frm") == F.col("_r"), "left")
     return closed.select("frm", F.col("root").alias("page")).unionByName(own.select("frm", F.when(F.col("_r").isNotNull(), F.col("frm")).alias("page")))
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -162,3 +163,39 @@ def test_merges(spark):
     got = G.apply_merges({"entities": entities, "relations": spark.createDataFrame([(1, 2), (3, 1), (2, 5)], "f long, t long")}, spark.createDataFrame([(2, 1), (3, 1)], "frm long, root long"), {"relations": ["f", "t"]})
     assert [tuple(r) for r in got["entities"].collect()] == [(1, "a", ["x", "b", "y", "a"])]
     assert [tuple(r) for r in got["relations"].collect()] == [(1, 5)]
+
+
+def test_names_in_other_names(spark):
+    """Against a plain version that looks through the people in their order; no nested loop."""
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("ab c") for _ in range(n))
+    people = [(i, rng.random(), word(rng.randint(1, 9)).replace(" ", "-"), word(rng.randint(0, 30)).title(), [word(4)] if i % 3 else None) for i in range(300)]
+    names = sorted({word(rng.randint(0, 16)) for _ in range(400)} | {"", "a", "Ab", people[0][3], people[1][2]})
+
+    def plain(raw):
+        k = raw.strip().lower()
+        order = sorted(people, key=lambda p: (p[1], p[0]))
+        if k:
+            for p in order:
+                if k in (p[2].lower(), p[3].lower().strip()) or k in [a.strip().lower() for a in p[4] or []]:
+                    return (raw, p[0], "exact")
+            for p in order:
+                if k in p[2] or k in p[3].lower():
+                    return (raw, p[0], "contains")
+        return (raw, None, None)
+
+    df = spark.createDataFrame(people, "id long, place double, slug string, name string, aliases array<string>")
+    got = R.exact_then_contains(spark.createDataFrame([(n,) for n in names], "raw string"), "raw", df, "id", "slug", "name", "place", "aliases")
+    assert sorted(map(tuple, got.collect())) == sorted(map(plain, names))
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString() and "Cartesian" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_long_tails_into_cycles_and_ends(spark):
+    tail = [(i, i + 1) for i in range(10_000)]
+    loop = [(10_000, 10_001), (10_001, 10_002), (10_002, 10_000)]
+    ends = [(20_000 + i, 20_001 + i) for i in range(3_000)]
+    edges = spark.createDataFrame(tail + loop + ends + [(50_000, 50_000)], "frm long, dst long")
+    pages = {r["frm"]: r["page"] for r in G.review_pages(edges).collect()}
+    assert all(pages[i] is None for i in range(10_000)) and all(pages[i] == i for i in (10_000, 10_001, 10_002, 50_000))
+    assert all(pages[20_000 + i] == 23_000 for i in range(3_000)) and len(pages) == 13_004
+    assert C.fold_closure(spark.createDataFrame([(1, 2), (2, 1), (3, 1)], "frm long, dst long")).collect() == []

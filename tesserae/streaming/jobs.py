@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.versions import VersionedTable
+
 
 JOB = "job string, source_id string, entity string, entities array<string>, origin_source_id string"
 
@@ -100,6 +102,19 @@ def settle_into(path: str, keys: list[str], order: list[str]) -> Callable[[DataF
     return work
 
 
+def settle_changes(table: VersionedTable, order: list[str]) -> Callable[[DataFrame, int], None]:
+    """A batch function as settle_into()'s for a table with one writer: a batch writes only the keys that it changes, and repeated writes nothing."""
+
+    def work(batch: DataFrame, number: int) -> None:
+        rest = [c for c in batch.columns if c not in table.keys]
+        new = batch.groupBy(*table.keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(*table.keys, "_r.*").persist()
+        known = lambda rows: rows.select(*table.keys, F.struct(*order).alias("_had"))
+        table.update(lambda rows: new.join(known(rows), table.keys, "left").where(F.col("_had").isNull() | (F.struct(*order) > F.col("_had"))).drop("_had"))
+        new.unpersist()
+
+    return work
+
+
 def windows(events: DataFrame, time: str, length: str, slide: str | None = None, late: str | None = None, *by: str) -> DataFrame:
     """Counts and sums over tumbling or sliding windows; with late, rows behind the watermark are dropped by a stream. An addition."""
     rows = events.withWatermark(time, late) if late else events

@@ -279,6 +279,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     repeated = sets.groupBy(F.col("k1").alias("_1"), F.col("k2").alias("_2")).agg(first, F.count(F.lit(1)).alias("n")).where("n > 1")
     others = sets.join(repeated, (F.col("k1") == F.col("_1")) & (F.col("k2") == F.col("_2"))).where((F.col("chunk") != F.col("first.chunk")) | (F.col("place") != F.col("first.place")))
     others = written(others.groupBy("chunk").agg(F.collect_list("place").alias("others")), "line-repeats")
+    chunks = written(chunks, "line-left")
+    forget(before, "line-sets")
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -296,6 +298,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     posts = chunks.join(others, "chunk", "left").repartition(tasks).mapInArrow(post, "_bucket long, _posts binary")
     met = written(posts.groupBy("_bucket").applyInArrow(_met, _MET_SQL), "line-met")
+    logs.destroy()
     pairs = met.where("run < 0").select("yc", "yp", "xc", "xp", "apart")
     nearest = pairs.groupBy("yc", "yp").agg(F.min(F.struct("apart", "xc", "xp")).alias("_x"))
     nearest = written(nearest.select("yc", "yp", F.col("_x.xc").alias("xc"), F.col("_x.xp").alias("xp")), "line-nearest")
@@ -309,8 +312,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         rest = rest.unionByName(crowds.groupBy("bucket", "run").applyInArrow(_more, "yc long, yp int, xc long, xp int")).distinct()
         similar = similar.unionByName(_confirmed(written(rest, "line-rest"), folder))
     alike = written(similar.groupBy(F.col("yc").alias("chunk")).agg(F.collect_list("yp").alias("alike")), "line-alike")
-    chunks = written(chunks, "line-left")
-    forget(before, "line-sets", "line-met", "line-nearest", "similar-lines", "line-waiting", "line-rest")
+    forget(before, "line-met", "line-nearest", "similar-lines", "line-waiting", "line-rest")
 
     def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

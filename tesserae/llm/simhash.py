@@ -287,6 +287,7 @@ def _groups(stored: DataFrame, folder: str, shingle: int, least: float) -> tuple
         return _verified(written(near, "near-pairs"), folder, shingle, least)
 
     met = written(posts.groupBy("_bucket").applyInArrow(first_pairs, "ac long, ap long, bc long, bp long, _bucket long, _run long, _n long, _pos long, _asks boolean"), "met")
+    logs.destroy()
     one, two = (firsts.select(F.col("chunk").alias(n + "c"), F.col("place").cast("long").alias(n + "p"), F.col("_u").alias("u" + n)) for n in ("a", "b"))
     links_ = confirmed(met.where("_run < 0").select("ac", "ap", "bc", "bp").distinct().join(one, ["ac", "ap"]).join(two, ["bc", "bp"]).where("ua != ub").select(F.greatest("ua", "ub").alias("a"), F.least("ua", "ub").alias("b")))
     groups = connected_components(links_)

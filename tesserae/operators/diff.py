@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def fingerprint(df: DataFrame, keys: list[str]) -> Column:
@@ -20,6 +23,42 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str], unchanged: bo
     return got if unchanged else got.where("state <> 'unchanged'")
 
 
+def leaves(schema: T.StructType, at: str = "") -> list[str]:
+    """The paths of a schema's fields, structs walked to any depth; arrays and maps are one field."""
+    out = []
+    for f in schema:
+        path = f"{at}`{f.name.replace('`', '``')}`"
+        out += leaves(f.dataType, f"{path}.") if isinstance(f.dataType, T.StructType) else [path]
+    return out
+
+
+def field_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, path, old and new: a row for each field that differs between two copies of a keyed table, headers as well as entries.
+
+    Structs are compared field by field, whichever of the copies has the field; a null, a missing field and a struct of nulls are alike. Values are
+    text, arrays and maps JSON. A key of one copy alone has one row, with the path * and the row as JSON on its side. Keys are null-safe: a
+    null key meets a null key. Keys that repeat are compared each with each.
+    """
+    paths = {p: None for t in (old, new) for p in leaves(T.StructType([f for f in t.schema if f.name not in keys]))}
+    text = lambda t, p: _text_of(t, p) if p in have[id(t)] else F.lit(None).cast("string")
+    have = {id(t): set(leaves(t.schema)) for t in (old, new)}
+    row = lambda t: F.to_json(F.struct(*[F.col(f"`{c}`") for c in t.columns if c not in keys]))
+    a = old.select(*[F.col(f"`{k}`").alias(f"_a{i}") for i, k in enumerate(keys)], F.array(*[text(old, p) for p in paths]).alias("_a"), row(old).alias("_old"), F.lit(True).alias("_ina"))
+    b = new.select(*[F.col(f"`{k}`").alias(f"_b{i}") for i, k in enumerate(keys)], F.array(*[text(new, p) for p in paths]).alias("_b"), row(new).alias("_new"), F.lit(True).alias("_inb"))
+    on = [F.col(f"_a{i}").eqNullSafe(F.col(f"_b{i}")) for i in range(len(keys))]
+    names = F.array(*[F.lit(p.replace("`", "")) for p in paths])
+    each = F.zip_with(names, F.arrays_zip("_a", "_b"), lambda n, v: F.struct(n.alias("path"), v["_a"].alias("old"), v["_b"].alias("new")))
+    alone = F.array(F.struct(F.lit("*").alias("path"), F.col("_old").alias("old"), F.col("_new").alias("new")))
+    both = F.col("_ina").isNotNull() & F.col("_inb").isNotNull()
+    rows = a.join(b, on, "full_outer").withColumn("_f", F.explode(F.when(both, F.filter(each, lambda f: ~f["old"].eqNullSafe(f["new"]))).otherwise(alone)))
+    return rows.select(*[F.coalesce(f"_a{i}", f"_b{i}").alias(k) for i, k in enumerate(keys)], "_f.path", "_f.old", "_f.new")
+
+
+def _text_of(t: DataFrame, path: str) -> Column:
+    kind = t.select(F.col(path)).schema[0].dataType
+    return F.to_json(F.col(path)) if isinstance(kind, (T.ArrayType, T.MapType)) else F.col(path).cast("string")
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """old with the rows of new in place of those with the same keys."""
     return old.join(new.select(*keys), keys, "left_anti").unionByName(new, allowMissingColumns=True)
@@ -81,18 +120,24 @@ def written_by_us(revisions: Column, definition: Column, context: Column) -> Col
     return F.coalesce(F.exists(revisions, lambda r: (r["by"] == "llm") & (F.coalesce(r["definition"], F.lit("")) == definition) & (F.coalesce(r["context"], F.lit("")) == context)), F.lit(False))
 
 
-def page_as_base(state: DataFrame, pages: DataFrame, at: str) -> DataFrame:
+def page_as_base(state: DataFrame, pages: DataFrame, at: str, version: str | None = None, normalise: Callable[[Column], Column] | None = None) -> DataFrame:
     """state with the texts of pages (slug, definition, context) that no revision by llm has: an edit by a person, taken as text and as a revision by page.
 
-    A page without an entry, without text, or whose text a person's revision already holds last, changes nothing.
+    A page with text and without an entry gets one of the version, with that revision and nothing integrated. Texts are compared as normalise makes
+    them, on both sides, where it is given: a link that was repaired since is no edit. A page without text, or whose text a person's revision already
+    holds last, changes nothing; nor do entries without a page.
     """
-    p = pages.select("slug", F.coalesce("definition", F.lit("")).alias("_d"), F.coalesce("context", F.lit("")).alias("_c"))
-    rows = state.join(p, "slug", "left")
+    same_form = normalise or (lambda c: c)
+    p = pages.where("slug is not null").groupBy("slug").agg(F.first(F.struct("definition", "context")).alias("_p")).select("slug", F.coalesce("_p.definition", F.lit("")).alias("_d"), F.coalesce("_p.context", F.lit("")).alias("_c"))
+    rows = state.withColumn("_had", F.lit(True)).join(p, "slug", "full_outer")
+    d, c = same_form(F.col("_d")), same_form(F.col("_c"))
+    ours = F.coalesce(F.exists("revisions", lambda r: (r["by"] == "llm") & (same_form(F.coalesce(r["definition"], F.lit(""))) == d) & (same_form(F.coalesce(r["context"], F.lit(""))) == c)), F.lit(False))
     same = (F.coalesce("definition", F.lit("")) == F.col("_d")) & (F.coalesce("context", F.lit("")) == F.col("_c"))
-    edited = F.coalesce((F.col("_d") != "") | (F.col("_c") != ""), F.lit(False)) & ~written_by_us(F.col("revisions"), F.col("_d"), F.col("_c")) & ~(human_chosen(F.col("revisions")) & same)
-    entry = _by_page(at, F.col("_d"), F.col("_c"))
-    kept = [F.when(edited, F.col(f"_{c[0]}")).otherwise(F.col(c)).alias(c) if c in ("definition", "context") else F.when(edited, F.array_append("revisions", entry)).otherwise(F.col(c)).alias(c) if c == "revisions" else F.col(c) for c in state.columns]
-    return rows.select(*kept)
+    edited = F.coalesce((F.col("_d") != "") | (F.col("_c") != ""), F.lit(False)) & ~ours & ~(human_chosen(F.col("revisions")) & same)
+    history = F.coalesce("revisions", F.array().cast(state.schema["revisions"].dataType))
+    new = {"definition": F.col("_d"), "context": F.col("_c"), "revisions": F.array_append(history, _by_page(at, F.col("_d"), F.col("_c"))), "integrated": F.coalesce("integrated", F.array().cast("array<string>")), "version": F.coalesce("version", F.lit(version).cast("string"))}
+    rows = rows.where(F.col("_had") | edited)
+    return rows.select(*[F.when(edited, new[n]).otherwise(F.col(n)).alias(n) if n in new else F.col(n) for n in state.columns])
 
 
 def _by_page(at: str, definition: Column, context: Column) -> Column:

@@ -199,3 +199,43 @@ def test_long_tails_into_cycles_and_ends(spark):
     assert all(pages[i] is None for i in range(10_000)) and all(pages[i] == i for i in (10_000, 10_001, 10_002, 50_000))
     assert all(pages[20_000 + i] == 23_000 for i in range(3_000)) and len(pages) == 13_004
     assert C.fold_closure(spark.createDataFrame([(1, 2), (2, 1), (3, 1)], "frm long, dst long")).collect() == []
+
+
+def test_field_differences(spark):
+    a = spark.createDataFrame([(1, ("x", (1, None)), [1], "old"), (2, ("y", (2, "b")), None, "same"), (None, ("n", (0, "n")), [], "m"), (4, None, None, None)], "k int, h struct<n: string, in: struct<i: int, s: string>>, l array<int>, v string")
+    b = spark.createDataFrame([(1, ("x", (2, None)), [1, 2], "old"), (2, ("y", (2, "b")), None, "same"), (None, ("n", (0, "n")), [], "z"), (5, None, None, None)], "k int, h struct<n: string, in: struct<i: int, more: string>>, l array<int>, v string")
+    got = {(r["k"], r["path"], r["old"], r["new"]) for r in D.field_diff(a, b, ["k"]).collect()}
+    assert got == {(1, "h.in.i", "1", "2"), (1, "l", "[1]", "[1,2]"), (2, "h.in.s", "b", None), (2, "h.in.more", None, "b"), (None, "h.in.s", "n", None), (None, "h.in.more", None, "n"), (None, "v", "m", "z"), (4, "*", "{}", None), (5, "*", None, "{}")}
+    assert D.field_diff(a, a, ["k"]).collect() == [] and D.field_diff(a.limit(0), a.limit(0), ["k"]).collect() == []
+
+
+def test_a_page_without_an_entry_becomes_one(spark):
+    state = spark.createDataFrame([("a", "1", "m", "d", "Ours [[x]].", "", ["k"], [("llm", "d", "m", 1, "Ours [[x]].", "")])], D.PROSE)
+    pages = spark.createDataFrame([("a", "Ours [[c/x]].", ""), ("new", "Typed.", None), ("empty", "", None), (None, "nobody", "")], "slug string, definition string, context string")
+    got = {r["slug"]: r for r in D.page_as_base(state, pages, "2", "1").collect()}
+    assert set(got) == {"a", "new"} and got["new"]["version"] == "1" and got["new"]["integrated"] == [] and [r["by"] for r in got["new"]["revisions"]] == ["page"]
+    assert got["a"]["definition"] == "Ours [[c/x]]."  # an edit, as long as links are not brought into one form
+    form = lambda c: F.regexp_replace(c, r"\[\[c/", "[[")
+    same = {r["slug"]: r for r in D.page_as_base(state, pages, "2", "1", form).collect()}
+    assert same["a"]["definition"] == "Ours [[x]]." and len(same["a"]["revisions"]) == 1
+
+
+def test_links_are_led_to_pages_by_joins(spark):
+    from tesserae.operators import links as L
+
+    rows = spark.createDataFrame([("p", "[[a]] [[c/a|A]] [[gone-now]] [[old/b#top|B]] [[none|Label]]", "no link"), ("q", None, "[[a]]"), (None, "[[a]]", "")], "slug string, d string, c string")
+    catalog = spark.createDataFrame([("a", "c/a.md"), ("b", "t/b"), ("a", "z/a"), (None, "x"), ("y", None)], "slug string, path string")
+    got = {r["slug"]: (r["d"], r["c"]) for r in L.repair_links(rows, ["d", "c"], catalog).collect()}
+    assert got == {"p": ("[[c/a]] [[c/a|A]] gone now [[t/b#top|B]] Label", "no link"), "q": (None, "[[c/a]]"), None: ("a", "")}
+    facets = spark.createDataFrame([("r", "f1", "Limits", "Own. More.", 1, 0), ("r", "f2", "Depth", None, 2, 1)], "root string, slug string, name string, overview string, pos int, depth int")
+    prose = spark.createDataFrame([("f2", "1", "See [[a]] first. Then.")], "slug string, version string, definition string")
+    assert rows_of(L.details(facets, prose, catalog, "1")) == [("r", 1, "Limits", "Own.", 0), ("r", 2, "Depth", "See [[c/a]] first.", 1)]
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_catalog_in_its_order(spark):
+    cat = spark.createDataFrame([(0, 1, "a", ["Old Name"]), (1, 2, "b", ["Shared", None, ""]), (2, 3, "a", ["Shared", "third"])], "o int, id long, slug string, aliases array<string>")
+    assert rows_of(R.catalog_keys(cat, "id", "slug", "aliases", "o")) == [("a", 3, 0), ("b", 2, 0), ("shared", 3, 1), ("third", 3, 1)]

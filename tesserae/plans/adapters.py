@@ -87,3 +87,15 @@ FOLDS = """(SELECT * FROM (SELECT p_partkey AS frm, CAST(CASE WHEN p_partkey IN
   p_size % 2 = 0 AS listed FROM part) WHERE dst IS NOT NULL AND dst <> frm)"""
 CLOSURE = f"""walk AS (SELECT frm, dst AS ptr, 1 AS hops FROM {FOLDS} UNION ALL SELECT w.frm, f.dst, w.hops + 1 FROM walk w JOIN {FOLDS} f ON w.ptr = f.frm WHERE w.hops < 64),
 closed AS (SELECT frm, ptr AS root, hops FROM walk WHERE ptr NOT IN (SELECT frm FROM {FOLDS}))"""
+
+
+def page_sql(title: str, facts: dict[str, str], sections: dict[str, str]) -> str:
+    """The text of a page as SQL; sections are strings of lines, or null where there are none."""
+    head = " || ".join(f"'{k}: ' || {v} || chr(10)" for k, v in facts.items())
+    parts = " || ".join(f"coalesce(chr(10) || chr(10) || '## {n}' || chr(10) || chr(10) || {c}, '')" for n, c in sections.items())
+    return f"'---' || chr(10) || {head} || '---' || chr(10) || chr(10) || '# ' || {title} || {parts} || chr(10)"
+
+
+def lines_sql(line: str, order: str, where: str = "true") -> str:
+    """Lines of a list in an order, of the rows of a group that a condition holds for."""
+    return f"string_agg('- ' || {line}, chr(10) ORDER BY {order}) FILTER ({where})"

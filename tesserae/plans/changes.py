@@ -10,7 +10,7 @@ from ..operators import passes
 from ..operators import settle as S
 from ..streaming import jobs as J
 from . import adapters as A
-from .measures import _credited
+from .measures import CREDITED, _credited
 from .registry import query
 
 _NEW = "(SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS status FROM orders WHERE o_orderkey % 11 <> 3 UNION ALL SELECT -o_orderkey - 1, o_orderstatus FROM orders WHERE o_orderkey % 50 = 1)"
@@ -95,7 +95,12 @@ def page_documents(spark, d):
     return _pages(spark, d)
 
 
-@query()
+@query(f"""WITH o AS {A.OVERLAY}, t AS (SELECT entity, {A.lines_sql("key", "position, key", "kind = 'taught'")} AS taught, {A.lines_sql("key", "day, key", "kind = 'mistake'")} AS wrong FROM {A.STATEMENTS} t LEFT JOIN {A.SOURCES} s ON s.id = t.source GROUP BY entity),
+w AS (SELECT entity, {A.lines_sql("s_name", "s_name")} AS who FROM (SELECT DISTINCT entity, credited, s_name FROM {CREDITED} JOIN supplier ON s_suppkey = credited) GROUP BY entity),
+m AS (SELECT subj, {A.lines_sql("'[[' || tgt || ']] (' || n || ')'", "n DESC, tgt")} AS mentions FROM o GROUP BY subj),
+r AS (SELECT tgt, {A.lines_sql("'[[' || subj || ']] (' || n || ')'", "n DESC, subj")} AS refs FROM o GROUP BY tgt HAVING count(*) <= 25)
+SELECT kind || '/' || slug || '.md' AS path, {A.page_sql("name", {"kind": "kind", "slug": "slug"}, {"Statements": "taught", "Mistakes": "wrong", "Taught by": "who", "Mentions": "mentions", "Referenced by": "refs"})} AS text
+FROM {A.ENTITIES} x LEFT JOIN t ON t.entity = x.id LEFT JOIN w ON w.entity = x.id LEFT JOIN m ON m.subj = x.id LEFT JOIN r ON r.tgt = x.id""")
 def markdown_pages(spark, d):
     p = _pages(spark, d)
     line = lambda c, name: F.transform(c, lambda s: F.concat(F.lit("- "), s[name].cast("string")))

@@ -43,7 +43,9 @@ def _source_pages(spark, d):
     return _page(got, "sources", "id", "session", {"date": F.col("day"), "public": F.col("public")}, {"Taught": _lines("taught", "slug", "key"), "Mistakes": _lines("mistakes", "slug", "key")})
 
 
-@query()
+@query(f"""WITH t AS (SELECT source, t.kind, entity, position, key, slug FROM {A.STATEMENTS} t JOIN {A.ENTITIES} x ON x.id = entity),
+l AS (SELECT source, {A.lines_sql("slug || ' ' || key", "entity, position, key", "kind = 'taught'")} AS taught, {A.lines_sql("slug || ' ' || key", "entity, position, key", "kind = 'mistake'")} AS wrong FROM t GROUP BY source)
+SELECT 'sources/' || id || '.md' AS path, {A.page_sql("session", {"date": "CAST(day AS VARCHAR)", "public": "CAST(public AS VARCHAR)"}, {"Taught": "taught", "Mistakes": "wrong"})} AS text FROM {A.SOURCES} LEFT JOIN l ON source = id""")
 def source_pages(spark, d):
     return _source_pages(spark, d)
 
@@ -66,7 +68,13 @@ def _instructor_pages(spark, d):
     return _page(got, "instructors", "credited", "s_name", {"sources": F.col("seen_count")}, {**{k.title(): _lines(k, "slug") for k in ("concept", "technique", "pattern", "drill")}, "Sources": _lines("seen", "day", "source")})
 
 
-@query()
+_KIND_LINES = ", ".join(A.lines_sql("slug", "lower(slug), slug", f"kind = '{k}'") + f" AS {k}" for k in ("concept", "technique", "pattern", "drill"))
+
+
+@query(f"""WITH c AS (SELECT credited, entity, source FROM {CREDITED}), k AS (SELECT credited, {_KIND_LINES} FROM (SELECT DISTINCT credited, slug, x.kind FROM c JOIN {A.ENTITIES} x ON x.id = entity) GROUP BY credited),
+w AS (SELECT credited, count(*) AS n, {A.lines_sql("day || ' ' || source", "day, source")} AS seen FROM (SELECT DISTINCT credited, source, CAST(day AS VARCHAR) AS day FROM c JOIN {A.SOURCES} s ON s.id = source) GROUP BY credited)
+SELECT 'instructors/' || s_suppkey || '.md' AS path, {A.page_sql("s_name", {"sources": "coalesce(n, 0)"}, {"Concept": "concept", "Technique": "technique", "Pattern": "pattern", "Drill": "drill", "Sources": "seen"})} AS text
+FROM supplier LEFT JOIN k ON k.credited = s_suppkey LEFT JOIN w ON w.credited = s_suppkey""")
 def instructor_pages(spark, d):
     return _instructor_pages(spark, d)
 
@@ -96,7 +104,10 @@ def _view_pages(spark, d):
     return _page(P.assemble(pages, "view", [seen]), "views", "view", "view", {"sources": F.col("seen_count")}, {"Sources": _lines("seen", "text", "source")})
 
 
-@query()
+@query(f"""WITH v AS (SELECT ['urgent', 'high', 'building-high'][n + 1] AS view, o_orderkey AS source, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders JOIN customer ON c_custkey = o_custkey, (SELECT unnest([0, 1, 2]) AS n)
+  WHERE contains(lower(o_orderpriority), CASE n WHEN 0 THEN 'urgent' ELSE 'high' END) AND (n < 2 OR contains(lower(c_mktsegment), 'building'))),
+l AS (SELECT view, count(*) AS n, {A.lines_sql("day || ' ' || source", "day, source")} AS seen FROM v GROUP BY view)
+SELECT 'views/' || x.view || '.md' AS path, {A.page_sql("x.view", {"sources": "coalesce(n, 0)"}, {"Sources": "seen"})} AS text FROM (SELECT unnest(['urgent', 'high', 'building-high']) AS view) x LEFT JOIN l ON l.view = x.view""")
 def view_pages(spark, d):
     return _view_pages(spark, d)
 

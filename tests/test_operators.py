@@ -239,3 +239,17 @@ def rows_of(df):
 def test_catalog_in_its_order(spark):
     cat = spark.createDataFrame([(0, 1, "a", ["Old Name"]), (1, 2, "b", ["Shared", None, ""]), (2, 3, "a", ["Shared", "third"])], "o int, id long, slug string, aliases array<string>")
     assert rows_of(R.catalog_keys(cat, "id", "slug", "aliases", "o")) == [("a", 3, 0), ("b", 2, 0), ("shared", 3, 1), ("third", 3, 1)]
+
+
+def test_look_up_of_keys_that_most_rows_share(spark):
+    """A key of half the rows, one that is null and many seldom ones come out as by a plain join, and no task is dealt all rows of one key."""
+    rows = spark.range(6000).select("id", F.when(F.col("id") % 2 == 0, F.lit("often")).when(F.col("id") % 3 != 0, F.col("id").cast("string")).alias("k"))
+    known = rows.where("k is not null").select("k", F.length("k").alias("n")).distinct().where("k not like '%7'")
+    got = G.look_up(rows, ["k"], lambda keys: keys.join(known, "k"))
+    assert got.columns == ["id", "k", "n"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.join(known, "k", "left").select("id", "k", "n").collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_deal" in plan and "BroadcastHashJoin" in plan
+    few = G.look_up(rows.where("k = 'often'"), ["k"], lambda keys: keys.join(known, "k"))
+    assert few.where("n = 5").count() == 3000 and "SortMergeJoin" not in few._jdf.queryExecution().executedPlan().toString()
+    assert G.look_up(rows.limit(0), ["k"], lambda keys: keys.join(known, "k")).collect() == []

@@ -52,7 +52,7 @@ k AS (SELECT id, a, i, row_number() OVER (PARTITION BY id, lower(a) ORDER BY i)
 SELECT p_partkey AS id, (SELECT string_agg(a, ',' ORDER BY i) FROM k WHERE k.id = p_partkey AND rn = 1) AS aliases FROM part""")
 def alias_display(spark, d):
     """Of a part's names in several spellings those that are to be shown."""
-    p = A.table(spark, d, "part")
+    p = A.table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_brand").repartition(4 * spark.sparkContext.defaultParallelism)  # the work is in the rows, of which few bytes hold many
     given = F.array(F.upper("p_name"), F.col("p_type"), F.col("p_brand"), F.lower("p_type"), F.upper("p_brand"), F.replace(F.lower("p_brand"), F.lit("#"), F.lit("")), F.concat_ws(" ", "p_brand", "p_type"))
     return p.select(F.col("p_partkey").alias("id"), F.array_join(X.display_aliases(F.col("p_name"), given), ",").alias("aliases"))
 

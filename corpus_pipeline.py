@@ -45,9 +45,9 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts whose shingles of five words are alike to 0.8 or more."""
+    """One document of each component of SimHash fingerprints at two differing bits or fewer, those of op8_simhash."""
     with small_batches(spark):
-        return simhash.one_of_each(docs)
+        return simhash.one_of_each_component(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -100,6 +100,20 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def one_of_each_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
+    """Of each component that simhash_components() finds the row with the smallest id (null counts as largest).
+
+    The columns of docs. Of rows with one id those of the smallest hash of their text count as first; of rows that are equal in id and text one stays; an empty
+    table gives an empty one. Rows are told apart by their id and a hash of their text, so that no texts but those that stay are gathered by a key.
+    """
+    rank, mark = F.coalesce(col(id_col).cast("long"), F.lit(2**63 - 1)), F.xxhash64(F.coalesce(col(text_col), F.lit("")))
+    named = simhash_components(docs.select(F.struct(rank.alias("rank"), mark.alias("mark")).alias("_key"), col(text_col).alias("_text")), "_key", "_text", shingle, radius)
+    first = written(named.where(F.col("_key") == F.col("component_id")).select(F.col("_key.rank").alias("_rank"), F.col("_key.mark").alias("_mark")).distinct(), "kept")
+    kept = docs.select("*", rank.alias("_rank"), mark.alias("_mark")).join(first, ["_rank", "_mark"], "left_semi")
+    once = kept.withColumn("_n", F.row_number().over(Window.partitionBy("_rank", "_mark").orderBy("_rank"))).where("_n = 1")
+    return once.select(*map(col, docs.columns))
+
+
 #: Longs of a text's parities, rows of a shingle that meet in one group before they are dealt over several, bytes of text that are hashed at once, and pairs that one task compares.
 PARITIES, RUN, AT_ONCE, COMPARED = 8, 20_000, 2 << 20, 2_000
 _POST = np.dtype([("token", "<u8"), ("pair", "<i8"), ("place", "<i4"), ("n", "<i4"), ("pos", "<i4")])

@@ -234,3 +234,14 @@ def test_pipeline(spark, tmp_path):
     whole = now.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()
     assert all(r["n"] == r["t"] * mixed[r["doc_id"]] for r in whole)
     assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line dedup", "near dedup", "mixing", "packing"]
+
+
+def test_pipeline_near_dedup_goes_by_fingerprints(spark):
+    """Texts whose repeats outweigh their few other words have one fingerprint, though their sets of shingles are little alike."""
+    same = "alpha beta gamma delta eps " * 60
+    texts = [(7, same + " ".join(f"x{i}" for i in range(10))), (3, same + " ".join(f"y{i}" for i in range(10))), (5, "something else entirely that stands alone"), (5, "something else entirely that stands alone"), (None, same), (None, "nobody knows whose")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 9) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"][:9]) for r in kept.collect()) == [(0, "nobody kn"), (3, "alpha bet"), (5, "something")]
+    assert corpus_pipeline.one_of_each_group(spark, docs.limit(0), "").collect() == []

@@ -17,8 +17,13 @@ from .measures import CREDITED, _credited
 from .registry import query
 
 
-def _lines(column: str, *names: str):
-    return F.transform(F.coalesce(column, F.array().cast("array<struct<" + ",".join(f"{n}:string" for n in names) + ">>")), lambda s: F.concat(F.lit("- "), F.concat_ws(" ", *[s[n] for n in names])))
+def _line(*names: str) -> dict:
+    """The payload of a list of lines; they are made of rows, and not of what is gathered."""
+    return {"line": F.concat(F.lit("- "), F.concat_ws(" ", *names))}
+
+
+def _lines(column: str):
+    return F.coalesce(F.col(column)["line"], F.array().cast("array<string>"))
 
 
 def _page(rows: DataFrame, folder: str, slug: str, title: str, facts: dict, sections: dict) -> DataFrame:
@@ -37,10 +42,11 @@ def source_index(spark, d):
 
 def _source_pages(spark, d):
     told = A.statements(spark, d).join(A.entities(spark, d).select(F.col("id").alias("entity"), "slug", F.col("kind").alias("of")), "entity")
-    item = lambda rows, name: P.nest(rows.select(F.col("source").alias("id"), "entity", "position", "key", "slug"), "id", [F.col("entity"), F.col("position"), F.col("key")], {"slug": F.col("slug"), "key": F.col("key")}, name)
+    order, line = [F.col("entity"), F.col("position"), F.col("key")], _line("slug", "key")
+    said = P.lists(told.withColumnRenamed("source", "id"), "id", {"taught": (F.col("kind") == "taught", order, line), "mistakes": (F.col("kind") == "mistake", order, line)})
     pages = A.sources(spark, d).select("id", "day", "session", "public")
-    got = P.assemble(pages, "id", [item(told.where("kind = 'taught'"), "taught"), item(told.where("kind = 'mistake'"), "mistakes")])
-    return _page(got, "sources", "id", "session", {"date": F.col("day"), "public": F.col("public")}, {"Taught": _lines("taught", "slug", "key"), "Mistakes": _lines("mistakes", "slug", "key")})
+    got = P.assemble(pages, "id", [said])
+    return _page(got, "sources", "id", "session", {"date": F.col("day"), "public": F.col("public")}, {"Taught": _lines("taught"), "Mistakes": _lines("mistakes")})
 
 
 @query(f"""WITH t AS (SELECT source, t.kind, entity, position, key, slug FROM {A.STATEMENTS} t JOIN {A.ENTITIES} x ON x.id = entity),
@@ -57,15 +63,18 @@ def instructor_kinds(spark, d):
 
 
 def _instructor_pages(spark, d):
+    """Each entity's slug meets its statements before these meet the people of their sources, which are several for each."""
+    tasks, kinds = A.order_tasks(spark, d), ("concept", "technique", "pattern", "drill")
     e = A.entities(spark, d).select(F.col("id").alias("entity"), "slug", F.col("kind").alias("of"))
-    rows = _credited(spark, d)
-    taught = rows.select("credited", "entity").distinct().join(e, "entity")
-    day = A.sources(spark, d).select(F.col("id").alias("source"), F.date_format("day", "yyyy-MM-dd").alias("day"))
-    kinds = [P.nest(taught.where(F.col("of") == k), "credited", [F.lower("slug")], {"slug": F.col("slug")}, k) for k in ("concept", "technique", "pattern", "drill")]
-    when = P.nest(rows.select("credited", "source").distinct().join(day, "source"), "credited", [F.col("day"), F.col("source")], {"day": F.col("day"), "source": F.col("source").cast("string")}, "seen")
+    s = A.statements(spark, d).select("source", "entity", "teacher", "raw")
+    people = s.select("source", F.col("raw").alias("person"))
+    taught = R.credits(s.join(e, "entity").select("source", "teacher", "slug", "of"), people, tasks=tasks).select("credited", "slug", "of").distinct()
+    day = A.sources(spark, d).select(F.col("id").alias("source"), F.date_format("day", "yyyy-MM-dd").alias("day")).repartition(tasks, "source")
+    seen = R.credited_sources(s, people, tasks=tasks).join(day, "source")
+    when = P.nest(seen, "credited", [F.col("day"), F.col("source")], _line("day", "source"), "seen")
     pages = A.table(spark, d, "supplier").select(F.col("s_suppkey").alias("credited"), "s_name")
-    got = P.assemble(pages, "credited", [*kinds, when])
-    return _page(got, "instructors", "credited", "s_name", {"sources": F.col("seen_count")}, {**{k.title(): _lines(k, "slug") for k in ("concept", "technique", "pattern", "drill")}, "Sources": _lines("seen", "day", "source")})
+    got = P.assemble(pages, "credited", [P.lists(taught, "credited", {k: (F.col("of") == k, [F.lower("slug")], _line("slug")) for k in kinds}), when])
+    return _page(got, "instructors", "credited", "s_name", {"sources": F.col("seen_count")}, {**{k.title(): _lines(k) for k in kinds}, "Sources": _lines("seen")})
 
 
 _KIND_LINES = ", ".join(A.lines_sql("slug", "lower(slug), slug", f"kind = '{k}'") + f" AS {k}" for k in ("concept", "technique", "pattern", "drill"))
@@ -99,9 +108,9 @@ def view_touched(spark, d):
 
 def _view_pages(spark, d):
     sources = _view_sources(spark, d).withColumn("text", F.date_format("day", "yyyy-MM-dd"))
-    seen = P.nest(sources, "view", [F.col("text"), F.col("source")], {"text": F.col("text"), "source": F.col("source").cast("string")}, "seen")
+    seen = P.nest(sources, "view", [F.col("text"), F.col("source")], _line("text", "source"), "seen")
     pages = spark.createDataFrame([(v,) for v in VIEWS], "view string")
-    return _page(P.assemble(pages, "view", [seen]), "views", "view", "view", {"sources": F.col("seen_count")}, {"Sources": _lines("seen", "text", "source")})
+    return _page(P.assemble(pages, "view", [seen]), "views", "view", "view", {"sources": F.col("seen_count")}, {"Sources": _lines("seen")})
 
 
 @query(f"""WITH v AS (SELECT ['urgent', 'high', 'building-high'][n + 1] AS view, o_orderkey AS source, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders JOIN customer ON c_custkey = o_custkey, (SELECT unnest([0, 1, 2]) AS n)

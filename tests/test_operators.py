@@ -253,3 +253,22 @@ def test_look_up_of_keys_that_most_rows_share(spark):
     few = G.look_up(rows.where("k = 'often'"), ["k"], lambda keys: keys.join(known, "k"))
     assert few.where("n = 5").count() == 3000 and "SortMergeJoin" not in few._jdf.queryExecution().executedPlan().toString()
     assert G.look_up(rows.limit(0), ["k"], lambda keys: keys.join(known, "k")).collect() == []
+
+
+def test_lists_of_one_aggregation(spark):
+    """Several lists of a key from one pass, sorted without an interpreted comparator, a page without rows of a list as one without any rows."""
+    items = spark.createDataFrame([(1, "b", 2, "x"), (1, "a", 1, None), (1, "c", None, "z"), (2, "b", 1, "y")], "e int, kind string, pos int, t string")
+    got = P.lists(items, "e", {"low": (F.col("kind") != "b", [F.col("pos")], {"t": F.col("t")}), "b": (F.col("kind") == "b", [F.col("pos")], {"t": F.col("t")})})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and plan.count("Exchange hashpartitioning") == 1
+    pages = P.assemble(spark.range(1, 4).select(F.col("id").cast("int").alias("e")), "e", [got])
+    assert pages.columns == ["e", "low", "low_count", "b", "b_count"]
+    assert sorted((r["e"], [x["t"] for x in r["low"]], r["low_count"], [x["t"] for x in r["b"]], r["b_count"]) for r in pages.collect()) == [(1, ["z", None], 2, ["x"], 1), (2, [], 0, ["y"], 1), (3, [], 0, [], 0)]
+
+
+def test_credited_sources_are_those_of_credits(spark):
+    rows_ = spark.createDataFrame([(1, 7, 7), (1, None, 8), (2, 9, 9), (2, 9, 9), (3, None, None), (4, None, 5)], "source int, teacher int, raw int")
+    people = rows_.select("source", F.col("raw").alias("person"))
+    for tasks in (None, 3):
+        want = R.credits(rows_, people, tasks=tasks).select("credited", "source").distinct()
+        assert rows(R.credited_sources(rows_, people, tasks=tasks)) == rows(want) and want.count() == 5

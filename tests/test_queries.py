@@ -76,3 +76,9 @@ def test_citations_in_whole_texts(spark, db):
         want.append((i, (f"{s[:-1]} {cite}{s[-1]}" if s[-1:] in tuple(".!?") else f"{s.rstrip()} {cite}").strip()))
     got = [tuple(r) for r in QUERIES["citation_normalise"](spark, SF).collect()]
     assert len(got) == len(rows) and sorted(got) == sorted(want)
+
+
+def test_page_documents_settle_events_once(spark):
+    """The overlay is written once for its three readers: no plan of a page document joins orders with themselves again."""
+    plan = QUERIES["page_documents"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_last" not in plan

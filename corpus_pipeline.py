@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae.llm import lines, mixing, packing, simhash, toxicity
-from tesserae.llm.common import col, new_folder, passing, table
+from tesserae.llm.common import col, new_folder, passing, table, written
 
 #: The score from which a document counts as toxic here: higher than for the query, to leave ordinary documents alone.
 TOXIC = 0.5
@@ -64,9 +64,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences."""
+    """The pieces of the packed sequences; written here, since the size of batches is what it is when rows are made."""
     with small_batches(spark):
-        return packing.pieces(docs)
+        return written(packing.pieces(docs), "pieces")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -12,6 +12,8 @@ import os
 import re
 from array import array
 
+from .common import kept
+
 _L = rb"a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _N = rb"0-9\xb2\xb3\xb9\xbc-\xbe"
 _S = rb"\x09-\x0d\x20\x85\xa0"
@@ -90,7 +92,7 @@ class Encoder:
         return b"".join(map(self.memory.__getitem__, self.pattern.findall(raw)))
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[str, Encoder] = kept.setdefault("encoding", {})
 
 
 def encoder(path: str) -> Encoder:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from . import prefixes as P
 from . import words as W
-from .common import chunks_of, col, forget, get_rows, made, make_folder, new_folder, put_rows, table, written
+from .common import chunks_of, col, forget, get_rows, keep_only, made, make_folder, new_folder, put_rows, table, written
 
 #: Similarity from which two lines are alike, and rows of a token that meet in one group before they are dealt over several.
 LEAST, RUN = 0.8, 20_000
@@ -120,6 +120,7 @@ def _stored(docs: DataFrame, folder: str) -> DataFrame:
         yield _rows(len(doc), chunk=np.full(len(doc), chunk), k1=k1[~again], k2=k2[~again], id=ident, tie=tie, place=place[~again])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         counter, task = P.Counter(), TaskContext.get().taskAttemptId() << 20
         for i, rows in enumerate(chunks_of(batches, at_text)):
             yield from put(rows, task + i, counter)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
 from . import prefixes as P
-from .common import chunks_of, col, forget, get_rows, made, make_folder, new_folder, put_rows, table, written
+from .common import chunks_of, col, forget, get_rows, keep_only, made, make_folder, new_folder, put_rows, table, written
 from .components import connected_components
 from .words import buffer_spans, joined, mix, quick_hashes
 
@@ -56,6 +56,7 @@ def ball(radius: int) -> list[int]:
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
             marks = [fingerprint(x or "", shingle) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.int64())], ["_id", "_mark"])

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, table
+from .common import col, keep_only, table
 
 #: Labelled documents of each class that a fit uses at most.
 TOXIC_SAMPLE, ORDINARY_SAMPLE = 1500, 4000
@@ -166,6 +166,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
             texts = batch.column(names.index(text_col)).to_pylist()
             scores = [model if isinstance(model, float) else model.score((x or "").encode()) for x in texts]

@@ -245,3 +245,48 @@ def test_pipeline_near_dedup_goes_by_fingerprints(spark):
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] or 0, r["text"][:9]) for r in kept.collect()) == [(0, "nobody kn"), (3, "alpha bet"), (5, "something")]
     assert corpus_pipeline.one_of_each_group(spark, docs.limit(0), "").collect() == []
+
+
+def test_pipeline_packs_in_small_batches(spark, monkeypatch):
+    """Batches are cut when rows are made: pieces that were only planned meanwhile would be made of 10,000 rows at once."""
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    monkeypatch.setattr(corpus_pipeline.packing, "pieces", lambda docs: docs.mapInArrow(sizes, "n long"))
+    got = [r["n"] for r in corpus_pipeline.packed(spark, spark.range(0, 5000, 1, 1), "").collect()]
+    assert sum(got) == 5000 and max(got) <= corpus_pipeline.ROWS_AT_ONCE
+
+
+def test_workers_drop_what_other_operators_keep(spark):
+    """A worker that has encoded for the packing goes on to other operators, and no longer holds the vocabulary then."""
+    from tesserae.llm import common, simhash
+    from tesserae.llm.encoding import encoder, vocabulary_path
+
+    path = vocabulary_path("byte_bpe_50k.json")
+    assert encoder(path) is encoder(path)
+    common.keep_only("encoding")
+    assert path in common.kept["encoding"]
+    common.keep_only()
+    assert not common.kept["encoding"]
+
+    def held(batches):
+        from tesserae.llm.encoding import encoder
+
+        for b in batches:
+            encoder(path)
+            yield b
+
+    def left(batches):
+        from tesserae.llm import common
+
+        for b in batches:
+            yield b if common.kept.get("encoding") else b.slice(0, 0)
+
+    # one task after the other, so that they meet the same worker
+    rows = spark.range(0, 4, 1, 1)
+    rows.mapInArrow(held, "id long").collect()
+    simhash.fingerprints(rows.select(rows["id"].alias("doc_id"), rows["id"].cast("string").alias("text")), "doc_id", "text", 3).collect()
+    assert rows.mapInArrow(left, "id long").count() == 0

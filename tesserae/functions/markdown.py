@@ -100,8 +100,8 @@ def read_page(text: Column) -> Column:
     """The page of a text; line ends of other systems are read as \\n."""
     facts = lambda t: F.when(t.rlike(_FRONT), _let(F.regexp_extract(t, _FRONT, 1), read_facts)).otherwise(F.array().cast(FACTS))
     outline = lambda t, cut: F.struct(facts(t).alias("facts"), F.regexp_replace(cut[0], r"\A\n+|\s+\z", "").alias("preamble"), F.transform(F.slice(cut, 2, 1 << 30), _below).alias("sections"))
-    page = _let(F.regexp_replace(text, r"\r\n?", "\n"), lambda t: _let(_cut(F.regexp_replace(t, _FRONT, ""), "##"), lambda cut: outline(t, cut)))
-    return F.when(text.isNotNull(), page)
+    page = lambda t: _let(_cut(F.regexp_replace(t, _FRONT, ""), "##"), lambda cut: outline(t, cut))
+    return _let(F.regexp_replace(text, r"\r\n?", "\n"), lambda t: F.when(t.isNotNull(), page(t)))  # the text is made once
 
 
 def _scalar(c: Column) -> Column:

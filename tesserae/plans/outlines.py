@@ -40,8 +40,9 @@ def page_outline(spark, d):
     for tag in ("brand", "kind"):
         rows = rows.withColumn("page", MD.add_unique(page, "tags", F.col(tag)))
     rows = rows.withColumn("page", MD.with_part(page, "By teacher", "Checked", F.lit("yes")))
-    back = rows.select("slug", MD.read_page(MD.write_page(page)).alias("page")).select("slug", F.array_join(MD.fact(page, "tags"), ",").alias("tags"), F.explode("page.sections").alias("s"))
-    got = back.select("slug", "tags", F.col("s.name").alias("section"), F.explode(MD.split_parts(F.col("s.body"))).alias("p"))
+    back = rows.select("slug", MD.read_page(MD.write_page(page)).alias("page")).select("slug", F.array_join(MD.fact(page, "tags"), ",").alias("tags"), F.explode_outer("page.sections").alias("s"))
+    # explode() would first ask whether there is a section, and so write and read each page again for the answer
+    got = back.where("s is not null").select("slug", "tags", F.col("s.name").alias("section"), F.explode(MD.split_parts(F.col("s.body"))).alias("p"))
     return got.select("slug", "tags", "section", F.col("p.name").alias("part"), F.regexp_replace("p.body", r"\A\n+", "").alias("text")).where("part is not null or text <> ''")
 
 

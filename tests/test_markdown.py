@@ -134,3 +134,19 @@ def test_reading_and_writing_are_inverse(spark, texts):
     once = rows.select("t", MD.read_page(F.col("t")).alias("p"))
     got = once.select("t", "p", MD.read_page(MD.write_page(F.col("p"))).alias("q")).collect()
     assert [(r["t"], r["p"]) for r in got] == [(r["t"], r["q"]) for r in got]
+
+
+def test_each_page_is_read_once(spark):
+    """Neither a null check nor a filter that is inferred from explode() makes a page anew."""
+    import __spark_entry__
+
+    from .conftest import SF
+
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.set("spark.sql.maxPlanStringLength", 1 << 30)
+    try:
+        rows = spark.createDataFrame([(1, "a")], "i long, t string")
+        assert plan(rows.repartition(2).select(MD.read_page(F.reverse("t")).alias("p"))).count("reverse(") == 1
+        assert plan(__spark_entry__.queries()["page_outline"](spark, SF)).count(r"\r\n?") == 1
+    finally:
+        spark.conf.unset("spark.sql.maxPlanStringLength")

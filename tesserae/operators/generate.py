@@ -41,8 +41,9 @@ def pending_evidence(evidence: DataFrame, seen: DataFrame, version: str, caps: d
     listed twice in a role counts once; one without entity or key is none; one without a date is the oldest.
     """
     done = seen.where(F.col("version") == version).select("entity", "key")
-    rows = evidence.where("entity is not null and key is not null").dropDuplicates(["entity", "role", "key"])
-    return capped_evidence(rows.join(done, ["entity", "key"], "left_anti"), caps or CAPS)
+    left = evidence.where("entity is not null and key is not null").join(done, ["entity", "key"], "left_anti")
+    once = left.repartition("entity").dropDuplicates(["entity", "role", "key"])  # one shuffle, which the caps' order uses too
+    return capped_evidence(once, caps or CAPS)
 
 
 def condense_prompt(definition: Column, context: Column, refused: Column, problems: Column) -> Column:
@@ -75,7 +76,7 @@ def generate(prose: DataFrame, seen: DataFrame, evidence: DataFrame, client: Cal
     condensed by a second call; links are repaired, citations tidied. A page whose call fails or cannot be read keeps its text and its evidence, which the
     next run sends again. Repeated with the same tables it does the same; repeated with those that it returns it sends what is left, and nothing in the end.
     """
-    chosen = cut(pending_evidence(evidence, seen, version, caps))
+    chosen = cut(pending_evidence(evidence, seen, version, caps).where("covered"))  # what is sent is covered; the rest waits, and is not written
     sent = chosen.where("sent").groupBy(F.col("entity").alias("slug")).agg(F.sort_array(F.collect_list(F.struct("date", "key", "role", "text")), asc=False).alias("evidence"))
     now = D.current(prose, version).select("slug", F.col("definition").alias("_was_d"), F.col("context").alias("_was_c"))
     text = F.struct("slug", F.coalesce("_was_d", F.lit("")).alias("definition"), F.coalesce("_was_c", F.lit("")).alias("context"), "evidence")

@@ -125,3 +125,15 @@ def test_later_waves_see_and_resolve_to_earlier_proposals(spark):
     none, same = waves.link(statements.limit(0), keys, proposed, Namer, "v", "m")
     assert none.isEmpty() and same.count() == 1
     assert waves.names_in_use(after, 9) == '["frame"]'
+
+
+def test_pending_evidence_is_shuffled_once(spark):
+    """Statements are told apart and put in order after one shuffle, beside that of a join that is not broadcast."""
+    from tesserae.operators import generate as GEN
+
+    rows = [("a", "about", f"k{i % 5}", f"2020-01-0{i % 5 + 1}", "t") for i in range(10)] + [("a", "refers", "k9", None, "t"), (None, "about", "k", None, "t"), ("b", "about", "s", None, "t")]
+    evidence = spark.createDataFrame(rows, "entity string, role string, key string, date string, text string").repartition(3).cache()
+    seen = spark.createDataFrame([("b", "s", "1"), ("a", "k4", "1"), ("a", "k3", "0")], GEN.SEEN)
+    got = GEN.pending_evidence(evidence, seen, "1", {"about": 2, "refers": 0})
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 3  # two of the join
+    assert sorted((r["entity"], r["key"], r["sent"], r["covered"]) for r in got.collect()) == [("a", "k0", False, False), ("a", "k1", False, False), ("a", "k2", True, True), ("a", "k3", True, True), ("a", "k9", False, True)]

@@ -144,7 +144,7 @@ def stale_paths(spark, d):
 SELECT id, 'write' AS act FROM t UNION ALL SELECT frm, 'remove' FROM closed WHERE root IN (SELECT id FROM t) AND frm NOT IN (SELECT id FROM t)""")
 def materialise_sets(spark, d):
     """Which pages the entities of mistakes lead to, and which folded ones are removed with them."""
-    closed = C.fold_closure(A.folds(spark, d))
+    closed = C.cut(C.fold_closure(A.folds(spark, d)))  # one table: Spark makes a semi- or anti-join with a union anew for each part of it, here for each round
     asked = A.table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("id")).distinct()
     to = C.repoint(asked, closed, "id").distinct()
     gone = closed.join(to, closed["root"] == to["id"], "left_semi").select(F.col("frm").alias("id")).join(to, "id", "left_anti")

@@ -82,3 +82,9 @@ def test_page_documents_settle_events_once(spark):
     """The overlay is written once for its three readers: no plan of a page document joins orders with themselves again."""
     plan = QUERIES["page_documents"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "_last" not in plan
+
+
+def test_materialise_sets_joins_do_not_grow_with_rounds(spark):
+    """What the closure's rounds end is one table: a semi- or anti-join with their union would stand in the plan, and in one task, once for each round."""
+    plan = QUERIES["materialise_sets"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") == 1 and plan.count("Join LeftAnti") == 1

@@ -272,3 +272,12 @@ def test_credited_sources_are_those_of_credits(spark):
     for tasks in (None, 3):
         want = R.credits(rows_, people, tasks=tasks).select("credited", "source").distinct()
         assert rows(R.credited_sources(rows_, people, tasks=tasks)) == rows(want) and want.count() == 5
+
+
+def test_lists_in_pieces_are_whole_and_in_order(spark):
+    items = spark.createDataFrame([(1, i, f"t{i}") for i in range(23, 0, -1)] + [(2, 5, "x"), (None, 1, "n")], "e long, pos int, t string")
+    order, line = [F.col("pos")], {"t": F.col("t")}
+    whole = P.nest(items, "e", order, line, "things").collect()
+    assert sorted(whole, key=str) == sorted(P.nest(items, "e", order, line, "things", 4).collect(), key=str) and len(whole) == 3
+    texts = {r["e"]: ("\n".join(r["things"]), len(r["things"]), r["things_count"]) for r in P.texts(items, "e", order, F.col("t"), "things", 4).collect()}
+    assert texts[1] == ("\n".join(f"t{i}" for i in range(1, 24)), 6, 23) and texts[2] == ("x", 1, 1)

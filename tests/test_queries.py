@@ -88,3 +88,11 @@ def test_materialise_sets_joins_do_not_grow_with_rounds(spark):
     """What the closure's rounds end is one table: a semi- or anti-join with their union would stand in the plan, and in one task, once for each round."""
     plan = QUERIES["materialise_sets"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join LeftSemi") == 1 and plan.count("Join LeftAnti") == 1
+
+
+def test_long_lists_of_references_are_whole(spark, db):
+    """A page that more than 25 others refer to lists every one of them."""
+    want = dict(db.sql(f"SELECT tgt, count(*) FROM {A.OVERLAY} WHERE tgt IN (SELECT p_partkey FROM part) GROUP BY tgt").fetchall())
+    assert max(want.values()) > 25
+    docs = {r["entity"]: (r["referenced_by_count"], len(r["referenced_by"] or ()), r["slug"]) for r in QUERIES["page_documents"](spark, SF).collect()}
+    assert {e: n for e, (n, _, _) in docs.items() if n} == want == {e: n for e, (_, n, _) in docs.items() if n}

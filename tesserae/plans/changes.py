@@ -102,14 +102,15 @@ def page_documents(spark, d):
 @query(f"""WITH o AS {A.OVERLAY}, t AS (SELECT entity, {A.lines_sql("key", "position, key", "kind = 'taught'")} AS taught, {A.lines_sql("key", "day, key", "kind = 'mistake'")} AS wrong FROM {A.STATEMENTS} t LEFT JOIN {A.SOURCES} s ON s.id = t.source GROUP BY entity),
 w AS (SELECT entity, {A.lines_sql("s_name", "s_name")} AS who FROM (SELECT DISTINCT entity, credited, s_name FROM {CREDITED} JOIN supplier ON s_suppkey = credited) GROUP BY entity),
 m AS (SELECT subj, {A.lines_sql("'[[' || tgt || ']] (' || n || ')'", "n DESC, tgt")} AS mentions FROM o GROUP BY subj),
-r AS (SELECT tgt, {A.lines_sql("'[[' || subj || ']] (' || n || ')'", "n DESC, subj")} AS refs FROM o GROUP BY tgt HAVING count(*) <= 25)
+r AS (SELECT tgt, {A.lines_sql("'[[' || subj || ']] (' || n || ')'", "n DESC, subj")} AS refs FROM o GROUP BY tgt)
 SELECT kind || '/' || slug || '.md' AS path, {A.page_sql("name", {"kind": "kind", "slug": "slug"}, {"Statements": "taught", "Mistakes": "wrong", "Taught by": "who", "Mentions": "mentions", "Referenced by": "refs"})} AS text
 FROM {A.ENTITIES} x LEFT JOIN t ON t.entity = x.id LEFT JOIN w ON w.entity = x.id LEFT JOIN m ON m.subj = x.id LEFT JOIN r ON r.tgt = x.id""")
 def markdown_pages(spark, d):
-    p = page_documents(spark, d)
+    told = F.concat(F.lit("- [["), F.col("target").cast("string"), F.lit("]] ("), F.col("count").cast("string"), F.lit(")"))
+    p = _pages(spark, d, lambda rows, order: P.texts(rows, "entity", order, told, "referenced_by", P.PIECE))
     line = lambda c, name: F.transform(c, lambda s: F.concat(F.lit("- "), s[name].cast("string")))
-    counted = lambda c: F.transform(F.coalesce(c, F.array().cast("array<struct<target:bigint,count:bigint>>")), lambda s: F.concat(F.lit("- [["), s["target"].cast("string"), F.lit("]] ("), s["count"].cast("string"), F.lit(")")))
-    lines = {"Statements": line(F.col("statements"), "key"), "Mistakes": line(F.col("mistakes"), "key"), "Taught by": line(F.col("teachers"), "name"), "Mentions": counted(F.col("mentions")), "Referenced by": counted(F.when(F.col("referenced_by_count") <= P.REFERENCED_LIMIT, F.col("referenced_by")))}
+    counted = lambda c: F.transform(c, lambda s: F.concat(F.lit("- [["), s["target"].cast("string"), F.lit("]] ("), s["count"].cast("string"), F.lit(")")))
+    lines = {"Statements": line(F.col("statements"), "key"), "Mistakes": line(F.col("mistakes"), "key"), "Taught by": line(F.col("teachers"), "name"), "Mentions": counted(F.col("mentions")), "Referenced by": F.col("referenced_by")}
     p = p.select("kind", "slug", "name", *[c.alias(n) for n, c in lines.items()])  # markdown() uses each twice
     text = P.markdown(F.col("name"), {"kind": F.col("kind"), "slug": F.col("slug")}, {n: F.col(f"`{n}`") for n in lines})
     return p.select(F.concat_ws("/", F.col("kind"), F.concat("slug", F.lit(".md"))).alias("path"), text.alias("text"))

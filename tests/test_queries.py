@@ -91,8 +91,10 @@ def test_materialise_sets_joins_do_not_grow_with_rounds(spark):
 
 
 def test_long_lists_of_references_are_whole(spark, db):
-    """A page that more than 25 others refer to lists every one of them."""
+    """A page that more than 25 others refer to lists every one of them, as a document and in its text."""
     want = dict(db.sql(f"SELECT tgt, count(*) FROM {A.OVERLAY} WHERE tgt IN (SELECT p_partkey FROM part) GROUP BY tgt").fetchall())
     assert max(want.values()) > 25
     docs = {r["entity"]: (r["referenced_by_count"], len(r["referenced_by"] or ()), r["slug"]) for r in QUERIES["page_documents"](spark, SF).collect()}
     assert {e: n for e, (n, _, _) in docs.items() if n} == want == {e: n for e, (_, n, _) in docs.items() if n}
+    pages = {r["path"].split("/")[1][:-3]: r["text"] for r in QUERIES["markdown_pages"](spark, SF).collect()}
+    assert {e: pages[docs[e][2]].split("\n## Referenced by\n\n")[1].count("- [[") for e in want} == want

@@ -63,17 +63,19 @@ def instructor_kinds(spark, d):
 
 
 def _instructor_pages(spark, d):
-    """Each entity's slug meets its statements before these meet the people of their sources, which are several for each."""
+    """Ids are shuffled by source, by entity and by teacher; a slug goes with each of an entity's teachers once, and lines are made where they are gathered."""
     tasks, kinds = A.order_tasks(spark, d), ("concept", "technique", "pattern", "drill")
-    e = A.entities(spark, d).select(F.col("id").alias("entity"), "slug", F.col("kind").alias("of"))
-    s = A.statements(spark, d).select("source", "entity", "teacher", "raw")
-    people = s.select("source", F.col("raw").alias("person"))
-    taught = R.credits(s.join(e, "entity").select("source", "teacher", "slug", "of"), people, tasks=tasks).select("credited", "slug", "of").distinct()
-    day = A.sources(spark, d).select(F.col("id").alias("source"), F.date_format("day", "yyyy-MM-dd").alias("day")).repartition(tasks, "source")
-    seen = R.credited_sources(s, people, tasks=tasks).join(day, "source")
-    when = P.nest(seen, "credited", [F.col("day"), F.col("source")], _line("day", "source"), "seen")
+    of = F.array_position(F.array(*map(F.lit, kinds)), F.col("kind")).cast("tinyint").alias("of")
+    e = A.entities(spark, d).select(F.col("id").alias("entity"), "slug", of).repartition(tasks, "entity").distinct()
+    s = A.own(A.statements(spark, d))
+    each = R.credited(s, ["entity"], tasks=tasks).repartition(tasks, "entity").select("entity", F.explode("credited").alias("credited")).distinct()
+    taught = each.join(e, "entity").select("credited", "slug", "of")
+    day = A.sources(spark, d).select(F.col("id").alias("source"), "day").repartition(tasks, "source")
+    seen = R.credited_in(s, tasks=tasks).join(day, "source")
+    line = {"line": F.concat(F.lit("- "), F.concat_ws(" ", F.date_format("day", "yyyy-MM-dd"), "source"))}
+    when = P.nest(seen, "credited", [F.col("day"), F.col("source")], line, "seen")
     pages = A.table(spark, d, "supplier").select(F.col("s_suppkey").alias("credited"), "s_name")
-    got = P.assemble(pages, "credited", [P.lists(taught, "credited", {k: (F.col("of") == k, [F.lower("slug")], _line("slug")) for k in kinds}), when])
+    got = P.assemble(pages, "credited", [P.lists(taught, "credited", {k: (F.col("of") == i, [F.lower("slug")], _line("slug")) for i, k in enumerate(kinds, 1)}), when])
     return _page(got, "instructors", "credited", "s_name", {"sources": F.col("seen_count")}, {**{k.title(): _lines(k) for k in kinds}, "Sources": _lines("seen")})
 
 

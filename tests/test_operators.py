@@ -281,3 +281,14 @@ def test_lists_in_pieces_are_whole_and_in_order(spark):
     assert sorted(whole, key=str) == sorted(P.nest(items, "e", order, line, "things", 4).collect(), key=str) and len(whole) == 3
     texts = {r["e"]: ("\n".join(r["things"]), len(r["things"]), r["things_count"]) for r in P.texts(items, "e", order, F.col("t"), "things", 4).collect()}
     assert texts[1] == ("\n".join(f"t{i}" for i in range(1, 24)), 6, 23) and texts[2] == ("x", 1, 1)
+
+
+def test_credited_is_credits_in_arrays(spark):
+    """A row of its own teacher, open ones, a source of which all have their own, nobody named, and a source that is null."""
+    rows_ = spark.createDataFrame([(1, 10, 7, True), (1, 11, 8, False), (1, 12, 7, False), (2, 13, 9, True), (3, 14, None, False), (None, 15, 5, True), (None, 16, 6, False)], "source long, key long, raw long, own boolean")
+    plain = rows_.withColumn("teacher", F.when(F.col("own"), F.col("raw")))
+    want = R.credits(plain, rows_.select("source", F.col("raw").alias("person"))).where("credited is not null")
+    for tasks in (None, 3):
+        got = R.credited(rows_, ["key"], tasks=tasks).select("key", F.explode("credited").alias("credited"))
+        assert rows(got.distinct()) == rows(want.select("key", "credited").distinct()) and got.count() == 7
+        assert sorted(R.credited_in(rows_, tasks=tasks).collect(), key=str) == sorted(want.select("credited", "source").distinct().collect(), key=str)

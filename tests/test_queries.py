@@ -98,3 +98,10 @@ def test_long_lists_of_references_are_whole(spark, db):
     assert {e: n for e, (n, _, _) in docs.items() if n} == want == {e: n for e, (_, n, _) in docs.items() if n}
     pages = {r["path"].split("/")[1][:-3]: r["text"] for r in QUERIES["markdown_pages"](spark, SF).collect()}
     assert {e: pages[docs[e][2]].split("\n## Referenced by\n\n")[1].count("- [[") for e in want} == want
+
+
+@pytest.mark.parametrize("name", ["instructor_pages"])
+def test_items_are_made_where_they_are_gathered(spark, name):
+    """What is shuffled are columns: a partial aggregation below a shuffle would send each item with its order beside its line."""
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and not re.search(r"Exchange [^\n]*\n[^\n]*partial_collect_list", plan)

@@ -100,8 +100,20 @@ def test_long_lists_of_references_are_whole(spark, db):
     assert {e: pages[docs[e][2]].split("\n## Referenced by\n\n")[1].count("- [[") for e in want} == want
 
 
-@pytest.mark.parametrize("name", ["instructor_pages"])
+@pytest.mark.parametrize("name", ["instructor_pages", "page_documents", "markdown_pages"])
 def test_items_are_made_where_they_are_gathered(spark, name):
     """What is shuffled are columns: a partial aggregation below a shuffle would send each item with its order beside its line."""
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" in plan and not re.search(r"Exchange [^\n]*\n[^\n]*partial_collect_list", plan)
+
+
+def test_order_events_settle_like_events(spark, tmp_path):
+    """Parts that occur twice in an order, a negative and a null one, flags and dates that are null, orders that are missing; and line items are shuffled, not their pairs."""
+    lines = [(o, p, f) for o in range(40) for p, f in ((o % 7, "R"), (o * 3 % 130, "A"), (o * 3 % 130, "R" if o % 3 else None), (-o, "N"), (51 + o % 2, "A"), (None, "A"))]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(o, None if o % 11 == 3 else f"2024-01-{o % 5 + 1:02}") for o in range(38)]
+    spark.createDataFrame(orders, "o_orderkey long, day string").selectExpr("o_orderkey", "CAST(day AS TIMESTAMP) AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    dealt = A.order_events(spark, str(tmp_path))
+    got = sorted(map(tuple, S.overlay(dealt, asserts="n").collect()))
+    assert got == sorted(map(tuple, S.overlay(A.events(spark, str(tmp_path))).collect())) and len(got) > 100
+    assert dealt.agg({"n": "sum"}).first()[0] == A.events(spark, str(tmp_path)).where("deny = 0").count()

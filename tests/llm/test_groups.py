@@ -209,6 +209,14 @@ def test_nothing_to_learn_from(spark):
     assert [len(r["spans"]) for r in pii.fit(some).find(some).orderBy("doc_id").collect()] == [1, 0]
 
 
+def test_a_name_of_any_length_is_a_candidate(spark):
+    """The rule has no longest name before the @, so neither has what is written otherwise."""
+    texts = [f"write to {'x' * n}{at}host{dot}example soon" for n in (1, 64, 65, 5000) for at, dot in ((" (at) ", " (dot) "), (" @ ", "."), (" at ", " dot "))]
+    rows = pii._candidates(pii._based(spark.createDataFrame(list(enumerate(texts)), "doc_id long, _text string")))
+    got = {r["doc_id"]: [c["span"] for c in r["_c"] if c["kind"] == "email"] for r in rows.collect()}
+    assert got == {i: [t[len("write to ") : -len(" soon")]] for i, t in enumerate(texts)}
+
+
 def test_boosted_trees_as_columns(spark):
     rng = np.random.default_rng(1)
     x = rng.integers(0, 6, (400, 3)).astype(float)
